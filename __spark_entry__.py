@@ -75,19 +75,24 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.monthly_mean(_orders(spark, sf_dir))
+    return op.monthly_mean(_orders(spark, sf_dir), ordered=False)
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.daily_mean(_orders(spark, sf_dir))
+    return op.daily_mean(_orders(spark, sf_dir), ordered=False)
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.hourly_curve(_events(spark, sf_dir))
+    return op.hourly_curve(_events(spark, sf_dir), ordered=False)
+
+
+def _period_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    readings = _orders(spark, sf_dir)
+    return op.mean_by(readings, [NAMES.period], NAMES.value, NAMES.mean, ordered=False)
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.period_summary(_orders(spark, sf_dir), median="exact")
+    return op.period_summary(_orders(spark, sf_dir), median="exact", ordered=False)
 
 
 def _rounded(df: DataFrame, decimals: int, *columns: str) -> DataFrame:
@@ -116,19 +121,13 @@ def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "scan")
     raw.write.option("header", True).option("sep", fixed.RAW_SEPARATOR).csv(f"{root}/files")
-    scanned = read_delimited(spark, f"{root}/*/*.csv")
-    return op.prune_columns(scanned).withColumns(
-        {
-            "fecha": fx.parse_timestamp(F.col("fecha")),
-            "intensidad": fx.to_number(F.col("intensidad")),
-        }
-    )
+    return op.prune_columns(read_delimited(spark, f"{root}/*/*.csv"))
 
 
 def reload_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly means written as CSV part files, then reloaded as one table."""
     path = scratch_path(spark, fixed.MONTHLY_TABLE)
-    write_table(_monthly(spark, sf_dir), path, "csv")
+    write_table(op.monthly_mean(_orders(spark, sf_dir)), path, "csv")
     schema = result_schemas()[fixed.MONTHLY_TABLE]
     return _rounded(reload_table(spark, path, schema), 2, NAMES.mean)
 
@@ -302,18 +301,18 @@ def distinct_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordinals from a calendar that knows three of the five labels."""
-    means = op.mean_by(_orders(spark, sf_dir), [NAMES.period], NAMES.value, NAMES.mean)
+    means = _period_means(spark, sf_dir)
     return _rounded(op.logical_order(means, PARTIAL_PERIODS), 4, NAMES.mean)
 
 
 def present_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = op.mean_by(_orders(spark, sf_dir), [NAMES.period], NAMES.value, NAMES.mean)
+    means = _period_means(spark, sf_dir)
     return _rounded(op.present_periods(means, PARTIAL_PERIODS), 4, NAMES.mean)
 
 
 def present_periods_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No label of the calendar occurs: every row stays."""
-    means = op.mean_by(_orders(spark, sf_dir), [NAMES.period], NAMES.value, NAMES.mean)
+    means = _period_means(spark, sf_dir)
     return _rounded(op.present_periods(means, OTHER_PERIODS), 4, NAMES.mean)
 
 
@@ -321,11 +320,14 @@ def present_periods_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def period_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_summary(spark, sf_dir), 4, NAMES.mean)
+    summary = op.period_summary(_orders(spark, sf_dir), median="exact")
+    return _rounded(summary, 4, NAMES.mean)
 
 
 def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(spark, sf_dir).select(NAMES.period, NAMES.median)
+    """The way taken for large inputs, whatever the size of this one."""
+    readings = _orders(spark, sf_dir)
+    return op.period_summary(readings, "exact", small_bytes=0).select(NAMES.period, NAMES.median)
 
 
 def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,15 +336,16 @@ def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_monthly(spark, sf_dir), 4, NAMES.mean)
+    return _rounded(op.monthly_mean(_orders(spark, sf_dir)), 4, NAMES.mean)
 
 
 def hourly_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_hourly(spark, sf_dir), 4, NAMES.mean)
+    return _rounded(op.hourly_curve(_events(spark, sf_dir)), 4, NAMES.mean)
 
 
 def daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _day_as_text(_rounded(_daily(spark, sf_dir), 4, NAMES.day_mean))
+    daily = op.daily_mean(_orders(spark, sf_dir))
+    return _day_as_text(_rounded(daily, 4, NAMES.day_mean))
 
 
 def four_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -400,7 +403,7 @@ def pivot_hour_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chart_period_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = op.mean_by(_orders(spark, sf_dir), [NAMES.period], NAMES.value, NAMES.mean)
+    means = _period_means(spark, sf_dir)
     return charts.period_bars(_rounded(means, 2, NAMES.mean), ORDER_PERIODS)
 
 

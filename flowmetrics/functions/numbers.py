@@ -12,12 +12,12 @@ _ROUNDABLE = 1e15
 
 def to_number(c: Column) -> Column:
     """Cast to double; text that is no number, and NaN, become NULL."""
-    v = c.try_cast("double")
-    return F.when(~F.isnan(v), v)
+    return nan_to_null(c.try_cast("double"))
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    """NULL for NaN, which would turn a whole mean into NaN."""
+    return F.nullif(c, F.lit(float("nan")))
 
 
 def round_stable(c: Column, decimals: int) -> Column:

@@ -47,11 +47,19 @@ class PeriodCalendar:
 
     def label(self, day: Column) -> Column:
         """Label of the period a day falls in, as one CASE expression."""
+        return self._case(day, [F.lit(last) for _, last in self.closed], inclusive=True)
+
+    def label_at(self, ts: Column) -> Column:
+        """Label of the period a wall-clock time falls in, without deriving its day first."""
+        starts = [F.lit(f"{last + timedelta(days=1)} 00:00:00") for _, last in self.closed]
+        return self._case(ts, [s.cast("timestamp_ntz") for s in starts], inclusive=False)
+
+    def _case(self, c: Column, ends: list[Column], inclusive: bool) -> Column:
         if not self.closed:
             return F.lit(self.open_label)
         chain = F
-        for name, last in self.closed:
-            chain = chain.when(day <= F.lit(last), F.lit(name))
+        for (name, _), end in zip(self.closed, ends):
+            chain = chain.when(c <= end if inclusive else c < end, F.lit(name))
         return chain.otherwise(F.lit(self.open_label))
 
     def ordinal(self, label: Column) -> Column:

@@ -29,7 +29,7 @@ from flowmetrics.operators.compare import (
     change_vs_previous,
 )
 from flowmetrics.operators.distribution import distribution_by_period
-from flowmetrics.operators.median import counted_summary, value_counts
+from flowmetrics.operators.median import mean_and_quantile
 from flowmetrics.operators.rank import bottom_days, top_days
 from flowmetrics.operators.reshape import (
     logical_order,
@@ -47,7 +47,6 @@ __all__ = [
     "bottom_days",
     "change_vs_previous",
     "clean_readings",
-    "counted_summary",
     "daily_mean",
     "day_hour_rollup",
     "day_type_mean",
@@ -61,6 +60,7 @@ __all__ = [
     "logical_order",
     "matrix",
     "mean_by",
+    "mean_and_quantile",
     "means_from_rollup",
     "monthly_mean",
     "period_summary",
@@ -71,5 +71,4 @@ __all__ = [
     "prune_columns",
     "round_columns",
     "top_days",
-    "value_counts",
 ]

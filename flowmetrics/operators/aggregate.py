@@ -1,4 +1,8 @@
-"""Means and medians per period, month, hour and day, and the re-aggregations of those."""
+"""Means and medians per period, month, hour and day, and the re-aggregations of those.
+
+Results are sorted by key as the tables are meant to be read. Where one only feeds another
+operator, ``ordered=False`` saves the range exchange: Spark keeps a sort below a mean of doubles.
+"""
 
 from __future__ import annotations
 
@@ -10,55 +14,66 @@ from flowmetrics.functions.numbers import round_stable
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.functions.timeparts import day_type, ordinal_in
 from flowmetrics.names import NAMES, Names
-from flowmetrics.operators.median import counted_summary, value_counts
-from flowmetrics.schema import require_columns
+from flowmetrics.operators.median import estimated_bytes, mean_and_quantile
 
 APPROX_ACCURACY = 10_000
+# Input up to this size may be gathered per period: a few million distinct values at most.
+SMALL_BYTES = 32 * 1024 * 1024
+
 
+def _sorted(df: DataFrame, keys: list[str], ordered: bool) -> DataFrame:
+    return df.orderBy(*keys) if ordered else df
 
-def mean_by(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
-    """Mean of a value per key, sorted by key; NULL values are skipped."""
-    require_columns(df, [*keys, value], "mean_by")
-    return df.groupBy(*keys).agg(F.avg(value).alias(alias)).orderBy(*keys)
+
+def mean_by(
+    df: DataFrame, keys: list[str], value: str, alias: str, ordered: bool = True
+) -> DataFrame:
+    """Mean of a value per key; NULL values are skipped."""
+    return _sorted(df.groupBy(*keys).agg(F.avg(value).alias(alias)), keys, ordered)
 
 
 def period_summary(
     readings: DataFrame,
     median: str = "approx",
     accuracy: int = APPROX_ACCURACY,
+    small_bytes: int = SMALL_BYTES,
+    ordered: bool = True,
     names: Names = NAMES,
 ) -> DataFrame:
     """Mean and median per period.
 
-    ``median="approx"`` keeps a sketch per period: one pass, rank error at most n/accuracy.
-    ``median="exact"`` counts equal values first and finds the median among the counts; it
-    is the one to use when the value has few distinct levels, since its shuffle holds one row
-    per (period, value) spread over all tasks, while sketches all meet in one task per period.
+    ``median="approx"`` keeps a sketch per period: one pass, rank error at most n/accuracy;
+    the sketches of all tasks meet in one task per period. ``median="exact"`` takes one pass
+    with Spark's own percentile when Catalyst puts the input at ``small_bytes`` or less, for
+    that function holds all distinct values of a period in one task. Beyond that size it
+    counts rows per value slot and looks into one slot, so that no task sees a period whole.
+    Both ways give the same median.
     """
-    require_columns(readings, [names.period, names.value], "period_summary")
-    if median == "approx":
-        out = readings.groupBy(names.period).agg(
-            F.avg(names.value).alias(names.mean),
-            F.percentile_approx(names.value, 0.5, accuracy).alias(names.median),
-        )
-    elif median == "exact":
-        counts = value_counts(readings, names.period, names.value)
-        out = counted_summary(counts, names.period, names.value, names.mean, names.median)
-    else:
+    if median == "exact" and estimated_bytes(readings, [names.period, names.value]) > small_bytes:
+        out = mean_and_quantile(readings, names.period, names.value, names.mean, names.median)
+        return _sorted(out, [names.period], ordered)
+    medians = {
+        "approx": F.percentile_approx(names.value, 0.5, accuracy),
+        "exact": F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{names.value}`)"),
+    }
+    if median not in medians:
         raise ValueError(f"median must be 'approx' or 'exact', not {median!r}")
-    return out.orderBy(names.period)
+    out = readings.groupBy(names.period).agg(
+        F.avg(names.value).alias(names.mean), medians[median].alias(names.median)
+    )
+    return _sorted(out, [names.period], ordered)
 
 
-def monthly_mean(readings: DataFrame, names: Names = NAMES) -> DataFrame:
-    return mean_by(readings, [names.year, names.month], names.value, names.mean)
+def monthly_mean(readings: DataFrame, ordered: bool = True, names: Names = NAMES) -> DataFrame:
+    return mean_by(readings, [names.year, names.month], names.value, names.mean, ordered)
 
 
-def hourly_curve(readings: DataFrame, names: Names = NAMES) -> DataFrame:
-    return mean_by(readings, [names.period, names.hour], names.value, names.mean)
+def hourly_curve(readings: DataFrame, ordered: bool = True, names: Names = NAMES) -> DataFrame:
+    return mean_by(readings, [names.period, names.hour], names.value, names.mean, ordered)
 
 
-def daily_mean(readings: DataFrame, names: Names = NAMES) -> DataFrame:
-    return mean_by(readings, [names.day], names.value, names.day_mean)
+def daily_mean(readings: DataFrame, ordered: bool = True, names: Names = NAMES) -> DataFrame:
+    return mean_by(readings, [names.day], names.value, names.day_mean, ordered)
 
 
 def day_hour_rollup(readings: DataFrame, names: Names = NAMES) -> DataFrame:
@@ -67,7 +82,6 @@ def day_hour_rollup(readings: DataFrame, names: Names = NAMES) -> DataFrame:
     Period, month, hour and day all follow from the key, so every mean of the first tier can
     be computed from this table, and its size depends on the calendar span alone.
     """
-    require_columns(readings, [names.day, names.hour, names.value], "day_hour_rollup")
     return readings.groupBy(names.day, names.hour).agg(
         F.sum(names.value).alias("total"), F.count(names.value).alias("n")
     )
@@ -77,6 +91,17 @@ def _weighted_mean() -> Column:
     return F.try_divide(F.sum("total"), F.sum("n"))
 
 
+def _with_rollup_keys(rollup: DataFrame, calendar: PeriodCalendar, names: Names) -> DataFrame:
+    day = F.col(names.day)
+    return rollup.withColumns(
+        {
+            names.period: calendar.label(day),
+            names.year: F.year(day),
+            names.month: F.month(day),
+        }
+    )
+
+
 def four_grains(
     rollup: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
@@ -85,26 +110,21 @@ def four_grains(
     ``grain_id`` is the grouping bitmap over (period, year, month, hour, day), which tells a
     key that is not part of a grain from a key that is NULL.
     """
-    require_columns(rollup, [names.day, names.hour, "total", "n"], "four_grains")
-    day = F.col(names.day)
     keys = [names.period, names.year, names.month, names.hour, names.day]
-    labelled = rollup.withColumns(
-        {
-            names.period: calendar.label(day),
-            names.year: F.year(day),
-            names.month: F.month(day),
-        }
-    )
     sets = [
         [names.period],
         [names.year, names.month],
         [names.period, names.hour],
         [names.day],
     ]
-    return labelled.groupingSets(sets, *keys).agg(
-        F.grouping_id().cast("bigint").alias("grain_id"),
-        _weighted_mean().alias(names.mean),
-        F.sum("n").alias("n"),
+    return (
+        _with_rollup_keys(rollup, calendar, names)
+        .groupingSets(sets, *keys)
+        .agg(
+            F.grouping_id().cast("bigint").alias("grain_id"),
+            _weighted_mean().alias(names.mean),
+            F.sum("n").alias("n"),
+        )
     )
 
 
@@ -112,18 +132,10 @@ def means_from_rollup(
     rollup: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> dict[str, DataFrame]:
     """Monthly, hourly and daily tables from a (written) day-hour rollup."""
-    require_columns(rollup, [names.day, names.hour, "total", "n"], "means_from_rollup")
-    day = F.col(names.day)
-    labelled = rollup.withColumns(
-        {
-            names.period: calendar.label(day),
-            names.year: F.year(day),
-            names.month: F.month(day),
-        }
-    )
+    keyed = _with_rollup_keys(rollup, calendar, names)
 
     def table(keys: list[str], alias: str) -> DataFrame:
-        return labelled.groupBy(*keys).agg(_weighted_mean().alias(alias)).orderBy(*keys)
+        return keyed.groupBy(*keys).agg(_weighted_mean().alias(alias)).orderBy(*keys)
 
     return {
         fixed.MONTHLY_TABLE: table([names.year, names.month], names.mean),
@@ -133,21 +145,20 @@ def means_from_rollup(
 
 
 def annual_mean(
-    monthly: DataFrame, pre_round: int | None = fixed.DECIMALS, names: Names = NAMES
+    monthly: DataFrame,
+    pre_round: int | None = fixed.DECIMALS,
+    ordered: bool = True,
+    names: Names = NAMES,
 ) -> DataFrame:
     """Unweighted mean of the monthly means of each year.
 
     ``pre_round`` rounds the monthly means first; None takes them as they are.
     """
-    require_columns(monthly, [names.year, names.mean], "annual_mean")
     mean = F.col(names.mean)
     if pre_round is not None:
         mean = round_stable(mean, pre_round)
-    return (
-        monthly.groupBy(names.year)
-        .agg(F.avg(mean).alias(names.annual_mean))
-        .orderBy(names.year)
-    )
+    out = monthly.groupBy(names.year).agg(F.avg(mean).alias(names.annual_mean))
+    return _sorted(out, [names.year], ordered)
 
 
 def day_type_mean(
@@ -157,7 +168,6 @@ def day_type_mean(
     names: Names = NAMES,
 ) -> DataFrame:
     """Unweighted mean of the daily means per day type, in logical order."""
-    require_columns(daily, [names.day, names.day_mean], "day_type_mean")
     mean = F.col(names.day_mean)
     if pre_round is not None:
         mean = round_stable(mean, pre_round)
@@ -173,5 +183,4 @@ def day_type_mean(
 
 
 def distinct_periods(df: DataFrame, names: Names = NAMES) -> DataFrame:
-    require_columns(df, [names.period], "distinct_periods")
     return df.select(names.period).distinct()

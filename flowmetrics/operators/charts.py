@@ -12,14 +12,12 @@ from flowmetrics.functions.timeparts import day_text, ordinal_in
 from flowmetrics.names import NAMES, Names
 from flowmetrics.operators.aggregate import annual_mean
 from flowmetrics.operators.reshape import present_periods
-from flowmetrics.schema import require_columns
 
 
 def period_bars(
     summary: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
     """Mean per period in time order, with a whole-number label."""
-    require_columns(summary, [names.period, names.mean], "period_bars")
     means = summary.groupBy(names.period).agg(F.avg(names.mean).alias(names.mean))
     return present_periods(means, calendar, names).select(
         "ordinal", names.period, names.mean, whole_number_label(F.col(names.mean)).alias("label")
@@ -28,7 +26,6 @@ def period_bars(
 
 def monthly_lines(monthly: DataFrame, names: Names = NAMES) -> DataFrame:
     """One line per year: series name, month, mean."""
-    require_columns(monthly, [names.year, names.month, names.mean], "monthly_lines")
     return monthly.orderBy(names.year, names.month).select(
         F.col(names.year).cast("string").alias("series"), names.month, names.mean
     )
@@ -36,7 +33,6 @@ def monthly_lines(monthly: DataFrame, names: Names = NAMES) -> DataFrame:
 
 def hourly_lines(hourly: DataFrame, names: Names = NAMES) -> DataFrame:
     """One line per period: series name, hour, mean."""
-    require_columns(hourly, [names.period, names.hour, names.mean], "hourly_lines")
     return hourly.orderBy(names.period, names.hour).select(
         F.col(names.period).alias("series"), names.hour, names.mean
     )
@@ -44,15 +40,11 @@ def hourly_lines(hourly: DataFrame, names: Names = NAMES) -> DataFrame:
 
 def daily_series(daily: DataFrame, names: Names = NAMES) -> DataFrame:
     """Daily means in order of date."""
-    require_columns(daily, [names.day, names.day_mean], "daily_series")
     return daily.select(names.day, names.day_mean).orderBy(names.day)
 
 
 def annual_labels(annual: DataFrame, names: Names = NAMES) -> DataFrame:
     """Annual means with a signed percent label where there is a change."""
-    require_columns(
-        annual, [names.year, names.annual_mean, names.annual_change], "annual_labels"
-    )
     label = signed_percent_label(F.col(names.annual_change)).alias("label")
     return annual.orderBy(names.year).select(
         names.year, names.annual_mean, names.annual_change, label
@@ -64,19 +56,17 @@ def annual_line(
 ) -> DataFrame:
     """Annual means, by default of unrounded monthly means, with a whole-number label."""
     label = whole_number_label(F.col(names.annual_mean)).alias("label")
-    return annual_mean(monthly, pre_round, names).select(names.year, names.annual_mean, label)
+    return annual_mean(monthly, pre_round, names=names).select(names.year, names.annual_mean, label)
 
 
 def day_type_bars(day_types: DataFrame, names: Names = NAMES) -> DataFrame:
     """Day-type means in logical order with their ordinal."""
-    require_columns(day_types, [names.day_type, names.mean], "day_type_bars")
     ordinal = ordinal_in(F.col(names.day_type), fixed.DAY_TYPES).alias("ordinal")
     return day_types.select(ordinal, names.day_type, names.mean).orderBy("ordinal")
 
 
 def top_day_bars(top: DataFrame, names: Names = NAMES) -> DataFrame:
     """Top days from low to high, the day as text."""
-    require_columns(top, [names.day, names.day_mean], "top_day_bars")
     return top.orderBy(F.asc(names.day_mean), F.desc(names.day)).select(
         day_text(F.col(names.day)).alias(names.day), names.day_mean
     )

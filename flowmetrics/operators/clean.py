@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowmetrics import fixed
 from flowmetrics.functions.numbers import round_stable, to_number
@@ -17,6 +20,8 @@ from flowmetrics.schema import require_columns
 # A day table of this many rows (about 550 years) stays below some 10 MB, label included.
 _BROADCAST_DAYS = 200_000
 
+_NTZ = T.TimestampNTZType()
+
 
 def prune_columns(df: DataFrame, columns: Sequence[str] = tuple(fixed.RAW_COLUMNS)) -> DataFrame:
     """Keep the named columns; a missing one is an error before any job runs."""
@@ -40,20 +45,21 @@ def clean_readings(
     """
     flag = [columns.flag] if columns.flag else []
     require_columns(df, [columns.time, columns.value, *flag, *keep], "clean_readings")
-    dtype = df.schema[columns.time].dataType
-    time = as_timestamp(F.col(columns.time), dtype, pattern)
-
+    raw, dtype = F.col(columns.time), df.schema[columns.time].dataType
+    time = as_timestamp(raw, dtype, pattern)
+    wanted = []
     if columns.flag:
-        df = df.where(F.col(columns.flag) == valid_flag)
-    typed = not dtype.simpleString() == "string"
-    if years and typed:
-        df = df.where(in_years(F.col(columns.time), dtype, *years))
-    out = df.select(
+        wanted.append(F.col(columns.flag) == valid_flag)
+    if years:
+        # On the column as stored: typed bounds reach the Parquet filter, and text in the
+        # default pattern sorts like the times it spells.
+        stored = not isinstance(dtype, T.StringType) or pattern == fixed.TIMESTAMP_PATTERN
+        wanted.append(in_years(raw, dtype, *years) if stored else in_years(time, _NTZ, *years))
+    if wanted:
+        df = df.where(reduce(and_, wanted))
+    return df.select(
         time.alias(names.time), to_number(F.col(columns.value)).alias(names.value), *keep
     ).where(F.col(names.time).isNotNull() & F.col(names.value).isNotNull())
-    if years and not typed:
-        out = filter_years(out, *years, names=names)
-    return out
 
 
 def filter_years(
@@ -63,30 +69,29 @@ def filter_years(
     names: Names = NAMES,
 ) -> DataFrame:
     """Readings of an inclusive range of years."""
-    require_columns(readings, [names.time], "filter_years")
     dtype = readings.schema[names.time].dataType
     return readings.where(in_years(F.col(names.time), dtype, first, last))
 
 
+def _calendar_parts(names: Names) -> dict[str, Column]:
+    ts = F.col(names.time)
+    return {
+        names.year: F.year(ts),
+        names.month: F.month(ts),
+        names.hour: F.hour(ts),
+        names.day: day_of(ts),
+    }
+
+
 def add_calendar(readings: DataFrame, names: Names = NAMES) -> DataFrame:
     """Add year, month, hour and day of the reading time."""
-    require_columns(readings, [names.time], "add_calendar")
-    ts = F.col(names.time)
-    return readings.withColumns(
-        {
-            names.year: F.year(ts),
-            names.month: F.month(ts),
-            names.hour: F.hour(ts),
-            names.day: day_of(ts),
-        }
-    )
+    return readings.withColumns(_calendar_parts(names))
 
 
 def label_period(
     df: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
     """Add the period label of the day column."""
-    require_columns(df, [names.day], "label_period")
     return df.withColumn(names.period, calendar.label(F.col(names.day)))
 
 
@@ -99,7 +104,6 @@ def label_period_by_join(
     equality on the day and each reading probes one hash table, however many periods there
     are. The day table is broadcast only while the calendar proves it small.
     """
-    require_columns(df, [names.day], "label_period_by_join")
     day = F.col(names.day)
     if not calendar.closed:
         return df.withColumn(names.period, calendar.label(day))
@@ -126,8 +130,9 @@ def prepare_readings(
     names: Names = NAMES,
 ) -> DataFrame:
     """Clean, add calendar columns and label: the input of every first-tier aggregate."""
+    period = {names.period: calendar.label_at(F.col(names.time))}
     clean = clean_readings(df, columns, years, valid_flag, names=names)
-    return label_period(add_calendar(clean, names), calendar, names)
+    return clean.withColumns(_calendar_parts(names) | period)
 
 
 def round_columns(

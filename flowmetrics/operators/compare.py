@@ -10,7 +10,6 @@ from flowmetrics import fixed
 from flowmetrics.functions.numbers import pct_change, round_stable
 from flowmetrics.names import NAMES, Names
 from flowmetrics.operators.aggregate import annual_mean
-from flowmetrics.schema import require_columns
 
 
 def change_vs_previous(
@@ -21,7 +20,6 @@ def change_vs_previous(
     The previous row is meant, not the previous year: a gap is bridged. NULL for the first
     row and after a value of 0. Takes a table already reduced to one row per ``order``.
     """
-    require_columns(df, [order, value], "change_vs_previous")
     previous = F.lag(value).over(W.orderBy(order))
     return df.withColumn(alias, round_stable(pct_change(F.col(value), previous), decimals))
 
@@ -30,7 +28,7 @@ def annual_change(
     monthly: DataFrame, pre_round: int | None = fixed.DECIMALS, names: Names = NAMES
 ) -> DataFrame:
     """Annual mean and its percent change against the year before in the table."""
-    annual = annual_mean(monthly, pre_round, names)
+    annual = annual_mean(monthly, pre_round, ordered=False, names=names)
     return change_vs_previous(
         annual, names.year, names.annual_mean, names.annual_change
     ).orderBy(names.year)
@@ -48,7 +46,6 @@ def baseline_comparison(
     NULL throughout when the baseline is absent or 0. The baseline is a scalar subquery, so
     the table keeps its partitioning and nothing is joined.
     """
-    require_columns(summary, [names.period, names.mean], "baseline_comparison")
     if pre_round is not None:
         rounded = {
             c: round_stable(F.col(c), pre_round)

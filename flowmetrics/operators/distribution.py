@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
 from flowmetrics.operators.clean import label_period
-from flowmetrics.schema import require_columns
 
 WHISKER_REACH = 1.5
 
@@ -22,7 +21,6 @@ def distribution_by_period(
     box when there is none. A period without days has n = 0 and NULL statistics. The input
     holds one row per day, so a group is never larger than the days of its period.
     """
-    require_columns(daily, [names.day, names.day_mean], "distribution_by_period")
     v = F.col(names.day_mean)
     days = label_period(daily.select(names.day, names.day_mean), calendar, names).where(
         v.isNotNull()

@@ -1,92 +1,103 @@
-"""Exact medians without gathering a group: counts of equal values, then narrowing slots."""
+"""Exact medians without gathering a group in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-SLOTS = 4096
-ROUNDS = 2
+# Slots per e-fold in the first cut, and slots per group in the second.
+LOG_SLOTS = 1024
+LINEAR_SLOTS = 4096
 
+# Number of a value's slot, rising with the value: about 0.1 % wide, or of equal width
+# between lo and hi.
+_LOG_SLOT = f"CASE WHEN v < 0 THEN -1 ELSE 1 END * floor(log1p(abs(v)) * {LOG_SLOTS})"
+_WIDTH = f"((hi - lo) / {LINEAR_SLOTS})"
+_LINEAR_SLOT = (
+    f"CASE WHEN {_WIDTH} > 0 THEN least({LINEAR_SLOTS - 1}, floor((v - lo) / {_WIDTH})) ELSE 0 END"
+)
 
-def value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Rows per (group, value) as ``n``; NULL values are left out.
 
-    Equal values are combined before the shuffle and the shuffle key holds the value, so a
-    group with most of the rows still spreads over all tasks.
-    """
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def estimated_bytes(df: DataFrame, columns: list[str]) -> int:
+    """Size of some columns by Catalyst's statistics, without running a job.
 
+    A scan counts its files' bytes and a filter keeps that size, so the figure for readings is
+    an upper bound; where nothing is known it is huge.
+    """
+    plan = df.select(*columns)._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
 
-def _inside(counts: DataFrame, bounds: DataFrame, group: str, value: str) -> DataFrame:
-    """Counts whose value lies in the range still open for their group."""
-    c, b = counts.alias("c"), F.broadcast(bounds).alias("b")
-    v = F.col(f"c.{value}")
-    on = F.col(f"c.{group}").eqNullSafe(F.col(f"b.{group}"))
-    return c.join(b, on & (v >= F.col("b.lo")) & (v <= F.col("b.hi"))).select(
-        "c.*", "b.lo", "b.hi", "b.rank", "b.mean_"
-    )
 
+def _crossing(df: DataFrame, order: str, keep: list[str | Column]) -> DataFrame:
+    """The one row per group in which the running count reaches the rank sought.
 
-def _crossing(df: DataFrame, group: str, order: str) -> DataFrame:
-    """The one row per group in which the running count reaches the rank sought."""
-    upto = W.partitionBy(group).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = F.col("upto") - F.col("n")
+    ``rank`` in the result counts from the start of that row.
+    """
+    upto = F.sum("n").over(
+        W.partitionBy("g").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    )
     return (
-        df.withColumn("upto", F.sum("n").over(upto))
-        .where((F.col("upto") >= F.col("rank")) & (before < F.col("rank")))
-        .withColumn("rank", F.col("rank") - before)
+        df.select("*", upto.alias("upto"))
+        .where("upto >= rank AND upto - n < rank")
+        .select(*keep, F.expr("rank - upto + n").alias("rank"))
     )
 
 
-def counted_summary(
-    counts: DataFrame,
+def _inside(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows whose value lies in the range still open for their group, with that range."""
+    return df.join(F.broadcast(bounds), F.expr("g <=> bound_g AND v >= lo AND v <= hi"))
+
+
+def mean_and_quantile(
+    df: DataFrame,
     group: str,
     value: str,
     mean_alias: str,
     quantile_alias: str,
     q: float = 0.5,
-    rounds: int = ROUNDS,
-    slots: int = SLOTS,
 ) -> DataFrame:
-    """Mean and discrete quantile per group from ``value_counts``.
-
-    The quantile is the least value whose cumulative count reaches ``q`` of the rows. Each
-    round cuts the open value range of a group in equal slots, counts rows per slot, and
-    keeps the slot in which the rank falls; what is left is then ordered exactly. A window
-    therefore sees at most ``slots`` rows per group, or the few values of the last slot,
-    never a whole group. The ranges broadcast hold one row per group: ``group`` must be a
-    label of a known short list, such as a period calendar's.
+    """Mean and discrete quantile per group: the least value with ``q`` of the rows up to it.
+
+    1. Count rows per (group, logarithmic slot) and keep the slot the rank falls in. Outliers
+       do not widen these slots.
+    2. Count equal values inside that slot only, then cut it in slots of equal width and keep
+       one. Values crowded in a narrow range are told apart here.
+    3. Order the few values left.
+
+    Both counts combine before their shuffles and spread one group over all tasks, and the
+    shuffles are small whatever the number of distinct values. The windows see slots or the
+    values of one slot, never a group. The ranges broadcast are one row per group, so
+    ``group`` must be a label from a short list, such as the labels of a period calendar.
     """
-    v, n = F.col(value), F.col("n")
-    bounds = counts.groupBy(group).agg(
-        F.min(v).alias("lo"),
-        F.max(v).alias("hi"),
-        F.greatest(F.lit(1), F.ceil(F.sum(n) * F.lit(q))).alias("rank"),
-        (F.sum(v * n) / F.sum(n)).alias("mean_"),
-    )
-    lo, hi = F.col("lo"), F.col("hi")
-    for _ in range(rounds):
-        width = (hi - lo) / slots
-        slot = F.when(width > 0, F.least(F.lit(slots - 1), F.floor((v - lo) / width)))
-        sliced = (
-            _inside(counts, bounds, group, value)
-            .groupBy(group, F.coalesce(slot, F.lit(0)).alias("slot"))
-            .agg(
-                F.sum(n).alias("n"),
-                F.min(v).alias("lo"),
-                F.max(v).alias("hi"),
-                F.first("rank").alias("rank"),
-                F.first("mean_").alias("mean_"),
-            )
+    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v")).where("v IS NOT NULL")
+    n, lo, hi = F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    bound = [F.col("g").alias("bound_g"), "lo", "hi", "mean"]
+    whole = W.partitionBy("g")
+    rows = F.sum("n").over(whole)
+
+    slots = (
+        readings.groupBy("g", F.expr(_LOG_SLOT).alias("slot"))
+        .agg(n, F.sum("v").alias("total"), lo, hi)
+        .select(
+            "g",
+            "slot",
+            "n",
+            "lo",
+            "hi",
+            F.greatest(F.lit(1), F.ceil(rows * F.lit(q))).alias("rank"),
+            (F.sum("total").over(whole) / rows).alias("mean"),
         )
-        bounds = _crossing(sliced, group, "slot").select(group, "lo", "hi", "rank", "mean_")
-    found = _crossing(_inside(counts, bounds, group, value), group, value)
-    return found.select(
-        group, F.col("mean_").alias(mean_alias), v.alias(quantile_alias)
+    )
+    bounds = _crossing(slots, "slot", bound)
+
+    counts = _inside(readings, bounds).groupBy("g", "lo", "hi", "rank", "mean", "v").agg(n)
+    slots = counts.groupBy("g", "rank", "mean", F.expr(_LINEAR_SLOT).alias("slot")).agg(
+        F.sum("n").alias("n"), lo, hi
+    )
+    bounds = _crossing(slots, "slot", bound)
+
+    left = _inside(counts.select("g", "v", "n"), bounds)
+    return _crossing(left, "v", ["g", "v", "mean"]).select(
+        F.col("g").alias(group), F.col("mean").alias(mean_alias), F.col("v").alias(quantile_alias)
     )

@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from flowmetrics import fixed
 from flowmetrics.names import NAMES, Names
 from flowmetrics.operators.clean import round_columns
-from flowmetrics.schema import require_columns
 
 
 def _rounded(daily: DataFrame, pre_round: int | None, names: Names) -> DataFrame:
-    require_columns(daily, [names.day, names.day_mean], "top or bottom days")
     daily = daily.select(names.day, names.day_mean)
     return daily if pre_round is None else round_columns(daily, [names.day_mean], pre_round)
 

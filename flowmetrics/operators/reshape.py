@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
-from flowmetrics.schema import require_columns
 
 
 def _single_cell(value: str) -> Column:
@@ -27,7 +26,6 @@ def matrix(
 
     Without ``values`` Spark runs one more job to find the column keys.
     """
-    require_columns(df, [rows, columns, value], "matrix")
     groups = df.groupBy(rows)
     pivot = groups.pivot(columns) if values is None else groups.pivot(columns, list(values))
     return pivot.agg(_single_cell(value)).orderBy(rows)
@@ -54,7 +52,6 @@ def logical_order(
     names: Names = NAMES,
 ) -> DataFrame:
     """Add the period's ordinal and sort by it; labels not in the calendar come last."""
-    require_columns(df, [names.period, *then], "logical_order")
     ordinal = calendar.ordinal(F.col(names.period))
     return df.withColumn("ordinal", ordinal).orderBy(F.asc_nulls_last("ordinal"), *then)
 
@@ -66,7 +63,6 @@ def present_periods(
 
     When not one label is in the calendar, all rows in order of their text.
     """
-    require_columns(df, [names.period], "present_periods")
     ordinal = calendar.ordinal(F.col(names.period))
     known = df.agg(F.count(ordinal)).scalar()
     return (

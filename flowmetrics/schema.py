@@ -12,13 +12,16 @@ from flowmetrics.names import NAMES, Names
 
 _RAW_TYPES = {
     "id": T.LongType(),
+    "fecha": T.TimestampNTZType(),
+    "intensidad": T.DoubleType(),
     "ocupacion": T.IntegerType(),
     "carga": T.IntegerType(),
     "vmed": T.DoubleType(),
     "periodo_integracion": T.IntegerType(),
 }
 
-# Time and value stay text here: the cleaning step turns bad text into NULL instead of failing.
+# The CSV reader turns text that does not fit a type into NULL and keeps the row, so times and
+# values are parsed once, in the scan, and the cleaning step drops the NULLs.
 RAW_SCHEMA = T.StructType(
     [T.StructField(c, _RAW_TYPES.get(c, T.StringType())) for c in fixed.RAW_COLUMNS]
 )

@@ -21,14 +21,18 @@ def read_delimited(
     """Headered delimited files; ``paths`` may hold globs such as ``raw/*/*.csv``.
 
     With a declared schema the header of every file is checked, so a file with its columns in
-    another order fails instead of being misread. ``infer=True`` asks Spark for the types,
-    which costs one more pass over the input.
+    another order fails instead of being misread; a field that does not fit its type is NULL.
+    ``infer=True`` asks Spark for the types, which costs one more pass over the input.
     """
     reader = spark.read.option("header", True).option("sep", sep)
     if infer:
         reader = reader.option("inferSchema", True)
     else:
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = (
+            reader.schema(schema)
+            .option("enforceSchema", False)
+            .option("timestampNTZFormat", fixed.TIMESTAMP_PATTERN)
+        )
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
