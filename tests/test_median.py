@@ -1,0 +1,85 @@
+"""The exact median that gathers no group, against sorting in Python."""
+
+import math
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from flowmetrics import operators as op
+from pyspark.sql import functions as F
+
+SCHEMA = "g string, v double"
+
+
+def expected(rows, q=0.5):
+    groups = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    out = {}
+    for g, vs in groups.items():
+        vs.sort()
+        out[g] = vs[max(1, math.ceil(len(vs) * q)) - 1]
+    return out
+
+
+def quantiles(spark, rows, q=0.5):
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = op.mean_and_quantile(df, "g", "v", "mean", "quantile", q).collect()
+    assert len({r.g for r in got}) == len(got)
+    return {r.g: r for r in got}
+
+
+CASES = {
+    "one row": [("a", 3.5)],
+    "equal values": [("a", 7.0)] * 9 + [("b", 0.0)] * 2,
+    "negative and zero": [("a", float(x)) for x in range(-50, 40)] + [("a", 0.0)] * 3,
+    "huge outliers": [("a", float(x)) for x in range(101)] + [("a", 1e300), ("a", -1e300)],
+    "crowded": [("a", 1000 + x * 1e-9) for x in range(999)],
+    "tiny": [("a", x * 1e-12) for x in range(99)] + [("a", -x * 1e-12) for x in range(50)],
+    "infinite": [("a", math.inf), ("a", -math.inf), ("a", 1.0), ("b", math.inf)],
+    "null group and values": [(None, 1.0), (None, 2.0), ("a", None), ("a", 4.0), ("b", None)],
+    "hot group": [("hot", float(x % 977)) for x in range(20_000)]
+    + [(f"cold{i}", float(i)) for i in range(7)],
+    "many powers": [("a", s * 2.0**e) for e in range(-1000, 1000, 7) for s in (1, -1)],
+}
+
+
+@pytest.mark.parametrize("case", sorted(CASES))
+@pytest.mark.parametrize("q", [0.5, 0.9])
+def test_cases(spark, case, q):
+    rows = CASES[case]
+    got = quantiles(spark, rows, q)
+    assert {g: r.quantile for g, r in got.items()} == expected(rows, q)
+
+
+def test_mean_comes_along(spark):
+    got = quantiles(spark, CASES["hot group"])
+    values = [v for g, v in CASES["hot group"] if g == "hot"]
+    assert got["hot"].mean == pytest.approx(sum(values) / len(values))
+
+
+VALUES = st.one_of(
+    st.integers(-5, 5).map(float),
+    st.floats(allow_nan=False, allow_infinity=False),
+    st.floats(999.9, 1000.1),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), VALUES), min_size=1, max_size=60))
+def test_any_values(spark, rows):
+    got = quantiles(spark, rows)
+    assert {g: r.quantile for g, r in got.items()} == expected(rows)
+
+
+def test_approximate_median_keeps_its_rank_bound(spark):
+    n, accuracy = 50_000, 1000
+    df = spark.range(n).select(
+        F.lit("p").alias("periodo_covid"), (F.col("id") * 7919 % n).cast("double").alias("value")
+    )
+    approx = op.period_summary(df, "approx", accuracy).first().intensidad_mediana
+    assert abs(approx - n / 2) <= n / accuracy + 1
+    exact = op.period_summary(df, "exact", small_bytes=0).first().intensidad_mediana
+    assert exact == n / 2 - 1
