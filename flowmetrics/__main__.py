@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--infer", action="store_true", help="infer types instead of declaring them")
     p.add_argument("--first-year", type=int, default=fixed.FIRST_YEAR)
     p.add_argument("--last-year", type=int, default=fixed.LAST_YEAR)
-    p.add_argument("--median", choices=["approx", "exact"], default="approx")
+    p.add_argument("--median", choices=["approx", "exact"], default="exact")
     p.add_argument("--top", type=int, default=fixed.TOP_N)
     args = p.parse_args(argv)
 
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
         median=args.median,
         n=args.top,
         fmt=args.output_format,
+        stage=args.input_format == "csv",
     )
     for group, paths in written.items():
         for name, path in paths.items():

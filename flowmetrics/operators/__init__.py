@@ -19,6 +19,7 @@ from flowmetrics.operators.clean import (
     filter_years,
     label_period,
     label_period_by_join,
+    label_readings,
     prepare_readings,
     prune_columns,
     round_columns,
@@ -57,6 +58,7 @@ __all__ = [
     "hourly_curve",
     "label_period",
     "label_period_by_join",
+    "label_readings",
     "logical_order",
     "matrix",
     "mean_by",

@@ -130,8 +130,15 @@ def prepare_readings(
     names: Names = NAMES,
 ) -> DataFrame:
     """Clean, add calendar columns and label: the input of every first-tier aggregate."""
-    period = {names.period: calendar.label_at(F.col(names.time))}
     clean = clean_readings(df, columns, years, valid_flag, names=names)
+    return label_readings(clean, calendar, names)
+
+
+def label_readings(
+    clean: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
+) -> DataFrame:
+    """Add calendar columns and the period label to clean readings."""
+    period = {names.period: calendar.label_at(F.col(names.time))}
     return clean.withColumns(_calendar_parts(names) | period)
 
 

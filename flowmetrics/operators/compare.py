@@ -43,8 +43,8 @@ def baseline_comparison(
 ) -> DataFrame:
     """Add each period's percent change against the baseline period.
 
-    NULL throughout when the baseline is absent or 0. The baseline is a scalar subquery, so
-    the table keeps its partitioning and nothing is joined.
+    NULL throughout when the baseline is absent or 0. The baseline is looked up in a window over
+    the summary, one row per period, so what lies below it runs once.
     """
     if pre_round is not None:
         rounded = {
@@ -54,6 +54,6 @@ def baseline_comparison(
         }
         summary = summary.withColumns(rounded)
     is_base = F.col(names.period) == baseline
-    base = summary.agg(F.max(F.when(is_base, F.col(names.mean)))).scalar()
+    base = F.max(F.when(is_base, F.col(names.mean))).over(W.partitionBy())
     change = round_stable(pct_change(F.col(names.mean), base), decimals)
     return summary.withColumn(names.baseline_change, change).orderBy(names.period)

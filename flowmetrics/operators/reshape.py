@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
@@ -61,12 +62,14 @@ def present_periods(
 ) -> DataFrame:
     """Rows of the calendar's periods in time order.
 
-    When not one label is in the calendar, all rows in order of their text.
+    When not one label is in the calendar, all rows in order of their text. Takes a table with
+    one row per period: whether any label is known is a window over all of it.
     """
-    ordinal = calendar.ordinal(F.col(names.period))
-    known = df.agg(F.count(ordinal)).scalar()
+    known = F.count("ordinal").over(W.partitionBy())
     return (
-        df.withColumn("ordinal", ordinal)
-        .where(F.col("ordinal").isNotNull() | (known == 0))
+        df.withColumn("ordinal", calendar.ordinal(F.col(names.period)))
+        .withColumn("known", known)
+        .where("ordinal IS NOT NULL OR known = 0")
+        .drop("known")
         .orderBy(F.asc_nulls_last("ordinal"), names.period)
     )

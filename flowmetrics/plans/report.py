@@ -16,7 +16,7 @@ from flowmetrics.operators.aggregate import (
     means_from_rollup,
     period_summary,
 )
-from flowmetrics.operators.clean import prepare_readings
+from flowmetrics.operators.clean import clean_readings, label_readings
 from flowmetrics.operators.compare import annual_change, baseline_comparison
 from flowmetrics.operators.distribution import distribution_by_period
 from flowmetrics.operators.rank import bottom_days, top_days
@@ -28,13 +28,13 @@ from flowmetrics.sources.tables import load_tables, rounded_tables, write_tables
 def first_tier(
     readings: DataFrame,
     calendar: PeriodCalendar = DEFAULT_CALENDAR,
-    median: str = "approx",
+    median: str = "exact",
     names: Names = NAMES,
 ) -> dict[str, DataFrame]:
     """Period summary, monthly, hourly and daily tables of prepared readings.
 
-    The readings are scanned once for the means (through a day-hour rollup, written so that
-    three tables share it) and once for the medians. Nothing as large as the readings is kept.
+    One scan of the readings makes a day-hour rollup, written so that the three tables of means
+    share it; the summary scans for its medians. Nothing as large as the readings is kept.
     """
     rollup = written(day_hour_rollup(readings, names), "rollup")
     return {
@@ -115,19 +115,26 @@ def run_report(
     years: tuple[int, int] = (fixed.FIRST_YEAR, fixed.LAST_YEAR),
     valid_flag: str = fixed.VALID_FLAG,
     calendar: PeriodCalendar = DEFAULT_CALENDAR,
-    median: str = "approx",
+    median: str = "exact",
     n: int = fixed.TOP_N,
     baseline: str = fixed.BASELINE_PERIOD,
     fmt: str = "parquet",
+    stage: bool = False,
     names: Names = NAMES,
 ) -> dict[str, dict[str, str]]:
     """Write first-tier tables, the full report and the figure tables below ``root``.
 
-    The derived tables read the first-tier tables back from where they were written, so the
-    readings are not touched again. Returns the path of every table by group and name.
+    ``stage`` first writes the clean readings, two columns, to the shared scratch folder as
+    Parquet, so that delimited text is parsed once however often it is scanned. The files
+    outlive a lost executor, which a cache of the same frame does not. The derived tables
+    read the first-tier tables back from where they were written, so the readings are not
+    touched again. Returns the path of every table by group and name.
     """
     root = root.rstrip("/")
-    readings = prepare_readings(raw, columns, years, valid_flag, calendar, names)
+    clean = clean_readings(raw, columns, years, valid_flag, names=names)
+    if stage:
+        clean = written(clean, "readings")
+    readings = label_readings(clean, calendar, names)
     tables = write_tables(first_tier(readings, calendar, median, names), root, fmt)
 
     base = load_tables(raw.sparkSession, root, fmt, names=names)
