@@ -18,6 +18,7 @@ from flowmetrics.functions.timeparts import (
     ordinal_in,
     parse_day,
     parse_timestamp,
+    second_text,
     truncate_day,
     weekday_number,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "parse_timestamp",
     "pct_change",
     "round_stable",
+    "second_text",
     "signed_percent_label",
     "to_number",
     "truncate_day",

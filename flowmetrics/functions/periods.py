@@ -13,6 +13,12 @@ from flowmetrics import fixed
 from flowmetrics.functions.timeparts import iso_date, ordinal_in
 
 
+def _text(label: str) -> str:
+    """A label as a SQL string literal."""
+    escaped = label.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class PeriodCalendar:
     """Closed periods as (label, last day inclusive) in time order, then one open-ended label.
@@ -45,22 +51,25 @@ class PeriodCalendar:
         """Number of days between the first and the last boundary."""
         return (self.closed[-1][1] - self.closed[0][1]).days if self.closed else 0
 
-    def label(self, day: Column) -> Column:
-        """Label of the period a day falls in, as one CASE expression."""
-        return self._case(day, [F.lit(last) for _, last in self.closed], inclusive=True)
+    def label(self, day: str) -> Column:
+        """Label of the period a day falls in; ``day`` is a column name or an expression."""
+        return self._case(day, "<=", [f"DATE'{last}'" for _, last in self.closed])
 
-    def label_at(self, ts: Column) -> Column:
+    def label_at(self, ts: str) -> Column:
         """Label of the period a wall-clock time falls in, without deriving its day first."""
-        starts = [F.lit(f"{last + timedelta(days=1)} 00:00:00") for _, last in self.closed]
-        return self._case(ts, [s.cast("timestamp_ntz") for s in starts], inclusive=False)
+        starts = [last + timedelta(days=1) for _, last in self.closed]
+        return self._case(ts, "<", [f"TIMESTAMP_NTZ'{day} 00:00:00'" for day in starts])
 
-    def _case(self, c: Column, ends: list[Column], inclusive: bool) -> Column:
+    def _case(self, c: str, compare: str, ends: list[str]) -> Column:
+        """One CASE, parsed as a whole: a calendar may hold many periods."""
+        otherwise = _text(self.open_label)
         if not self.closed:
-            return F.lit(self.open_label)
-        chain = F
-        for (name, _), end in zip(self.closed, ends):
-            chain = chain.when(c <= end if inclusive else c < end, F.lit(name))
-        return chain.otherwise(F.lit(self.open_label))
+            return F.expr(otherwise)
+        whens = [
+            f"WHEN {c} {compare} {end} THEN {_text(name)}"
+            for (name, _), end in zip(self.closed, ends)
+        ]
+        return F.expr(f"CASE {' '.join(whens)} ELSE {otherwise} END")
 
     def ordinal(self, label: Column) -> Column:
         """1-based place of a label in time order, NULL for a label not in the calendar."""

@@ -59,7 +59,13 @@ def parse_day(c: Column) -> Column:
 
 
 def day_text(day: Column) -> Column:
-    return F.date_format(day, fixed.DAY_PATTERN)
+    """Day of a date or wall-clock time as ISO text."""
+    return F.to_date(day).cast("string")
+
+
+def second_text(ts: Column) -> Column:
+    """Wall-clock time to the second as text in the default pattern, in no time zone."""
+    return F.substring(ts.cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def weekday_number(day: Column) -> Column:

@@ -95,7 +95,7 @@ def _with_rollup_keys(rollup: DataFrame, calendar: PeriodCalendar, names: Names)
     day = F.col(names.day)
     return rollup.withColumns(
         {
-            names.period: calendar.label(day),
+            names.period: calendar.label(f"`{names.day}`"),
             names.year: F.year(day),
             names.month: F.month(day),
         }

@@ -59,7 +59,7 @@ def clean_readings(
         df = df.where(reduce(and_, wanted))
     return df.select(
         time.alias(names.time), to_number(F.col(columns.value)).alias(names.value), *keep
-    ).where(F.col(names.time).isNotNull() & F.col(names.value).isNotNull())
+    ).where(f"`{names.time}` IS NOT NULL AND `{names.value}` IS NOT NULL")
 
 
 def filter_years(
@@ -92,7 +92,7 @@ def label_period(
     df: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
     """Add the period label of the day column."""
-    return df.withColumn(names.period, calendar.label(F.col(names.day)))
+    return df.withColumn(names.period, calendar.label(f"`{names.day}`"))
 
 
 def label_period_by_join(
@@ -106,7 +106,7 @@ def label_period_by_join(
     """
     day = F.col(names.day)
     if not calendar.closed:
-        return df.withColumn(names.period, calendar.label(day))
+        return df.withColumn(names.period, calendar.label(f"`{names.day}`"))
     first_label, first_last_day = calendar.closed[0]
     days = calendar.day_frame(df.sparkSession, names.day, names.period)
     if calendar.inner_days <= _BROADCAST_DAYS:
@@ -138,7 +138,7 @@ def label_readings(
     clean: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
     """Add calendar columns and the period label to clean readings."""
-    period = {names.period: calendar.label_at(F.col(names.time))}
+    period = {names.period: calendar.label_at(f"`{names.time}`")}
     return clean.withColumns(_calendar_parts(names) | period)
 
 

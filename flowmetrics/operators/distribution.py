@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
@@ -25,33 +26,22 @@ def distribution_by_period(
     days = label_period(daily.select(names.day, names.day_mean), calendar, names).where(
         v.isNotNull()
     )
-    quartiles = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    boxes = (
-        days.groupBy(names.period)
-        .agg(quartiles.alias("q"), F.count(F.lit(1)).alias("n"))
-        .select(
-            names.period,
-            F.col("q")[0].alias("q1"),
-            F.col("q")[1].alias("median"),
-            F.col("q")[2].alias("q3"),
-            "n",
-        )
+    own_period = W.partitionBy(names.period)
+    quartiles = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(own_period)
+    boxed = days.withColumn("q", quartiles).selectExpr(
+        "*", "q[0] AS q1", "q[1] AS median", "q[2] AS q3", f"(q[2] - q[0]) * {WHISKER_REACH} AS reach"
     )
-    reach = (F.col("q3") - F.col("q1")) * WHISKER_REACH
-    lowest = F.min(F.when(v >= F.col("q1") - reach, v))
-    highest = F.max(F.when(v <= F.col("q3") + reach, v))
-    # One row per period of the calendar: small enough to broadcast by construction.
-    whiskers = (
-        days.join(F.broadcast(boxes), names.period)
-        .groupBy(names.period, "q1", "median", "q3", "n")
-        .agg(
-            F.least(lowest, F.col("q1")).alias("whisker_lo"),
-            F.greatest(highest, F.col("q3")).alias("whisker_hi"),
-        )
+    lowest = F.min(F.when(v >= F.expr("q1 - reach"), v))
+    highest = F.max(F.when(v <= F.expr("q3 + reach"), v))
+    boxes = boxed.groupBy(names.period, "q1", "median", "q3").agg(
+        F.least(lowest, F.col("q1")).alias("whisker_lo"),
+        F.greatest(highest, F.col("q3")).alias("whisker_hi"),
+        F.count(F.lit(1)).alias("n"),
     )
+    # Both sides hold one row per period of the calendar.
     periods = calendar.frame(daily.sparkSession, names.period).select("ordinal", names.period)
     return (
-        periods.join(whiskers, names.period, "left")
+        periods.join(F.broadcast(boxes), names.period, "left")
         .orderBy("ordinal")
         .select(
             names.period,

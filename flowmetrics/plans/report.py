@@ -21,7 +21,7 @@ from flowmetrics.operators.compare import annual_change, baseline_comparison
 from flowmetrics.operators.distribution import distribution_by_period
 from flowmetrics.operators.rank import bottom_days, top_days
 from flowmetrics.operators.reshape import pivot_hour_period, pivot_month_year
-from flowmetrics.sources.scratch import written
+from flowmetrics.sources.scratch import scratch_folder, scratch_path, written
 from flowmetrics.sources.tables import load_tables, rounded_tables, write_tables
 
 
@@ -29,14 +29,17 @@ def first_tier(
     readings: DataFrame,
     calendar: PeriodCalendar = DEFAULT_CALENDAR,
     median: str = "exact",
+    work_dir: str | None = None,
     names: Names = NAMES,
 ) -> dict[str, DataFrame]:
     """Period summary, monthly, hourly and daily tables of prepared readings.
 
-    One scan of the readings makes a day-hour rollup, written so that the three tables of means
-    share it; the summary scans for its medians. Nothing as large as the readings is kept.
+    One scan of the readings makes a day-hour rollup, written below ``work_dir`` (by default a
+    new scratch path) so that the three tables of means share it; the summary scans for its
+    medians. Nothing as large as the readings is kept.
     """
-    rollup = written(day_hour_rollup(readings, names), "rollup")
+    work_dir = work_dir or scratch_path(readings.sparkSession, "first-tier")
+    rollup = written(day_hour_rollup(readings, names), f"{work_dir}/rollup")
     return {
         fixed.SUMMARY_TABLE: period_summary(readings, median, names=names),
         **means_from_rollup(rollup, calendar, names),
@@ -126,16 +129,18 @@ def run_report(
 
     ``stage`` first writes the clean readings, two columns, to the shared scratch folder as
     Parquet, so that delimited text is parsed once however often it is scanned. The files
-    outlive a lost executor, which a cache of the same frame does not. The derived tables
-    read the first-tier tables back from where they were written, so the readings are not
-    touched again. Returns the path of every table by group and name.
+    outlive a lost executor, which a cache of the same frame does not; they are deleted once
+    the first tier is written. The derived tables read the first-tier tables back from there,
+    so the readings are not touched again. Returns the path of every table by group and name.
     """
     root = root.rstrip("/")
     clean = clean_readings(raw, columns, years, valid_flag, names=names)
-    if stage:
-        clean = written(clean, "readings")
-    readings = label_readings(clean, calendar, names)
-    tables = write_tables(first_tier(readings, calendar, median, names), root, fmt)
+    with scratch_folder(raw.sparkSession, "job") as work_dir:
+        if stage:
+            clean = written(clean, f"{work_dir}/readings")
+        readings = label_readings(clean, calendar, names)
+        first = first_tier(readings, calendar, median, work_dir, names)
+        tables = write_tables(first, root, fmt)
 
     base = load_tables(raw.sparkSession, root, fmt, names=names)
     report = full_report(base, n, baseline, names=names)

@@ -1,7 +1,7 @@
 """Scans, sinks and scratch tables."""
 
 from flowmetrics.sources.readings import read_delimited, read_parquet
-from flowmetrics.sources.scratch import scratch_path, written
+from flowmetrics.sources.scratch import scratch_folder, scratch_path, written
 from flowmetrics.sources.tables import (
     load_tables,
     reload_table,
@@ -18,6 +18,7 @@ __all__ = [
     "read_parquet",
     "reload_table",
     "rounded_tables",
+    "scratch_folder",
     "scratch_path",
     "union_parts",
     "write_clean_readings",

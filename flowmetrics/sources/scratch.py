@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +24,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/flowmetrics/{name}-{uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to a scratch path and read it back: lineage ends at the files."""
-    path = scratch_path(df.sparkSession, name)
+@contextmanager
+def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """A scratch path of its own, deleted with all it holds when the block ends."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write a table as Parquet and read it back: its lineage ends at the files."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

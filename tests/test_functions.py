@@ -83,6 +83,13 @@ def test_text_off_the_pattern_is_null(spark, text):
     assert df.select(fx.parse_timestamp(F.col("x"))).first()[0] is None
 
 
+def test_labels_may_hold_quotes_and_backslashes(spark):
+    odd = PeriodCalendar.of([("it's \\ \"x\"", "2020-01-01")], "o'rest\\")
+    df = spark.sql("SELECT explode(array(DATE'2020-01-01', DATE'2020-01-02')) AS fecha_dia")
+    for label in (op.label_period, op.label_period_by_join):
+        assert sorted(r.periodo_covid for r in label(df, odd).collect()) == sorted(odd.labels)
+
+
 DAYS = st.dates(date(1990, 1, 1), date(2030, 12, 31))
 
 
@@ -94,7 +101,7 @@ def test_every_day_gets_one_label_whichever_way(spark, ends, days):
     days = sorted({*days, *ends, *(e + timedelta(days=1) for e in ends)})
     df = spark.createDataFrame([(d,) for d in days], "fecha_dia date")
     want = {d: next((f"p{i}" for i, e in enumerate(ends) if d <= e), "rest") for d in days}
-    at_noon = F.expr("CAST(fecha_dia AS TIMESTAMP_NTZ) + INTERVAL '12' HOUR")
+    at_noon = "CAST(fecha_dia AS TIMESTAMP_NTZ) + INTERVAL '12' HOUR"
     for labelled in (
         op.label_period(df, calendar),
         op.label_period_by_join(df, calendar),

@@ -1,5 +1,8 @@
 """Tables written and read back, and the whole job against pandas."""
 
+import os
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -15,6 +18,7 @@ from flowmetrics.sources import (
     read_delimited,
     read_parquet,
     reload_table,
+    scratch_folder,
     scratch_path,
     union_parts,
     write_clean_readings,
@@ -86,9 +90,21 @@ def test_scratch_lies_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
     assert a != b and a.startswith(shared) and b.startswith(shared)
-    df = written(spark.range(3), "ids")
-    assert sorted(r.id for r in df.collect()) == [0, 1, 2]
-    assert all(shared in f for f in df.inputFiles())
+    with scratch_folder(spark, "t") as path:
+        df = written(spark.range(3), f"{path}/ids")
+        assert sorted(r.id for r in df.collect()) == [0, 1, 2]
+        assert all(shared in f for f in df.inputFiles())
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Cluster:
+        conf = {}
+        sparkContext = SimpleNamespace(master="yarn")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Cluster, "t")
 
 
 @pytest.fixture(scope="module")
@@ -150,6 +166,8 @@ def job(spark, raw, request):
     out = str(root / f"out-{request.param}")
     readings = read_delimited(spark, f"{root}/raw/*/*.csv")
     paths = run_report(readings, out, fmt=request.param, stage=request.param == "csv")
+    scratch = f"{spark.conf.get('spark.checkpoint.dir')}/flowmetrics"
+    assert not [d for d in os.listdir(scratch) if d.startswith("job-")]
     return out, paths, request.param, expected_tables(df)
 
 
