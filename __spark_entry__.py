@@ -336,7 +336,7 @@ def period_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken for large inputs, whatever the size of this one."""
     readings = _orders(spark, sf_dir)
-    summary = op.period_summary(readings, "exact", small_bytes=0, ordered=False)
+    summary = op.period_summary(readings, "exact", one_pass_bytes=0, ordered=False)
     return summary.select(NAMES.period, NAMES.median)
 
 

@@ -17,8 +17,9 @@ from flowmetrics.names import NAMES, Names
 from flowmetrics.operators.median import estimated_bytes, mean_and_quantile
 
 APPROX_ACCURACY = 10_000
-# Input up to this size may be gathered per period: a few million distinct values at most.
-SMALL_BYTES = 32 * 1024 * 1024
+# Inputs up to these sizes leave little to gather per period: sketches of some thousand tasks,
+# about 100 kB each, or a few million distinct values.
+ONE_PASS_BYTES = {"approx": 2**40, "exact": 2**25}
 
 
 def _sorted(df: DataFrame, keys: list[str], ordered: bool) -> DataFrame:
@@ -36,30 +37,31 @@ def period_summary(
     readings: DataFrame,
     median: str = "approx",
     accuracy: int = APPROX_ACCURACY,
-    small_bytes: int = SMALL_BYTES,
+    one_pass_bytes: int | None = None,
     ordered: bool = True,
     names: Names = NAMES,
 ) -> DataFrame:
     """Mean and median per period.
 
-    ``median="approx"`` keeps a sketch per period: one pass, rank error at most n/accuracy;
-    the sketches of all tasks meet in one task per period. ``median="exact"`` takes one pass
-    with Spark's own percentile when Catalyst puts the input at ``small_bytes`` or less, for
-    that function holds all distinct values of a period in one task. Beyond that size it
-    counts rows per value slot and looks into one slot, so that no task sees a period whole.
-    Both ways give the same median.
+    ``median="approx"`` is Spark's sketch, with a rank error of at most n/accuracy;
+    ``median="exact"`` is Spark's percentile. Both take one pass, but gather in one task per
+    period what comes from all tasks: sketches, or all distinct values. Where Catalyst puts the
+    input above ``one_pass_bytes`` (by default a limit for each kind), the median is found by
+    counting instead, with no such task: rows per value slot first, then values in one slot.
+    It is exact for both kinds.
     """
-    if median == "exact" and estimated_bytes(readings, [names.period, names.value]) > small_bytes:
+    if median not in ONE_PASS_BYTES:
+        raise ValueError(f"median must be one of {list(ONE_PASS_BYTES)}, not {median!r}")
+    limit = ONE_PASS_BYTES[median] if one_pass_bytes is None else one_pass_bytes
+    if estimated_bytes(readings, [names.period, names.value]) > limit:
         out = mean_and_quantile(readings, names.period, names.value, names.mean, names.median)
         return _sorted(out, [names.period], ordered)
-    medians = {
-        "approx": F.percentile_approx(names.value, 0.5, accuracy),
-        "exact": F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{names.value}`)"),
-    }
-    if median not in medians:
-        raise ValueError(f"median must be 'approx' or 'exact', not {median!r}")
+    if median == "approx":
+        middle = F.percentile_approx(names.value, 0.5, accuracy)
+    else:
+        middle = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{names.value}`)")
     out = readings.groupBy(names.period).agg(
-        F.avg(names.value).alias(names.mean), medians[median].alias(names.median)
+        F.avg(names.value).alias(names.mean), middle.alias(names.median)
     )
     return _sorted(out, [names.period], ordered)
 

@@ -20,6 +20,9 @@ from flowmetrics.schema import require_columns
 # A day table of this many rows (about 550 years) stays below some 10 MB, label included.
 _BROADCAST_DAYS = 200_000
 
+# A CASE of more branches than this is slower than one probe of a hash table.
+_CASE_PERIODS = 64
+
 _NTZ = T.TimestampNTZType()
 
 
@@ -138,8 +141,10 @@ def label_readings(
     clean: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
     """Add calendar columns and the period label to clean readings."""
-    period = {names.period: calendar.label_at(f"`{names.time}`")}
-    return clean.withColumns(_calendar_parts(names) | period)
+    parts = _calendar_parts(names)
+    if len(calendar.labels) > _CASE_PERIODS:
+        return label_period_by_join(clean.withColumns(parts), calendar, names)
+    return clean.withColumns(parts | {names.period: calendar.label_at(f"`{names.time}`")})
 
 
 def round_columns(

@@ -1,6 +1,7 @@
 """Scan, cleaning, period labels and the four aggregates on hand-written rows."""
 
-from datetime import date, datetime
+import itertools
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -166,8 +167,8 @@ def test_aggregates(spark):
         "fecha string, intensidad double",
     )
     readings = op.prepare_readings(raw, ReadingColumns(flag=None))
-    for kind, small in (("approx", 1), ("exact", 0), ("exact", 1 << 40)):
-        rows = op.period_summary(readings, kind, small_bytes=small).collect()
+    for kind, limit in itertools.product(("approx", "exact"), (0, None, 2**62)):
+        rows = op.period_summary(readings, kind, one_pass_bytes=limit).collect()
         assert [tuple(r) for r in rows] == [("Confinamiento", 10.0, 10.0), ("Pre-COVID", 3.0, 2.0)]
     assert [tuple(r) for r in op.monthly_mean(readings).collect()] == [
         (2019, 1, 3.0),
@@ -211,3 +212,20 @@ def test_calendar_without_closed_periods(spark):
     df = spark.sql("SELECT DATE'2020-01-01' AS fecha_dia")
     for label in (op.label_period, op.label_period_by_join):
         assert label(df, only).first().periodo_covid == "all"
+
+
+def test_a_calendar_of_many_periods_is_joined(spark):
+    """Weekly periods over three years: too many for a CASE, same labels either way."""
+    ends = [date(2019, 6, 1) + timedelta(weeks=w) for w in range(150)]
+    weekly = PeriodCalendar.of([(f"w{i}", e) for i, e in enumerate(ends)], "later")
+    raw = spark.range(0, 1400).selectExpr(
+        "TIMESTAMP_NTZ'2019-02-01 12:00:00' + make_interval(0, 0, 0, id) AS fecha",
+        "1.0D AS intensidad",
+        "'N' AS error",
+    )
+    readings = op.prepare_readings(raw, calendar=weekly)
+    assert "BroadcastHashJoin" in readings._jdf.queryExecution().executedPlan().toString()
+    got = {r.fecha_dia: r.periodo_covid for r in readings.collect()}
+    assert len(got) == 1400
+    for day, label in got.items():
+        assert label == next((f"w{i}" for i, e in enumerate(ends) if day <= e), "later")

@@ -81,5 +81,5 @@ def test_approximate_median_keeps_its_rank_bound(spark):
     )
     approx = op.period_summary(df, "approx", accuracy).first().intensidad_mediana
     assert abs(approx - n / 2) <= n / accuracy + 1
-    exact = op.period_summary(df, "exact", small_bytes=0).first().intensidad_mediana
+    exact = op.period_summary(df, "exact", one_pass_bytes=0).first().intensidad_mediana
     assert exact == n / 2 - 1

@@ -65,7 +65,7 @@ def test_long_calendars_probe_one_hash_table(spark):
 
 
 def test_exact_median_of_a_large_input_gathers_no_group(orders):
-    df = op.period_summary(orders, "exact", small_bytes=0)
+    df = op.period_summary(orders, "exact", one_pass_bytes=0)
     text = plan(df, executed=True)
     assert "percentile" not in text
     # Readings are only ever shuffled by (period, slot) or (period, value).
