@@ -223,7 +223,7 @@ def parse_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         "event_id",
         fx.parse_timestamp(text).alias("parsed"),
-        fx.parse_timestamp(F.col("event_type")).alias("unparsed"),
+        fx.parse_timestamp(F.col("event_type")).isNull().alias("other_text_is_null"),
     )
 
 
@@ -231,7 +231,7 @@ def cast_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select(
         "o_orderkey",
         fx.to_number(F.col("o_totalprice").cast("string")).alias("number"),
-        fx.to_number(F.col("o_orderpriority")).alias("no_number"),
+        fx.to_number(F.col("o_orderpriority")).isNull().alias("other_text_is_null"),
     )
 
 
@@ -269,7 +269,7 @@ def parse_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select(
         "o_orderkey",
         fx.parse_day(text).cast("timestamp_ntz").alias("day"),
-        fx.parse_day(F.col("o_orderpriority")).cast("timestamp_ntz").alias("no_day"),
+        fx.parse_day(F.col("o_orderpriority")).isNull().alias("other_text_is_null"),
     )
 
 
@@ -322,7 +322,7 @@ def present_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 def present_periods_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No label of the calendar occurs: every row stays."""
     means = _period_means(spark, sf_dir)
-    return _rounded(op.present_periods(means, OTHER_PERIODS), 4, NAMES.mean)
+    return _rounded(op.present_periods(means, OTHER_PERIODS), 4, NAMES.mean).drop("ordinal")
 
 
 # --- first tier -----------------------------------------------------------------------------
@@ -635,10 +635,12 @@ def _queries_sql() -> dict[str, str]:
         "prune_columns": "SELECT o_custkey, o_orderdate, o_totalprice, o_orderstatus FROM orders",
         "parse_timestamp": """
             SELECT event_id, date_trunc('second', ts) AS parsed,
-                   TRY_CAST(event_type AS TIMESTAMP) AS unparsed FROM events""",
+                   TRY_CAST(event_type AS TIMESTAMP) IS NULL AS other_text_is_null
+            FROM events""",
         "cast_value": """
             SELECT o_orderkey, TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS number,
-                   TRY_CAST(o_orderpriority AS DOUBLE) AS no_number FROM orders""",
+                   TRY_CAST(o_orderpriority AS DOUBLE) IS NULL AS other_text_is_null
+            FROM orders""",
         "calendar_parts": """
             SELECT event_id, CAST(year(ts) AS INTEGER) AS year,
                    CAST(month(ts) AS INTEGER) AS month, CAST(hour(ts) AS INTEGER) AS hour,
@@ -652,7 +654,8 @@ def _queries_sql() -> dict[str, str]:
             SELECT event_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS midnight FROM events""",
         "parse_day": """
             SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day,
-                   CAST(TRY_CAST(o_orderpriority AS DATE) AS TIMESTAMP) AS no_day FROM orders""",
+                   TRY_CAST(o_orderpriority AS DATE) IS NULL AS other_text_is_null
+            FROM orders""",
         "weekday_number": """
             SELECT o_orderkey, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday FROM orders""",
         "day_type_label": f"""
@@ -673,8 +676,7 @@ def _queries_sql() -> dict[str, str]:
             SELECT periodo_covid, {mean4}, {partial} AS ordinal FROM ({_PERIOD_MEANS})
             WHERE {partial} IS NOT NULL""",
         "present_periods_fallback": f"""
-            SELECT periodo_covid, {mean4}, CAST(NULL AS INTEGER) AS ordinal
-            FROM ({_PERIOD_MEANS})""",
+            SELECT periodo_covid, {mean4} FROM ({_PERIOD_MEANS})""",
         "period_summary": f"SELECT periodo_covid, {mean4}, intensidad_mediana FROM ({_SUMMARY})",
         "median_exact": f"SELECT periodo_covid, intensidad_mediana FROM ({_SUMMARY})",
         "monthly_mean": f"SELECT year, month, {mean4} FROM ({_MONTHLY})",

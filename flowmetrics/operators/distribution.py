@@ -28,8 +28,9 @@ def distribution_by_period(
     )
     own_period = W.partitionBy(names.period)
     quartiles = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(own_period)
+    reach = f"(q[2] - q[0]) * {WHISKER_REACH} AS reach"
     boxed = days.withColumn("q", quartiles).selectExpr(
-        "*", "q[0] AS q1", "q[1] AS median", "q[2] AS q3", f"(q[2] - q[0]) * {WHISKER_REACH} AS reach"
+        "*", "q[0] AS q1", "q[1] AS median", "q[2] AS q3", reach
     )
     lowest = F.min(F.when(v >= F.expr("q1 - reach"), v))
     highest = F.max(F.when(v <= F.expr("q3 + reach"), v))

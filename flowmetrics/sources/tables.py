@@ -32,7 +32,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         writer.parquet(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
+def write_tables(
+    tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet"
+) -> dict[str, str]:
     """Write each table to a directory of its name below ``root``; return the paths."""
     paths = {name: f"{root.rstrip('/')}/{name}" for name in tables}
     for name, df in tables.items():

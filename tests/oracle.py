@@ -41,6 +41,7 @@ TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "date": "DATE",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 

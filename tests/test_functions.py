@@ -54,7 +54,8 @@ def test_round_stable_forgives_the_order_of_a_sum(spark):
 
 
 def test_pct_change(spark):
-    df = spark.createDataFrame([(3.0, 2.0), (3.0, 0.0), (None, 2.0), (2.0, None)], "a double, b double")
+    pairs = [(3.0, 2.0), (3.0, 0.0), (None, 2.0), (2.0, None)]
+    df = spark.createDataFrame(pairs, "a double, b double")
     got = [r[0] for r in df.select(fx.pct_change(F.col("a"), F.col("b"))).collect()]
     assert got == [50.0, None, None, None]
 
@@ -107,7 +108,8 @@ def test_every_day_gets_one_label_whichever_way(spark, ends, days):
         op.label_period_by_join(df, calendar),
         df.withColumn("periodo_covid", calendar.label_at(at_noon)),
     ):
-        assert dict(tuple(r) for r in labelled.select("fecha_dia", "periodo_covid").collect()) == want
+        rows = labelled.select("fecha_dia", "periodo_covid").collect()
+        assert dict(tuple(r) for r in rows) == want
 
 
 @QUIET

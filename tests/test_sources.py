@@ -175,7 +175,8 @@ def test_job_writes_the_first_tier(spark, job):
     out, _, fmt, want = job
     tables = load_tables(spark, out, fmt)
     summary = tables[fixed.SUMMARY_TABLE].collect()
-    assert {r[0]: r[2] for r in summary} == {p: m for p, (_, m) in want[fixed.SUMMARY_TABLE].items()}
+    medians = {p: m for p, (_, m) in want[fixed.SUMMARY_TABLE].items()}
+    assert {r[0]: r[2] for r in summary} == medians
     for r in summary:
         assert r[1] == pytest.approx(want[fixed.SUMMARY_TABLE][r[0]][0])
     for name in (fixed.MONTHLY_TABLE, fixed.HOURLY_TABLE):
