@@ -30,7 +30,6 @@ from flowmetrics.operators.compare import (
     change_vs_previous,
 )
 from flowmetrics.operators.distribution import distribution_by_period
-from flowmetrics.operators.median import mean_and_quantile
 from flowmetrics.operators.rank import bottom_days, top_days
 from flowmetrics.operators.reshape import (
     logical_order,
@@ -62,7 +61,6 @@ __all__ = [
     "logical_order",
     "matrix",
     "mean_by",
-    "mean_and_quantile",
     "means_from_rollup",
     "monthly_mean",
     "period_summary",

@@ -11,8 +11,11 @@ LOG_SLOTS = 1024
 LINEAR_SLOTS = 4096
 
 # Number of a value's slot, rising with the value: about 0.1 % wide, or of equal width
-# between lo and hi.
-_LOG_SLOT = f"CASE WHEN v < 0 THEN -1 ELSE 1 END * floor(log1p(abs(v)) * {LOG_SLOTS})"
+# between lo and hi. NaN sorts last, as it does everywhere in Spark.
+_LOG_SLOT = f"""
+    CASE WHEN isnan(v) THEN 9223372036854775807
+         WHEN v < 0 THEN -floor(log1p(abs(v)) * {LOG_SLOTS})
+         ELSE floor(log1p(v) * {LOG_SLOTS}) END"""
 _WIDTH = f"((hi - lo) / {LINEAR_SLOTS})"
 _LINEAR_SLOT = (
     f"CASE WHEN {_WIDTH} > 0 THEN least({LINEAR_SLOTS - 1}, floor((v - lo) / {_WIDTH})) ELSE 0 END"
@@ -67,8 +70,8 @@ def mean_and_quantile(
 
     Both counts combine before their shuffles and spread one group over all tasks, and the
     shuffles are small whatever the number of distinct values. The windows see slots or the
-    values of one slot, never a group. The ranges broadcast are one row per group, so
-    ``group`` must be a label from a short list, such as the labels of a period calendar.
+    values of one slot, never a group. The ranges broadcast are one row per group, and
+    ``group`` is the period label, so the calendar bounds them.
     """
     readings = df.select(F.col(group).alias("g"), F.col(value).alias("v")).where("v IS NOT NULL")
     n, lo, hi = F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from flowmetrics import operators as op
+from flowmetrics.operators.median import mean_and_quantile
 from pyspark.sql import functions as F
 
 SCHEMA = "g string, v double"
@@ -26,7 +27,7 @@ def expected(rows, q=0.5):
 
 def quantiles(spark, rows, q=0.5):
     df = spark.createDataFrame(rows, SCHEMA)
-    got = op.mean_and_quantile(df, "g", "v", "mean", "quantile", q).collect()
+    got = mean_and_quantile(df, "g", "v", "mean", "quantile", q).collect()
     assert len({r.g for r in got}) == len(got)
     return {r.g: r for r in got}
 
@@ -54,6 +55,13 @@ def test_cases(spark, case, q):
     assert {g: r.quantile for g, r in got.items()} == expected(rows, q)
 
 
+def test_nan_sorts_last(spark):
+    nan = math.nan
+    rows = [("a", nan), ("a", math.inf), ("a", 1.0), ("b", nan), ("b", nan), ("b", 2.0)]
+    got = quantiles(spark, rows)
+    assert got["a"].quantile == math.inf and math.isnan(got["b"].quantile)
+
+
 def test_mean_comes_along(spark):
     got = quantiles(spark, CASES["hot group"])
     values = [v for g, v in CASES["hot group"] if g == "hot"]
