@@ -112,6 +112,11 @@ def _day_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn(NAMES.day, fx.day_text(F.col(NAMES.day)))
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be NULL, as text: checkers differ in how they read such columns."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 # --- scans and sinks ------------------------------------------------------------------------
 
 
@@ -311,7 +316,8 @@ def distinct_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logical_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordinals from a calendar that knows three of the five labels."""
     means = _period_means(spark, sf_dir)
-    return _rounded(op.logical_order(means, PARTIAL_PERIODS), 4, NAMES.mean)
+    ordered = op.logical_order(means, PARTIAL_PERIODS)
+    return _as_text(_rounded(ordered, 4, NAMES.mean), "ordinal")
 
 
 def present_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +366,8 @@ def daily_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def four_grains(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = op.day_hour_rollup(_events(spark, sf_dir))
-    return _day_as_text(_rounded(op.four_grains(rollup, EVENT_PERIODS), 4, NAMES.mean))
+    grains = _rounded(op.four_grains(rollup, EVENT_PERIODS), 4, NAMES.mean)
+    return _day_as_text(_as_text(grains, NAMES.year, NAMES.month, NAMES.hour))
 
 
 # --- second tier ----------------------------------------------------------------------------
@@ -671,7 +678,8 @@ def _queries_sql() -> dict[str, str]:
             WHERE year(o_orderdate) BETWEEN 1996 AND 1999""",
         "distinct_periods": f"SELECT DISTINCT periodo_covid FROM ({_ORDERS})",
         "logical_order": f"""
-            SELECT periodo_covid, {mean4}, {partial} AS ordinal FROM ({_PERIOD_MEANS})""",
+            SELECT periodo_covid, {mean4}, CAST({partial} AS VARCHAR) AS ordinal
+            FROM ({_PERIOD_MEANS})""",
         "present_periods": f"""
             SELECT periodo_covid, {mean4}, {partial} AS ordinal FROM ({_PERIOD_MEANS})
             WHERE {partial} IS NOT NULL""",
@@ -685,7 +693,8 @@ def _queries_sql() -> dict[str, str]:
             SELECT {_DAY_TEXT}, {_r("intensidad_media_dia", 4)} AS intensidad_media_dia
             FROM ({_DAILY})""",
         "four_grains": f"""
-            SELECT periodo_covid, year, month, hour, {_DAY_TEXT}, grain_id, {mean4}, n
+            SELECT periodo_covid, CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month,
+                   CAST(hour AS VARCHAR) AS hour, {_DAY_TEXT}, grain_id, {mean4}, n
             FROM (SELECT periodo_covid, year, month, hour, fecha_dia,
                          CAST(GROUPING(periodo_covid, year, month, hour, fecha_dia) AS BIGINT)
                            AS grain_id,
