@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 
 from flowmetrics import DEFAULT_CALENDAR as CALENDAR
-from flowmetrics import fixed
+from flowmetrics import Names, PeriodCalendar, ReadingColumns, fixed
 from flowmetrics import operators as op
 from flowmetrics.__main__ import main
 from flowmetrics.plans import run_report
@@ -26,6 +26,7 @@ from flowmetrics.sources import (
     written,
 )
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 
 def test_round_trip(spark, tmp_path):
@@ -255,3 +256,57 @@ def test_command_line(spark, raw, tmp_path, capsys):
     assert len(lines) == 4 + 9 + 15
     top = reload_table(spark, str(tmp_path / "out/report" / fixed.REPORT_TOP), fmt="parquet")
     assert top.count() == 3
+
+
+def test_job_with_other_names_columns_and_periods(spark, tmp_path):
+    """Nothing depends on the default names; names with spaces work too."""
+    names = Names(
+        time="at",
+        value="speed",
+        year="yr",
+        month="mo",
+        hour="h r",
+        day="the day",
+        period="phase",
+        mean="avg speed",
+        median="mid speed",
+        day_mean="day avg",
+        annual_mean="year avg",
+        annual_change="year change",
+        day_type="kind",
+        baseline_change="vs base",
+    )
+    calendar = PeriodCalendar.of([("before", "2024-02-29"), ("it's on", "2024-06-30")], "after")
+    raw = spark.range(0, 366 * 24).select(
+        F.expr("TIMESTAMP_NTZ'2024-01-01 00:30:00' + make_interval(0, 0, 0, 0, id)").alias("t"),
+        (F.col("id") % 7).alias("s"),
+        F.lit("ok").alias("q"),
+    )
+    paths = run_report(
+        raw,
+        str(tmp_path / "out"),
+        ReadingColumns("t", "s", "q"),
+        (2024, 2024),
+        "ok",
+        calendar,
+        n=3,
+        baseline="before",
+        names=names,
+    )
+    report = {
+        name: reload_table(spark, path, fmt="parquet") for name, path in paths["report"].items()
+    }
+    comparison = report[fixed.REPORT_COMPARISON]
+    assert comparison.columns == ["phase", "avg speed", "mid speed", "vs base"]
+    assert {r.phase: r["vs base"] for r in comparison.collect()}["before"] == 0.0
+    assert report[fixed.REPORT_ANNUAL].columns == ["yr", "year avg", "year change"]
+    assert report[fixed.REPORT_TOP].count() == 3
+    hours = reload_table(spark, paths["figures"]["hour_period"], fmt="parquet")
+    assert hours.columns == ["h r", "before", "it's on", "after"]
+    assert hours.count() == 24
+    for median in ("approx", "exact"):
+        readings = op.prepare_readings(
+            raw, ReadingColumns("t", "s", "q"), (2024, 2024), "ok", calendar, names
+        )
+        rows = op.period_summary(readings, median, one_pass_bytes=0, names=names).collect()
+        assert {r["mid speed"] for r in rows} == {3.0}
