@@ -10,15 +10,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmetrics.llm import quality, sharding
+from flowmetrics.llm import packing, quality, sharding, token_files
+from flowmetrics.llm.shipping import ship_package
+from flowmetrics.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, end_id=2)
+    return token_files.with_crc32(token_files.read_token_files(spark, path))
+
+
 def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judged_documents(docs, drop_text=True)
@@ -45,6 +58,8 @@ def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_slack_packing": op4_slack_packing,
+        "op6_token_files": op6_token_files,
         "op8_quality_votes": op8_quality_votes,
         "op9_stratified_shards": op9_stratified_shards,
     }
