@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmetrics.llm import packing, quality, sharding, token_files
+from flowmetrics.llm import lm_scoring, packing, quality, sharding, token_files
 from flowmetrics.llm.shipping import ship_package
 from flowmetrics.sources.scratch import scratch_path
 
@@ -22,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_lattice_likelihood": op3_lattice_likelihood,
         "op4_slack_packing": op4_slack_packing,
         "op6_token_files": op6_token_files,
         "op8_quality_votes": op8_quality_votes,
