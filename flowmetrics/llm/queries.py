@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmetrics.llm import lm_scoring, packing, quality, sharding, token_files
+from flowmetrics.llm import jaccard_join, lm_scoring, packing, quality, sharding, token_files
 from flowmetrics.llm.shipping import ship_package
 from flowmetrics.sources.scratch import scratch_path
 
@@ -60,6 +60,10 @@ def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_lattice_likelihood": op3_lattice_likelihood,
@@ -67,6 +71,7 @@ def queries() -> dict[str, Query]:
         "op6_token_files": op6_token_files,
         "op8_quality_votes": op8_quality_votes,
         "op9_stratified_shards": op9_stratified_shards,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
