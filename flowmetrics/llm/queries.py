@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmetrics.llm import jaccard_join, lm_scoring, packing, quality, sharding, token_files
+from flowmetrics.llm import decontamination, jaccard_join, lm_scoring, packing, quality, sharding, token_files
 from flowmetrics.llm.shipping import ship_package
 from flowmetrics.sources.scratch import scratch_path
 
@@ -22,6 +22,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("text_key")
+
+
 def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(_table(spark, sf_dir, "documents"))
 
@@ -66,6 +73,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_string_tiling": op2_string_tiling,
         "op3_lattice_likelihood": op3_lattice_likelihood,
         "op4_slack_packing": op4_slack_packing,
         "op6_token_files": op6_token_files,
