@@ -29,19 +29,13 @@ MOST_FILTER_BITS = 1 << 28
 _BASE = 1_000_003
 _MASK = (1 << 64) - 1
 
-# Bytes as they are compared: A-Z in lower case, ASCII punctuation and controls as white space.
-_SEEN_AS = np.array(
-    [
-        c if c >= 128 or chr(c).isdigit() or chr(c).islower() else c + 32 if chr(c).isupper() else 32
-        for c in range(256)
-    ],
-    np.uint8,
-)
+# Bytes as they are compared, once in lower case: ASCII punctuation and controls are white space.
+_SEEN_AS = np.array([c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)], np.uint8)
 
 
 def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the texts' words without case and punctuation, and where each text's end."""
-    whole = pa.concat_arrays([pc.fill_null(column, "")])
+    whole = pa.concat_arrays([pc.utf8_lower(pc.fill_null(column, ""))])
     _, offsets, data = whole.buffers()
     seen = _SEEN_AS[np.frombuffer(data or b"", np.uint8)]
     plain = pa.StringArray.from_buffers(len(whole), offsets, pa.py_buffer(seen.tobytes()))
@@ -152,7 +146,7 @@ def contaminated(
     """One row per document and item it covers: ``doc_id``, ``text_key`` (xxhash64 of the text),
     ``item_id``, ``item_tokens``, ``covered_tokens``, ``coverage``, ``n_tiles``, ``longest_tile``.
 
-    Words are compared without ASCII case and punctuation. An item of fewer than ``least`` words
+    Words are compared without case and ASCII punctuation. An item of fewer than ``least`` words
     cannot be found; NULL and empty texts on either side match nothing; repeated rows of documents
     give repeated rows, repeated items one. An empty table on either side gives no rows; further
     columns are not used.
