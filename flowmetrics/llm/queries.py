@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmetrics.llm import decontamination, jaccard_join, lm_scoring, packing, quality, sharding, token_files
+from flowmetrics.llm import decontamination, jaccard_join, lm_scoring, packing, quality, repeats, sharding, token_files
 from flowmetrics.llm.shipping import ship_package
 from flowmetrics.sources.scratch import scratch_path
 
@@ -43,6 +43,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, path))
 
 
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judged_documents(docs, drop_text=True)
@@ -77,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op3_lattice_likelihood": op3_lattice_likelihood,
         "op4_slack_packing": op4_slack_packing,
         "op6_token_files": op6_token_files,
+        "op7_suffix_repeats": op7_suffix_repeats,
         "op8_quality_votes": op8_quality_votes,
         "op9_stratified_shards": op9_stratified_shards,
         "op10_jaccard_join": op10_jaccard_join,
