@@ -56,8 +56,8 @@ def stratified_shards(
     buckets = 1 << bits
     # Java's >>> takes its distance modulo 64, so no bits means bucket 0 spelled out.
     top = F.shiftrightunsigned("_shard_hash", 64 - bits) if bits else F.lit(0).cast("long")
-    # The signed order of hashes within one bucket is also the unsigned one: top bits agree.
-    ties = [F.col("_shard_hash"), F.col(key), *[F.col(c) for c in rest]]
+    # Buckets are by unsigned hash, so rows are, too: negative ones last.
+    ties = [F.col("_shard_hash") < 0, F.col("_shard_hash"), F.col(key), *[F.col(c) for c in rest]]
     ranked = ranked_in_buckets(
         hashed.withColumn("_shard_bucket", top),
         ["_shard_source"], "_shard_bucket", ties, "_shard_rank", "_shard_size",
