@@ -19,13 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmetrics.llm.batches import slices, split_words, window_hashes, word_hashes
+from flowmetrics.llm.bits import filter_bits, passes
 from flowmetrics.sources.scratch import scratch_path, written
 
 #: Tokens of the shortest tile, and of a seed.
 LEAST_TILE = 5
 COVERAGE = 0.6
-#: Bits of the filter that documents are held against, at most: 32 MB.
-MOST_FILTER_BITS = 1 << 28
 _BASE = 1_000_003
 _MASK = (1 << 64) - 1
 
@@ -119,27 +118,6 @@ def _item_seeds(items: DataFrame, least: int) -> DataFrame:
     return items.mapInArrow(rows, "seed bigint, item bigint, times bigint, n_tokens bigint")
 
 
-def _filter_bits(seeds: DataFrame, bits: int) -> np.ndarray:
-    """A bit set with two places per seed; at most ``bits / 64`` rows reach the driver."""
-    mask = F.lit(bits - 1).cast("long")
-    places = seeds.select(F.explode(F.array("seed", F.shiftright("seed", 32))).alias("place"))
-    at = places.select(F.col("place").bitwiseAND(mask).alias("at"))
-    word = F.expr("shiftleft(1L, cast(at & 63 as int))")
-    filled = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(word).alias("bits"))
-    table = filled.toArrow()
-    out = np.zeros(max(1, bits // 64), np.int64)
-    out[table.column("word").to_numpy()] = table.column("bits").to_numpy()
-    return out.view(np.uint64)
-
-
-def _passes(hashes: np.ndarray, filled: np.ndarray) -> np.ndarray:
-    mask = np.uint64(len(filled) * 64 - 1)
-    found = np.ones(len(hashes), bool)
-    for at in (hashes & mask, (hashes >> np.uint64(32)) & mask):
-        found &= (filled[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-    return found
-
-
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST_TILE
 ) -> DataFrame:
@@ -160,18 +138,14 @@ def contaminated(
     items = items.withColumn("item", F.xxhash64("item_id", "text"))
     items = written(items, scratch_path(spark, "items"))
     seeds = written(_item_seeds(items, least), scratch_path(spark, "item-seeds"))
-    bits = 1 << 16
-    wanted = 32 * seeds.count()
-    while bits < min(wanted, MOST_FILTER_BITS):
-        bits *= 2
-    filled = _filter_bits(seeds, bits)
+    filled = filter_bits(seeds.select(F.col("seed").alias("key")))
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text"):
             hashes, ends = plain_words(batch.column("text"))
             runs = window_hashes(hashes, least)
-            at = np.flatnonzero(_passes(runs, filled))
+            at = np.flatnonzero(passes(runs, filled))
             doc = np.searchsorted(ends, at, side="right")
             inside = at + least <= ends[doc] if len(at) else np.zeros(0, bool)
             at, doc = at[inside], doc[inside]
