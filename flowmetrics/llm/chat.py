@@ -1,7 +1,8 @@
 """Reply trees as formatted conversations: paths from root to leaf, the best branches chosen.
 
-Paths are found by self-joins that double their reach: after k rounds every message knows its
-2**k-th ancestor and the scores between, so a tree of any depth takes a logarithm of rounds. Leaves
+Paths are found by self-joins that double their reach: after k rounds a message knows its 2**k-th
+ancestor and the scores between, so a tree of any depth takes a logarithm of rounds, and messages
+that have reached their root take no part in further ones. Leaves
 are ranked by the mean score of their path, and the messages of the chosen ones are gathered by the
 same tables. Each path becomes one text with marks around turns and a loss mask over what the
 assistant says.
@@ -12,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -57,21 +59,26 @@ def best_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
         *key, F.when(F.col("known"), F.col("parent")).alias("up"), "score",
         F.lit(1).cast("bigint").alias("n"),
     )
-    steps = [written(step, scratch_path(spark, "ancestors"))]
+    first = written(step, scratch_path(spark, "ancestors"))
+    reached, active = [first.where("up IS NULL")], first.where("up IS NOT NULL")
+    steps = []  # by round: who is how far above whom, for those that have someone there
     most = own.count().bit_length() + 1
-    while len(steps) <= most and not steps[-1].where("up IS NOT NULL").isEmpty():
-        now = steps[-1]
-        above = now.select(
+    while len(steps) <= most and not active.isEmpty():
+        steps.append(active)
+        known_so_far = reduce(DataFrame.unionByName, [*reached, active])
+        above = known_so_far.select(
             "tree", F.col("node").alias("up"), F.col("up").alias("next"),
             F.col("score").alias("more"), F.col("n").alias("m"),
         )
-        doubled = now.join(above, ["tree", "up"], "left").select(
-            *key, F.col("next").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("n") + F.coalesce("m", F.lit(0))).alias("n"),
+        doubled = active.join(above, ["tree", "up"]).select(
+            *key, F.col("next").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("n") + F.col("m")).alias("n"),
         )
-        steps.append(written(doubled, scratch_path(spark, "ancestors")))
-    rooted = steps[-1].where("up IS NULL")
-    parents = steps[0].where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+        doubled = written(doubled, scratch_path(spark, "ancestors"))
+        reached.append(doubled.where("up IS NULL"))
+        active = doubled.where("up IS NOT NULL")
+    rooted = reduce(DataFrame.unionByName, reached)
+    parents = first.where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
     leaves = rooted.join(parents, key, "left_anti")
     order = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / F.col("n")), "node")
     ranked = leaves.withColumn("rank", F.row_number().over(order))
@@ -81,8 +88,8 @@ def best_paths(messages: DataFrame, best: int | None = 1) -> DataFrame:
         "tree", F.col("node").alias("leaf"), "rank", "node", (F.col("n") - 1).alias("place")
     )
     on_path = written(on_path, scratch_path(spark, "paths"))
-    for k, table in enumerate(steps[:-1]):
-        up = table.where("up IS NOT NULL").select(*key, "up")
+    for k, table in enumerate(steps):
+        up = table.select(*key, "up")
         moved = on_path.join(up, key).select(
             "tree", "leaf", "rank", F.col("up").alias("node"), (F.col("place") - 2**k).alias("place")
         )
