@@ -1,10 +1,10 @@
 """Documents linked by the Jaccard similarity of their word shingles, and their link components.
 
 Two sets as similar as the threshold share a token among the first few of each under any order of
-all tokens. Under the first order, tokens seen to repeat come last and the rest by hash: documents
-that share a token of this prefix are candidates. Before a pair is verified, it must also share a
-prefix token under further, unrelated orders; all these filters are necessary conditions, so their
-intersection loses no link.
+all tokens. Under each order here, tokens seen to repeat come last and the rest by a hash of its
+own. Documents that share a token of the first prefix are candidates if they also share one of the
+second; before the sets of a pair are compared, they must share one under a third. All these
+filters are necessary conditions, so their intersection loses no link.
 
 Equal sets count as one node. Candidates of small token groups are pairs of rows; a large group is
 split into blocks by hash, and one task compares two blocks, skips what is connected already and
@@ -20,8 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowmetrics.llm.batches import mixed, slices, split_words, window_hashes, word_hashes
+from flowmetrics.llm.bits import filter_bits, passes
 from flowmetrics.llm.components import connected_components
 from flowmetrics.sources.scratch import scratch_path, written
 
@@ -31,6 +33,8 @@ ORDERED_TOKENS = 1 << 18
 SMALL_GROUP = 24
 #: Tokens of the sets that one block of a large group holds, on average.
 BLOCK_TOKENS = 400_000
+#: Blocks of a cluster of large groups that is compared as one.
+CLUSTER_BLOCKS = 16
 #: Salts of the orders that candidates must also agree under.
 OTHER_ORDERS = (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D)
 
@@ -117,69 +121,146 @@ def repeating_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
     return tokens[order], top.column("n").to_numpy()[order]
 
 
+def fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id``, ``n`` (set size) and ``node``, which stands for the set; NULL for an empty one."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(batch.column("text"), width)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
+                ],
+                names=["doc_id", "n", "node"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(number, "doc_id bigint, n bigint, node bigint")
+
+
 def prefixes(docs: DataFrame, width: int, least: Threshold) -> DataFrame:
-    """``doc_id``, ``n`` (set size), ``node`` (NULL for an empty set) and the set's ``prefix``."""
+    """Per set that is not empty: ``doc_id``, ``n``, ``node`` and its prefix under two orders."""
     often, times = repeating_tokens(docs, width)
 
-    def first_tokens(tokens: np.ndarray) -> np.ndarray:
+    def first_tokens(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         count = least.prefix(len(tokens))
+        other = mixed(tokens ^ np.uint64(OTHER_ORDERS[0]))
+        rank = np.zeros(len(tokens), np.int64)
         if len(often):
             at = np.searchsorted(often, tokens)
             at[at == len(often)] = 0
             rank = np.where(often[at] == tokens, times[at], 0)
-            if rank.any():
-                return tokens[np.lexsort((tokens, rank))[:count]]
-        return tokens[:count]
+        if rank.any():
+            return tokens[np.lexsort((tokens, rank))[:count]], tokens[np.lexsort((other, rank))[:count]]
+        second = np.argpartition(other, count - 1)[:count] if count < len(other) else slice(None)
+        return tokens[:count], tokens[second]
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"), width)
-            firsts = [first_tokens(s) if len(s) else s for s in sets]
-            offsets = np.cumsum([0, *map(len, firsts)]).astype(np.int32)
-            flat = np.concatenate(firsts).view(np.int64)
+            real = [i for i, s in enumerate(sets) if len(s)]
+            firsts = [first_tokens(sets[i]) for i in real]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    batch.column("doc_id").take(pa.array(real, pa.int64())),
+                    pa.array([len(sets[i]) for i in real], pa.int64()),
+                    pa.array([fingerprint(sets[i]) for i in real], pa.int64()),
+                    _lists([a for a, _ in firsts]),
+                    _lists([b for _, b in firsts]),
                 ],
-                names=["doc_id", "n", "node", "prefix"],
+                names=["doc_id", "n", "node", "prefix", "second"],
             )
 
-    schema = "doc_id bigint, n bigint, node bigint, prefix array<bigint>"
+    schema = "doc_id bigint, n bigint, node bigint, prefix array<bigint>, second array<bigint>"
     return docs.select("doc_id", "text").mapInArrow(prefix, schema)
 
 
+def _lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    flat = np.concatenate([np.zeros(0, np.uint64), *arrays])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+def token_groups(nodes: DataFrame, prefix: str) -> DataFrame:
+    """``token``, ``id``, ``n``, and of the token's group its size ``g`` and tokens ``total``;
+    groups of one are left out."""
+    tokens = nodes.select(F.explode(prefix).alias("token"), "id", "n")
+    groups = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("total"))
+    return tokens.join(groups.where("g > 1"), "token").select("token", "id", "n", "g", "total")
+
+
+def small_group_pairs(shared: DataFrame, least: Threshold) -> DataFrame:
+    """Distinct pairs ``u < v`` that share a small group and whose sizes allow a link."""
+    small = shared.where(F.col("g") <= SMALL_GROUP)
+    other = small.select("token", F.col("id").alias("v"), F.col("n").alias("m"))
+    fits = (F.col("u") < F.col("v")) & least.sizes_fit(F.col("n"), F.col("m"))
+    mine = small.select("token", F.col("id").alias("u"), "n")
+    return mine.join(other, "token").where(fits).select("u", "v").distinct()
+
+
+def packed(tokens: np.ndarray) -> bytes:
+    """Six bytes of each token: two of a pair's tokens are mistaken with a chance of 2**-48."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, :6] = six
+    return np.sort(out.view("<u8").ravel())
+
+
 def node_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``node`` and its whole set, for the nodes ``wanted`` (with the document that stands for it)."""
+    """The rows of ``wanted`` (``id``, ``node``, ``stands`` and more) with ``tokens``, their sets.
+
+    Texts are scanned where they lie, against a bit filter of the wanted nodes; sets of others
+    that slip through meet no wanted row. Rows repeated in the table give repeated rows.
+    """
+    filled = filter_bits(wanted.select(F.col("node").alias("key")))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"), width)
-            nodes = batch.column("node").to_numpy()
-            # Rows that share a document id may have other texts.
-            kept = [i for i, s in enumerate(sets) if len(s) and fingerprint(s) == nodes[i]]
-            offsets = np.cumsum([0, *(len(sets[i]) for i in kept)]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.uint64), *(sets[i] for i in kept)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(nodes[kept]),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))),
-                ],
-                names=["node", "tokens"],
-            )
+            real = np.array([i for i, s in enumerate(sets) if len(s)], np.int64)
+            nodes = np.array([fingerprint(sets[i]) for i in real], np.int64)
+            hit = passes(nodes.view(np.uint64), filled)
+            kept = real[hit]
+            columns = [
+                batch.column("doc_id").take(pa.array(kept)),
+                pa.array(nodes[hit]),
+                pa.array([packed(sets[i]) for i in kept], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "of", "tokens"])
+
+    made = docs.select("doc_id", "text").mapInArrow(
+        rows, "doc_id bigint, of bigint, tokens binary"
+    )
+    # Of equal sets only the standing row's moves on.
+    same = (F.col("of") == F.col("node")) & F.col("doc_id").eqNullSafe(F.col("stands"))
+    return made.join(wanted, same).select(*wanted.columns, "tokens")
+
+
+def _sets(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    return [unpacked(x) for x in column.to_pylist()]
 
-    texts = docs.select("doc_id", "text")
-    found = wanted.join(texts, F.col("stands").eqNullSafe(F.col("doc_id"))).select("node", "text")
-    made = found.mapInArrow(rows, "node bigint, tokens array<bigint>")
-    return made.dropDuplicates(["node"])
 
+def cluster_links(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
+    """The linked ones among pairs ``cluster``, ``u``, ``v``; ``sets`` has ``cluster``, ``id``,
+    ``tokens``. A set is sent once, to its cluster, whose size the caller has bounded."""
 
-def _sets(column: pa.Array) -> list[np.ndarray]:
-    flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-    offsets = column.offsets.to_pylist()
-    return [flat[a:b] for a, b in zip(offsets, offsets[1:])]
+    def check(listed: pa.Table, held: pa.Table) -> pa.Table:
+        tokens = dict(zip(held.column("id").to_pylist(), _sets(held.column("tokens"))))
+        links = []
+        for u, v in zip(listed.column("u").to_pylist(), listed.column("v").to_pylist()):
+            a, b = tokens[u], tokens[v]
+            if _candidate(a, b, least) and least.linked(a, b):
+                links.append((u, v))
+        u, v = zip(*links) if links else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    grouped = pairs.groupBy("cluster").cogroup(sets.groupBy("of_cluster"))
+    return grouped.applyInArrow(check, "u bigint, v bigint")
 
 
 def verified_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
@@ -191,8 +272,8 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
             linked = [_candidate(a, b, least) and least.linked(a, b) for a, b in held]
             yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    a = sets.select(F.col("node").alias("u"), F.col("tokens").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("tokens").alias("b"))
+    a = sets.select(F.col("id").alias("u"), F.col("tokens").alias("a"))
+    b = sets.select(F.col("id").alias("v"), F.col("tokens").alias("b"))
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(
         check, "u bigint, v bigint"
     )
@@ -209,19 +290,19 @@ def _candidate(a: np.ndarray, b: np.ndarray, least: Threshold) -> bool:
 
 def block_links(
     nodes: Sequence[int], sides: np.ndarray, sets: Sequence[np.ndarray],
-    groups: Sequence[np.ndarray], token: int, within: bool, least: Threshold,
+    groups: Sequence[np.ndarray], token: int | None, within: bool, least: Threshold,
 ) -> list[tuple[int, int]]:
-    """Links that connect what two blocks of a token's group hold.
+    """Links that connect what two blocks of a token's group, or of a cluster, hold.
 
-    ``groups`` are the tokens of large groups that each node is in. A pair is left to the group of
-    the least token it shares. ``within``: the blocks are one, and all its pairs count; else only
+    ``groups`` are the tokens of large groups that each node is in. In a token's group, a pair is
+    left to the least token it shares; in a cluster (no ``token``) it must share one. ``within``: the blocks are one, and all its pairs count; else only
     pairs across count.
     """
     n = len(nodes)
     sizes = np.array([len(s) for s in sets])
     members: dict[int, list[int]] = {}
     for i, listed in enumerate(groups):
-        for t in listed[listed < token].tolist():
+        for t in (listed if token is None else listed[listed < token]).tolist():
             members.setdefault(t, []).append(i)
     orders = []
     for salt in OTHER_ORDERS:
@@ -239,8 +320,14 @@ def block_links(
         if not within:
             open_ &= sides != sides[i]
         open_ &= least.sizes_fit(sizes[i], sizes)
-        for t in groups[i][groups[i] < token].tolist():
-            open_[members[t]] = False
+        if token is None:
+            shared = np.zeros(n, bool)
+            for t in groups[i].tolist():
+                shared[members[t]] = True
+            open_ &= shared
+        else:
+            for t in groups[i][groups[i] < token].tolist():
+                open_[members[t]] = False
         for firsts, holders in orders:
             if not open_.any():
                 break
@@ -256,27 +343,52 @@ def block_links(
 
 
 def large_group_links(rows: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
-    """Links within large token groups; ``rows``: token, node, tokens in the group (``total``)."""
-    listed = rows.groupBy("node").agg(F.collect_list("token").alias("groups"))
+    """Links within large token groups; ``rows``: token, id, n, tokens in the group (``total``).
+
+    Groups that hang together are compared as one cluster, so that a set is sent once per block
+    and not once per token, unless the cluster has more than ``CLUSTER_BLOCKS`` blocks; then each
+    token's group is compared by itself.
+    """
+    spark = rows.sparkSession
+    listed = rows.groupBy("id").agg(F.collect_list("token").alias("groups"), F.first("n").alias("n"))
+    leads = rows.groupBy("token").agg(F.min("id").alias("u"))
+    star = rows.join(leads, "token").select("u", F.col("id").alias("v")).distinct()
+    clusters = connected_components(star).withColumnRenamed("node", "id")
+    sized = clusters.join(listed.select("id", "n"), "id").groupBy("component").agg(
+        F.sum("n").alias("cluster_total")
+    )
+    known = written(clusters.join(sized, "component"), scratch_path(spark, "shingle-crowds"))
+    together = F.col("cluster_total") <= CLUSTER_BLOCKS * BLOCK_TOKENS
+    by_cluster = known.where(together).select(
+        F.lit(None).cast("bigint").alias("token"), F.col("component").alias("cluster"), "id",
+        F.col("cluster_total").alias("total"),
+    )
+    alone = known.where(~together).select("id")
+    by_token = rows.join(alone, "id", "left_semi").select(
+        "token", F.lit(None).cast("bigint").alias("cluster"), "id", "total"
+    )
+    keyed = by_cluster.unionByName(by_token)
     blocks = F.ceil(F.col("total") / BLOCK_TOKENS).cast("int")
-    # Salted by token, so that groups do not split alike.
-    block = F.pmod(F.xxhash64("node", "token"), blocks).cast("int")
-    dealt = rows.select("token", "node", blocks.alias("blocks"), block.alias("block")).select(
-        "token", "node", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    # Salted by group, so that groups do not split alike.
+    block = F.pmod(F.xxhash64("id", "token", "cluster"), blocks).cast("int")
+    dealt = keyed.select(
+        "token", "cluster", "id", blocks.alias("blocks"), block.alias("block")
+    ).select(
+        "token", "cluster", "id", "block",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     )
     tasks = dealt.select(
-        "token", "node", "block",
+        "token", "cluster", "id", "block",
         F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node").combine_chunks()
-        column = table.column("tokens").combine_chunks()
+        table = table.sort_by("id").combine_chunks()
         tokens = [np.array(x.values.to_numpy(), np.int64) for x in table.column("groups")]
         links = block_links(
-            table.column("node").to_pylist(),
+            table.column("id").to_pylist(),
             table.column("block").to_numpy(),
-            _sets(column),
+            _sets(table.column("tokens")),
             tokens,
             table.column("token")[0].as_py(),
             table.column("first")[0].as_py() == table.column("second")[0].as_py(),
@@ -285,8 +397,70 @@ def large_group_links(rows: DataFrame, sets: DataFrame, least: Threshold) -> Dat
         u, v = zip(*links) if links else ((), ())
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    full = tasks.join(listed, "node").join(sets, "node")
-    return full.groupBy("token", "first", "second").applyInArrow(compare, "u bigint, v bigint")
+    full = tasks.join(listed.select("id", "groups"), "id").join(sets, "id")
+    return full.groupBy("token", "cluster", "first", "second").applyInArrow(compare, "u bigint, v bigint")
+
+
+def linked_nodes(
+    docs: DataFrame, num: int, den: int, width: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows as ``doc_id``, ``n``, ``node``, and nodes as ``node``, ``component``, ``stands`` (the
+    least id of the node's rows)."""
+    spark = docs.sparkSession
+    least = Threshold(num, den)
+    rows = written(fingerprints(docs, width), scratch_path(spark, "shingle-rows"))
+    nodes = prefixes(docs, width, least).groupBy("node").agg(
+        F.min("doc_id").alias("stands"), F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"), F.first("second").alias("second"),
+    )
+    # Numbered as they are written, so that later tables hold short ids.
+    nodes = nodes.withColumn("id", F.monotonically_increasing_id())
+    nodes = written(nodes, scratch_path(spark, "shingle-nodes"))
+    first = written(token_groups(nodes, "prefix"), scratch_path(spark, "shingle-groups"))
+    second = written(token_groups(nodes, "second"), scratch_path(spark, "shingle-groups"))
+    # Candidates under the first order that are candidates under the second, too: in a small group,
+    # or perhaps in a large one, if both are in some.
+    pairs = written(small_group_pairs(first, least), scratch_path(spark, "shingle-pairs"))
+    agreed = pairs.join(small_group_pairs(second, least), ["u", "v"], "left_semi")
+    crowd = second.where(F.col("g") > SMALL_GROUP).select("id").distinct()
+    crowded = pairs.join(crowd.select(F.col("id").alias("u")), "u", "left_semi").join(
+        crowd.select(F.col("id").alias("v")), "v", "left_semi"
+    )
+    pairs = written(
+        agreed.unionByName(crowded).distinct(), scratch_path(spark, "shingle-candidates")
+    )
+    large = first.where(F.col("g") > SMALL_GROUP).select("token", "id", "n", "total")
+    # Candidates hang together in clusters. A small one is compared in one task, to which each set
+    # is sent once; pairs of a large one and large token groups take their sets pair by pair.
+    clusters = connected_components(pairs)
+    members = nodes.select("id", "node", "stands", "n")
+    placed = members.join(
+        clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id"
+    )
+    sizes = placed.groupBy("cluster").agg((F.sum("n") <= BLOCK_TOKENS).alias("small"))
+    placed = written(placed.join(sizes, "cluster"), scratch_path(spark, "shingle-clusters"))
+    home = placed.where("small").select(F.col("id").alias("u"), "cluster")
+    near = pairs.join(home, "u").select("cluster", "u", "v")
+    near_sets = node_sets(
+        docs, placed.where("small").select("id", "node", "stands", F.col("cluster").alias("of_cluster")), width
+    ).select("of_cluster", "id", "tokens")
+    links = cluster_links(near, near_sets, least)
+    far_ids = placed.where("NOT small").select("id").union(large.select("id")).distinct()
+    wanted = written(
+        members.join(far_ids, "id").select("id", "node", "stands"), scratch_path(spark, "shingle-far")
+    )
+    if not wanted.isEmpty():
+        sets = node_sets(docs, wanted, width).select("id", "tokens").dropDuplicates(["id"])
+        sets = written(sets, scratch_path(spark, "shingle-sets"))
+        far = pairs.join(placed.where("NOT small").select(F.col("id").alias("u")), "u", "left_semi")
+        links = links.union(verified_pairs(far, sets, least))
+        links = links.union(large_group_links(large, sets, least))
+    joined = connected_components(links).withColumnRenamed("node", "id")
+    component = F.coalesce("component", "id").alias("component")
+    by_node = nodes.select("id", "node", "stands").join(joined, "id", "left").select(
+        "node", component, "stands"
+    )
+    return rows, by_node
 
 
 def jaccard_components(
@@ -301,39 +475,47 @@ def jaccard_components(
     no other. An empty table gives no rows; further columns are not used. Tokens and sets are held
     as 64-bit hashes.
     """
-    spark = docs.sparkSession
-    least = Threshold(num, den)
-    made = prefixes(docs, width, least)
-    firsts = written(made, scratch_path(spark, "shingle-prefixes"))
-    nodes = (
-        firsts.where("node IS NOT NULL").groupBy("node")
-        .agg(F.min("doc_id").alias("stands"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    )
-    nodes = written(nodes, scratch_path(spark, "shingle-nodes"))
-    tokens = nodes.select(F.explode("prefix").alias("token"), "node", "n")
-    groups = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("total"))
-    shared = tokens.join(groups.where("g > 1"), "token").select("token", "node", "n", "g", "total")
-    shared = written(shared, scratch_path(spark, "shingle-groups"))
-    wanted = nodes.select("node", "stands").join(shared.select("node").distinct(), "node")
-    sets = written(node_sets(docs, wanted, width), scratch_path(spark, "shingle-sets"))
-    small = shared.where(F.col("g") <= SMALL_GROUP)
-    other = small.select("token", F.col("node").alias("v"), F.col("n").alias("m"))
-    fits = (F.col("u") < F.col("v")) & least.sizes_fit(F.col("n"), F.col("m"))
-    pairs = (
-        small.select("token", F.col("node").alias("u"), "n").join(other, "token").where(fits)
-        .select("u", "v").distinct()
-    )
-    large = shared.where(F.col("g") > SMALL_GROUP).select("token", "node", "total")
-    links = verified_pairs(pairs, sets, least).union(large_group_links(large, sets, least))
-    joined = connected_components(links)
-    ids = nodes.select("node", "stands").join(joined, "node", "left").select(
-        "node", "stands", F.coalesce("component", "node").alias("component")
-    )
-    least_ids = ids.groupBy("component").agg(F.min("stands").alias("component_id"))
-    by_node = ids.join(least_ids, "component").select("node", "component_id")
-    return firsts.join(by_node, "node", "left").select(
+    rows, by_node = linked_nodes(docs, num, den, width)
+    least_ids = by_node.groupBy("component").agg(F.min("stands").alias("component_id"))
+    named = by_node.join(least_ids, "component").select("node", "component_id")
+    return rows.join(named, "node", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
         .alias("component_id"),
     )
+
+
+def one_per_component(
+    docs: DataFrame, num: int = 90, den: int = 100, width: int = 3
+) -> DataFrame:
+    """The document with the least id of each component, all columns as they are.
+
+    Documents without shingles are in no component and stay. Of rows equal in id and shingles one
+    stays; NULL ids stay only where a component has no other.
+    """
+    spark = docs.sparkSession
+    rows, by_node = linked_nodes(docs, num, den, width)
+    by_node = written(by_node, scratch_path(spark, "shingle-components"))
+    order = F.struct(F.col("stands").isNull(), "stands", "node")
+    chosen = by_node.groupBy("component").agg(F.min(order).alias("c"))
+    kept = chosen.groupBy(F.col("c.stands").alias("_stands")).agg(F.collect_set("c.node").alias("_nodes"))
+    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_stands")), "left").drop("_stands")
+    names = docs.columns
+
+    def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = shingle_sets(batch.column("text"), width)
+            nodes = [fingerprint(x) if len(x) else None for x in sets]
+            listed = batch.column("_nodes").to_pylist()
+            keep = [n is None or n in (held or ()) for n, held in zip(nodes, listed)]
+            out = batch.select(names).append_column("_node", pa.array(nodes, pa.int64()))
+            yield out.filter(pa.array(keep, pa.bool_()))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())])
+    stayed = found.mapInArrow(stay, schema)
+    # Rows equal in id and shingles are rare; only where there are any is one picked.
+    if rows.where("node IS NOT NULL").groupBy("doc_id", "node").count().where("count > 1").isEmpty():
+        return stayed.drop("_node")
+    empty = stayed.where("_node IS NULL")
+    return empty.union(stayed.where("_node IS NOT NULL").dropDuplicates(["doc_id", "_node"])).drop("_node")
