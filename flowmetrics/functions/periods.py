@@ -61,15 +61,21 @@ class PeriodCalendar:
         return self._case(ts, "<", [f"TIMESTAMP_NTZ'{day} 00:00:00'" for day in starts])
 
     def _case(self, c: str, compare: str, ends: list[str]) -> Column:
-        """One CASE, parsed as a whole: a calendar may hold many periods."""
-        otherwise = _text(self.open_label)
-        if not self.closed:
-            return F.expr(otherwise)
-        whens = [
-            f"WHEN {c} {compare} {end} THEN {_text(name)}"
-            for (name, _), end in zip(self.closed, ends)
-        ]
-        return F.expr(f"CASE {' '.join(whens)} ELSE {otherwise} END")
+        """Nested choices that halve the calendar: about log2(n) comparisons for n periods.
+
+        A NULL time fails every comparison and gets the open label. Parsed as a whole, since a
+        calendar may hold many periods.
+        """
+        names = [_text(name) for name in self.labels]
+
+        def among(first: int, last: int) -> str:
+            if first == last:
+                return names[first]
+            middle = (first + last) // 2
+            earlier, later = among(first, middle), among(middle + 1, last)
+            return f"CASE WHEN {c} {compare} {ends[middle]} THEN {earlier} ELSE {later} END"
+
+        return F.expr(among(0, len(names) - 1))
 
     def ordinal(self, label: Column) -> Column:
         """1-based place of a label in time order, NULL for a label not in the calendar."""

@@ -14,12 +14,12 @@ from flowmetrics.functions.numbers import round_stable
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.functions.timeparts import day_type, ordinal_in
 from flowmetrics.names import NAMES, Names
-from flowmetrics.operators.median import estimated_bytes, mean_and_quantile
+from flowmetrics.operators.median import mean_and_quantile
 
-APPROX_ACCURACY = 10_000
-# Inputs up to these sizes leave little to gather per period: sketches of some thousand tasks,
-# about 100 kB each, or a few million distinct values.
-ONE_PASS_BYTES = {"approx": 2**40, "exact": 2**25}
+# Values a sketch keeps per level. The rank error is about 2.3 / k ** 0.94, 0.1 % here, with 99 %
+# confidence: the sketch is randomised.
+SKETCH_K = 4096
+MEDIANS = ("approx", "exact")
 
 
 def _sorted(df: DataFrame, keys: list[str], ordered: bool) -> DataFrame:
@@ -36,36 +36,49 @@ def mean_by(
 def period_summary(
     readings: DataFrame,
     median: str = "approx",
-    accuracy: int = APPROX_ACCURACY,
-    one_pass_bytes: int | None = None,
+    k: int = SKETCH_K,
     ordered: bool = True,
     names: Names = NAMES,
 ) -> DataFrame:
-    """Mean and median per period.
-
-    ``median="approx"`` is Spark's sketch, with a rank error of at most n/accuracy;
-    ``median="exact"`` is Spark's percentile. Both take one pass, but gather in one task per
-    period what comes from all tasks: sketches, or all distinct values. Where Catalyst puts the
-    input above ``one_pass_bytes`` (by default a limit for each kind), the median is found by
-    counting instead, with no such task: rows per value slot first, then values in one slot.
-    It is exact for both kinds.
+    """Mean and median per period; one method for each kind, whatever the size of the input.
+
+    ``median="approx"`` merges sketches of single days and hours, in one scan: a period's task
+    sees at most 24 sketches per day, not one per task. The rank is off by about 0.1 % of the
+    rows for the default ``k``. ``median="exact"`` counts rows per value slot, then values in
+    one slot, in two scans. A period whose values are all NULL keeps its row.
     """
-    if median not in ONE_PASS_BYTES:
-        raise ValueError(f"median must be one of {list(ONE_PASS_BYTES)}, not {median!r}")
-    limit = ONE_PASS_BYTES[median] if one_pass_bytes is None else one_pass_bytes
-    if estimated_bytes(readings, [names.period, names.value]) > limit:
+    if median not in MEDIANS:
+        raise ValueError(f"median must be one of {list(MEDIANS)}, not {median!r}")
+    if median == "exact":
         out = mean_and_quantile(readings, names.period, names.value, names.mean, names.median)
-        return _sorted(out, [names.period], ordered)
-    if median == "approx":
-        middle = F.percentile_approx(names.value, 0.5, accuracy)
     else:
-        middle = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{names.value}`)")
-    out = readings.groupBy(names.period).agg(
-        F.avg(names.value).alias(names.mean), middle.alias(names.median)
-    )
+        hours = sketched_rollup(readings, [names.period], k, names)
+        out = summary_from_sketches(hours, names)
     return _sorted(out, [names.period], ordered)
 
 
+def sketched_rollup(
+    readings: DataFrame, keys: list[str], k: int = SKETCH_K, names: Names = NAMES
+) -> DataFrame:
+    """Sum, count and sketch per (keys, day, hour): ``total``, ``n``, ``sketch``."""
+    return readings.groupBy(*keys, names.day, names.hour).agg(
+        F.sum(names.value).alias("total"),
+        F.count(names.value).alias("n"),
+        F.kll_sketch_agg_double(names.value, k).alias("sketch"),
+    )
+
+
+def summary_from_sketches(rollup: DataFrame, names: Names = NAMES) -> DataFrame:
+    """Mean and approximate median per period of a sketched rollup that has the period."""
+    merged = rollup.groupBy(names.period).agg(
+        _weighted_mean().alias(names.mean),
+        F.sum("n").alias("n"),
+        F.kll_merge_agg_double("sketch").alias("sketch"),
+    )
+    middle = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(0.5)))
+    return merged.select(names.period, names.mean, middle.alias(names.median))
+
+
 def monthly_mean(readings: DataFrame, ordered: bool = True, names: Names = NAMES) -> DataFrame:
     return mean_by(readings, [names.year, names.month], names.value, names.mean, ordered)
 
@@ -93,7 +106,10 @@ def _weighted_mean() -> Column:
     return F.try_divide(F.sum("total"), F.sum("n"))
 
 
-def _with_rollup_keys(rollup: DataFrame, calendar: PeriodCalendar, names: Names) -> DataFrame:
+def with_rollup_keys(
+    rollup: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
+) -> DataFrame:
+    """Add the period, year and month that follow from a rollup's day."""
     day = F.col(names.day)
     return rollup.withColumns(
         {
@@ -120,7 +136,7 @@ def four_grains(
         [names.day],
     ]
     return (
-        _with_rollup_keys(rollup, calendar, names)
+        with_rollup_keys(rollup, calendar, names)
         .groupingSets(sets, *keys)
         .agg(
             F.grouping_id().cast("bigint").alias("grain_id"),
@@ -134,7 +150,7 @@ def means_from_rollup(
     rollup: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> dict[str, DataFrame]:
     """Monthly, hourly and daily tables from a (written) day-hour rollup."""
-    keyed = _with_rollup_keys(rollup, calendar, names)
+    keyed = with_rollup_keys(rollup, calendar, names)
 
     def table(keys: list[str], alias: str) -> DataFrame:
         return keyed.groupBy(*keys).agg(_weighted_mean().alias(alias)).orderBy(*keys)

@@ -17,12 +17,6 @@ from flowmetrics.functions.timeparts import as_timestamp, day_of, in_years
 from flowmetrics.names import NAMES, READING_COLUMNS, Names, ReadingColumns
 from flowmetrics.schema import require_columns
 
-# A day table of this many rows (about 550 years) stays below some 10 MB, label included.
-_BROADCAST_DAYS = 200_000
-
-# A CASE of more branches than this is slower than one probe of a hash table.
-_CASE_PERIODS = 64
-
 _NTZ = T.TimestampNTZType()
 
 
@@ -71,9 +65,16 @@ def filter_years(
     last: int = fixed.LAST_YEAR,
     names: Names = NAMES,
 ) -> DataFrame:
-    """Readings of an inclusive range of years."""
+    """Readings of an inclusive range of years.
+
+    Where there is a year column, as in the folders of :func:`write_clean_readings`, it is held
+    to the range too, so that only those years' folders are listed and opened.
+    """
     dtype = readings.schema[names.time].dataType
-    return readings.where(in_years(F.col(names.time), dtype, first, last))
+    wanted = in_years(F.col(names.time), dtype, first, last)
+    if names.year in readings.columns:
+        wanted = F.col(names.year).between(first, last) & wanted
+    return readings.where(wanted)
 
 
 def _calendar_parts(names: Names) -> dict[str, Column]:
@@ -101,27 +102,26 @@ def label_period(
 def label_period_by_join(
     df: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
 ) -> DataFrame:
-    """Same labels as ``label_period``, for calendars too long for a CASE expression.
+    """Same labels as ``label_period``, and the same columns in the same order, by a join.
 
     Bounded periods are spelled out to one row per day, so the range condition becomes an
-    equality on the day and each reading probes one hash table, however many periods there
-    are. The day table is broadcast only while the calendar proves it small.
+    equality on the day and each row probes one hash table. The day table is always broadcast:
+    it has the days of a calendar, about 50 bytes each, however large ``df`` is, and ``df`` is
+    never shuffled.
     """
     day = F.col(names.day)
     if not calendar.closed:
-        return df.withColumn(names.period, calendar.label(f"`{names.day}`"))
+        return label_period(df, calendar, names)
     first_label, first_last_day = calendar.closed[0]
-    days = calendar.day_frame(df.sparkSession, names.day, names.period)
-    if calendar.inner_days <= _BROADCAST_DAYS:
-        days = F.broadcast(days)
-    return df.join(days, names.day, "left").withColumn(
-        names.period,
-        F.coalesce(
-            F.col(names.period),
-            F.when(day <= F.lit(first_last_day), first_label),
-            F.lit(calendar.open_label),
-        ),
+    days = calendar.day_frame(df.sparkSession, names.day, "_label")
+    label = F.coalesce(
+        F.col("_label"),
+        F.when(day <= F.lit(first_last_day), first_label),
+        F.lit(calendar.open_label),
     )
+    joined = df.join(F.broadcast(days), names.day, "left")
+    columns = [c for c in df.columns if c != names.period]
+    return joined.select(*columns, label.alias(names.period))
 
 
 def prepare_readings(
@@ -142,8 +142,6 @@ def label_readings(
 ) -> DataFrame:
     """Add calendar columns and the period label to clean readings."""
     parts = _calendar_parts(names)
-    if len(calendar.labels) > _CASE_PERIODS:
-        return label_period_by_join(clean.withColumns(parts), calendar, names)
     return clean.withColumns(parts | {names.period: calendar.label_at(f"`{names.time}`")})
 
 

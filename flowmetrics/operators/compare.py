@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -13,15 +15,28 @@ from flowmetrics.operators.aggregate import annual_mean
 
 
 def change_vs_previous(
-    df: DataFrame, order: str, value: str, alias: str, decimals: int = fixed.DECIMALS
+    df: DataFrame,
+    order: str,
+    value: str,
+    alias: str,
+    decimals: int = fixed.DECIMALS,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the percent change against the previous row in ``order``.
+    """Add the percent change against the previous row in ``order``, within ``partition_by``.
 
     The previous row is meant, not the previous year: a gap is bridged. NULL for the first
-    row and after a value of 0. Takes a table already reduced to one row per ``order``.
+    row and after a value of 0. Without ``partition_by`` one task sees the whole table, so it must
+    be reduced to one row per ``order`` first; two rows of one ``order`` are an error.
     """
-    previous = F.lag(value).over(W.orderBy(order))
-    return df.withColumn(alias, round_stable(pct_change(F.col(value), previous), decimals))
+    rows = W.partitionBy(*partition_by)
+    previous = F.lag(value).over(rows.orderBy(order))
+    # The neighbours in order tell whether an order has a second row.
+    twin = F.col(order).eqNullSafe(F.lag(order).over(rows.orderBy(order))) & F.lag(F.lit(True)).over(
+        rows.orderBy(order)
+    )
+    error = F.raise_error(F.lit("change_vs_previous: more than one row per order"))
+    change = round_stable(pct_change(F.col(value), previous), decimals)
+    return df.withColumn(alias, F.when(F.coalesce(twin, F.lit(False)), error).otherwise(change))
 
 
 def annual_change(

@@ -6,43 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# Slots per e-fold in the first cut, and slots per group in the second.
+# Slots per e-fold in the first cut, and per group in each further one; further cuts.
 LOG_SLOTS = 1024
-LINEAR_SLOTS = 4096
-
-# Number of a value's slot, rising with the value: about 0.1 % wide, or of equal width
-# between lo and hi. NaN sorts last, as it does everywhere in Spark.
+LINEAR_SLOTS = 1 << 16
+LINEAR_CUTS = 3
+# Groups whose ranges are broadcast, at most; a group is a period of a calendar.
+MOST_GROUPS = 10_000
+
+# Number of a value's slot, rising with the value: about 0.1 % wide at every magnitude, zero by
+# itself. The offset puts the least positive double above 0. NaN sorts last, as everywhere in Spark.
+_OFFSET = 1_000_000
 _LOG_SLOT = f"""
-    CASE WHEN isnan(v) THEN 9223372036854775807
-         WHEN v < 0 THEN -floor(log1p(abs(v)) * {LOG_SLOTS})
-         ELSE floor(log1p(v) * {LOG_SLOTS}) END"""
+    CASE WHEN isnan(v) THEN {4 * _OFFSET}
+         WHEN v = 0 THEN 0
+         WHEN abs(v) = double('Infinity') THEN CAST(sign(v) AS bigint) * {3 * _OFFSET}
+         ELSE CAST(sign(v) AS bigint) * (floor(ln(abs(v)) * {LOG_SLOTS}) + {_OFFSET}) END"""
 _WIDTH = f"((hi - lo) / {LINEAR_SLOTS})"
 _LINEAR_SLOT = (
     f"CASE WHEN {_WIDTH} > 0 THEN least({LINEAR_SLOTS - 1}, floor((v - lo) / {_WIDTH})) ELSE 0 END"
 )
 
 
-def estimated_bytes(df: DataFrame, columns: list[str]) -> int:
-    """Size of some columns by Catalyst's statistics, without running a job.
-
-    A scan counts its files' bytes and a filter keeps that size, so the figure for readings is
-    an upper bound; where nothing is known it is huge.
-    """
-    plan = df.select(*columns)._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
-
-
 def _crossing(df: DataFrame, order: str, keep: list[str | Column]) -> DataFrame:
     """The one row per group in which the running count reaches the rank sought.
 
-    ``rank`` in the result counts from the start of that row.
+    A group without values has one row, of rank 0, and keeps it. ``rank`` in the result counts from the start of that row.
     """
     upto = F.sum("n").over(
         W.partitionBy("g").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     return (
         df.select("*", upto.alias("upto"))
-        .where("upto >= rank AND upto - n < rank")
+        .where("upto >= rank AND upto - n < rank OR rank = 0")
         .select(*keep, F.expr("rank - upto + n").alias("rank"))
     )
 
@@ -52,6 +47,14 @@ def _inside(df: DataFrame, bounds: DataFrame) -> DataFrame:
     return df.join(F.broadcast(bounds), F.expr("g <=> bound_g AND v >= lo AND v <= hi"))
 
 
+def _few(bounds: DataFrame) -> DataFrame:
+    """The ranges, one row per group; more groups than a broadcast may hold are an error."""
+    groups = F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))
+    counted = bounds.withColumn("groups", groups)
+    few = F.assert_true(F.col("groups") <= MOST_GROUPS, F.lit("too many groups"))
+    return counted.where(few.isNull()).drop("groups")
+
+
 def mean_and_quantile(
     df: DataFrame,
     group: str,
@@ -65,17 +68,19 @@ def mean_and_quantile(
     1. Count rows per (group, logarithmic slot) and keep the slot the rank falls in. Outliers
        do not widen these slots.
     2. Count equal values inside that slot only, then cut it in slots of equal width and keep
-       one. Values crowded in a narrow range are told apart here.
+       one, a fixed number of times. Values crowded in a narrow range are told apart here: the
+       cuts together are finer than the doubles of one logarithmic slot.
     3. Order the few values left.
 
     Both counts combine before their shuffles and spread one group over all tasks, and the
     shuffles are small whatever the number of distinct values. The windows see slots or the
-    values of one slot, never a group. The ranges broadcast are one row per group, and
-    ``group`` is the period label, so the calendar bounds them.
+    values of one slot, never a group. The ranges broadcast are one row per group, and more than
+    ``MOST_GROUPS`` groups are an error. NULL values are skipped; a group that has no others keeps
+    its row, with NULL for mean and quantile. Two scans of ``df``, however many cuts.
     """
-    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v")).where("v IS NOT NULL")
-    n, lo, hi = F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    bound = [F.col("g").alias("bound_g"), "lo", "hi", "mean"]
+    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v"))
+    n, lo, hi = F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    bound = [F.col("g").alias("bound_g"), "lo", "hi"]
     whole = W.partitionBy("g")
     rows = F.sum("n").over(whole)
 
@@ -88,19 +93,25 @@ def mean_and_quantile(
             "n",
             "lo",
             "hi",
-            F.greatest(F.lit(1), F.ceil(rows * F.lit(q))).alias("rank"),
-            (F.sum("total").over(whole) / rows).alias("mean"),
+            # 0 for a group without values, which no running count reaches from below.
+            F.when(rows > 0, F.greatest(F.lit(1), F.ceil(rows * F.lit(q))))
+            .otherwise(0).alias("rank"),
+            F.try_divide(F.sum("total").over(whole), rows).alias("mean"),
         )
     )
-    bounds = _crossing(slots, "slot", bound)
-
-    counts = _inside(readings, bounds).groupBy("g", "lo", "hi", "rank", "mean", "v").agg(n)
-    slots = counts.groupBy("g", "rank", "mean", F.expr(_LINEAR_SLOT).alias("slot")).agg(
-        F.sum("n").alias("n"), lo, hi
-    )
-    bounds = _crossing(slots, "slot", bound)
-
-    left = _inside(counts.select("g", "v", "n"), bounds)
-    return _crossing(left, "v", ["g", "v", "mean"]).select(
-        F.col("g").alias(group), F.col("mean").alias(mean_alias), F.col("v").alias(quantile_alias)
+    groups = _few(_crossing(slots, "slot", ["g", "lo", "hi", "mean"]))
+    # The mean goes along: the same columns everywhere let Spark make these ranges once.
+    bounds = groups.select(F.col("g").alias("bound_g"), "lo", "hi", "mean", "rank")
+
+    counts = _inside(readings, bounds).groupBy("g", "lo", "hi", "mean", "rank", "v").agg(n)
+    left = counts
+    for _ in range(LINEAR_CUTS):
+        slots = left.groupBy("g", "rank", F.expr(_LINEAR_SLOT).alias("slot")).agg(
+            F.sum("n").alias("n"), lo, hi
+        )
+        left = _inside(counts.select("g", "v", "n"), _crossing(slots, "slot", bound))
+    found = _crossing(left, "v", [F.col("g").alias("found_g"), "v"])
+    middle = F.when(F.col("lo") <= F.col("hi"), F.col("v")).alias(quantile_alias)
+    return groups.join(F.broadcast(found), F.expr("g <=> found_g"), "left").select(
+        F.col("g").alias(group), F.col("mean").alias(mean_alias), middle
     )

@@ -33,9 +33,12 @@ def matrix(
 
 
 def pivot_month_year(
-    monthly: DataFrame, years: Sequence[int] | None = None, names: Names = NAMES
+    monthly: DataFrame, years: Sequence[int] | None, names: Names = NAMES
 ) -> DataFrame:
-    """Month by year matrix of the monthly means."""
+    """Month by year matrix of the monthly means.
+
+    ``years`` names the columns; ``None`` asks for a job that collects the table's years.
+    """
     return matrix(monthly, names.month, names.year, names.mean, years)
 
 

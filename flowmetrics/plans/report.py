@@ -15,6 +15,9 @@ from flowmetrics.operators.aggregate import (
     day_type_mean,
     means_from_rollup,
     period_summary,
+    sketched_rollup,
+    summary_from_sketches,
+    with_rollup_keys,
 )
 from flowmetrics.operators.clean import clean_readings, label_readings
 from flowmetrics.operators.compare import annual_change, baseline_comparison
@@ -35,15 +38,20 @@ def first_tier(
     """Period summary, monthly, hourly and daily tables of prepared readings.
 
     One scan of the readings makes a day-hour rollup, written below ``work_dir`` (by default a
-    new scratch path) so that the three tables of means share it; the summary scans for its
-    medians. Nothing as large as the readings is kept.
+    new scratch path), that the three tables of means share. With ``median="approx"`` the rollup
+    holds sketches and the summary comes from it, too; the exact summary takes two more scans.
+    Nothing as large as the readings is kept.
     """
     work_dir = work_dir or scratch_path(readings.sparkSession, "first-tier")
-    rollup = written(day_hour_rollup(readings, names), f"{work_dir}/rollup")
-    return {
-        fixed.SUMMARY_TABLE: period_summary(readings, median, names=names),
-        **means_from_rollup(rollup, calendar, names),
-    }
+    if median == "approx":
+        made = sketched_rollup(readings, [], names=names)
+        rollup = written(made, f"{work_dir}/rollup")
+        summary = summary_from_sketches(with_rollup_keys(rollup, calendar, names), names)
+        summary = summary.orderBy(names.period)
+    else:
+        rollup = written(day_hour_rollup(readings, names), f"{work_dir}/rollup")
+        summary = period_summary(readings, median, names=names)
+    return {fixed.SUMMARY_TABLE: summary, **means_from_rollup(rollup, calendar, names)}
 
 
 def basic_report(
@@ -82,8 +90,8 @@ def full_report(
 def figure_tables(
     base: Mapping[str, DataFrame],
     report: Mapping[str, DataFrame],
-    calendar: PeriodCalendar = DEFAULT_CALENDAR,
-    years: Sequence[int] | None = None,
+    calendar: PeriodCalendar,
+    years: Sequence[int],
     n: int = fixed.TOP_N,
     names: Names = NAMES,
 ) -> dict[str, DataFrame]:
@@ -122,13 +130,15 @@ def run_report(
     n: int = fixed.TOP_N,
     baseline: str = fixed.BASELINE_PERIOD,
     fmt: str = "parquet",
-    stage: bool = False,
+    stage: bool = True,
     names: Names = NAMES,
 ) -> dict[str, dict[str, str]]:
     """Write first-tier tables, the full report and the figure tables below ``root``.
 
     ``stage`` first writes the clean readings, two columns, to the shared scratch folder as
-    Parquet, so that delimited text is parsed once however often it is scanned. The files
+    Parquet, so that the raw input is parsed once: the exact job scans them three times (rollup,
+    then twice for the median), the approximate one once. Without it, for raw Parquet that is
+    cheap to read, the raw input is scanned as often. The files
     outlive a lost executor, which a cache of the same frame does not; they are deleted once
     the first tier is written. The derived tables read the first-tier tables back from there,
     so the readings are not touched again. Returns the path of every table by group and name.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from uuid import uuid4
@@ -10,18 +9,31 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir``.
+def _shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
-    Without that setting a temporary folder is made in local mode; on a cluster it is an
-    error, since a folder of one machine is out of reach for the others.
+    Without either it is an error: a folder of one machine is out of reach for the others.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="flowmetrics-")
-    return f"{root.rstrip('/')}/flowmetrics/{name}-{uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the application's own folder below the shared one.
+
+    What is written there outlives the call, since frames that read it are lazy; the application's
+    folder is deleted when the application ends.
+    """
+    context = spark.sparkContext
+    own = f"{_shared_folder(spark)}/flowmetrics/{context.applicationId}"
+    folder = context._jvm.org.apache.hadoop.fs.Path(own)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{own}/{name}-{uuid4().hex}"
 
 
 @contextmanager

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +42,18 @@ def write_tables(
     return paths
 
 
+def has_files(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether any file below ``path`` has a name like ``pattern``; one job that stops at the
+    first, and no list of files on the driver."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    try:
+        return not files.load(path).select("path").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def reload_table(
     spark: SparkSession,
     path: str,
@@ -65,9 +77,9 @@ def reload_table(
             reader = reader.option("inferSchema", True)
         else:
             reader = reader.option("enforceSchema", not check_header)
-    df = reader.format(fmt).load(path)
-    if not df.inputFiles():
+    if not has_files(spark, path, f"*.{fmt}"):
         raise FileNotFoundError(f"no {fmt} files in {path}")
+    df = reader.format(fmt).load(path)
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return df.withColumns({c: nan_to_null(F.col(c)) for c in doubles}) if doubles else df
 
@@ -99,7 +111,12 @@ def union_parts(parts: Sequence[DataFrame]) -> DataFrame:
     """All rows of all parts, columns matched by name, absent ones NULL."""
     if not parts:
         raise ValueError("union_parts: no parts")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    left = list(parts)
+    while len(left) > 1:  # in pairs, so that the plan is a logarithm deep
+        pairs = zip(left[::2], left[1::2])
+        joined = [a.unionByName(b, allowMissingColumns=True) for a, b in pairs]
+        left = joined + left[len(joined) * 2 :]
+    return left[0]
 
 
 def write_clean_readings(
@@ -107,7 +124,8 @@ def write_clean_readings(
 ) -> None:
     """Clean readings as Parquet, one directory per year.
 
-    Later jobs then scan two typed columns and only the years they need. Rows stay in the
+    Later jobs then scan two typed columns and, through ``filter_years``, only the years they
+    need. Rows stay in the
     task that read them: no shuffle, and a year with most of the rows is no bottleneck.
     """
     if partition_by_year:

@@ -16,12 +16,11 @@ SCHEMA = "g string, v double"
 def expected(rows, q=0.5):
     groups = {}
     for g, v in rows:
-        if v is not None:
-            groups.setdefault(g, []).append(v)
+        groups.setdefault(g, []).extend([] if v is None else [v])
     out = {}
     for g, vs in groups.items():
         vs.sort()
-        out[g] = vs[max(1, math.ceil(len(vs) * q)) - 1]
+        out[g] = vs[max(1, math.ceil(len(vs) * q)) - 1] if vs else None
     return out
 
 
@@ -41,6 +40,8 @@ CASES = {
     "tiny": [("a", x * 1e-12) for x in range(99)] + [("a", -x * 1e-12) for x in range(50)],
     "infinite": [("a", math.inf), ("a", -math.inf), ("a", 1.0), ("b", math.inf)],
     "null group and values": [(None, 1.0), (None, 2.0), ("a", None), ("a", 4.0), ("b", None)],
+    "crowded beside an outlier": [("a", 1000 + x * 1e-10) for x in range(3000)] + [("a", 1000.3)],
+    "smallest doubles": [("a", 5e-324 * x) for x in range(-5, 9)] + [("a", 0.0), ("a", -0.0)],
     "hot group": [("hot", float(x % 977)) for x in range(20_000)]
     + [(f"cold{i}", float(i)) for i in range(7)],
     "many powers": [("a", s * 2.0**e) for e in range(-1000, 1000, 7) for s in (1, -1)],
@@ -83,11 +84,43 @@ def test_any_values(spark, rows):
 
 
 def test_approximate_median_keeps_its_rank_bound(spark):
-    n, accuracy = 50_000, 1000
+    n = 50_000
     df = spark.range(n).select(
-        F.lit("p").alias("periodo_covid"), (F.col("id") * 7919 % n).cast("double").alias("value")
+        F.lit("p").alias("periodo_covid"),
+        (F.col("id") * 7919 % n).cast("double").alias("value"),
+        F.date_add(F.lit("2020-01-01"), (F.col("id") % 40).cast("int")).alias("fecha_dia"),
+        (F.col("id") % 24).cast("int").alias("hour"),
     )
-    approx = op.period_summary(df, "approx", accuracy).first().intensidad_mediana
-    assert abs(approx - n / 2) <= n / accuracy + 1
-    exact = op.period_summary(df, "exact", one_pass_bytes=0).first().intensidad_mediana
-    assert exact == n / 2 - 1
+    approx = op.period_summary(df, "approx").first()
+    assert abs(approx.intensidad_mediana - n / 2) <= n / 200
+    assert approx.intensidad_media == (n - 1) / 2
+    assert op.period_summary(df, "exact").first().intensidad_mediana == n / 2 - 1
+
+
+@pytest.mark.parametrize("kind", ["approx", "exact"])
+def test_a_period_without_values_keeps_its_row(spark, kind):
+    rows = [("a", 1.0, "2020-01-01", 0), ("b", None, "2020-01-02", 1), ("b", None, "2020-01-02", 1)]
+    df = spark.createDataFrame(
+        rows, "periodo_covid string, value double, fecha_dia string, hour int"
+    )
+    assert [tuple(r) for r in op.period_summary(df, kind).collect()] == [("a", 1.0, 1.0), ("b", None, None)]
+
+
+def test_crowded_values_leave_a_handful_to_order(spark):
+    from flowmetrics.operators import median
+
+    rows = [("a", 1000 + x * 1e-9) for x in range(20_000)] + [("a", 1000.3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = mean_and_quantile(df, "g", "v", "mean", "quantile")
+    assert out.first()["quantile"] == 1000 + 10_000 * 1e-9
+    # The cuts divide the doubles of one logarithmic slot further than there are any.
+    assert median.LINEAR_SLOTS**median.LINEAR_CUTS > 2**43
+
+
+def test_more_groups_than_a_broadcast_holds_are_an_error(spark, monkeypatch):
+    from flowmetrics.operators import median
+
+    monkeypatch.setattr(median, "MOST_GROUPS", 3)
+    df = spark.createDataFrame([(str(i), 1.0) for i in range(5)], SCHEMA)
+    with pytest.raises(Exception, match="too many groups"):
+        mean_and_quantile(df, "g", "v", "mean", "quantile").collect()

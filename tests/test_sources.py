@@ -102,7 +102,7 @@ def test_scratch_lies_below_the_shared_folder(spark):
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Cluster:
         conf = {}
-        sparkContext = SimpleNamespace(master="yarn")
+        sparkContext = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(Cluster, "t")
@@ -308,5 +308,5 @@ def test_job_with_other_names_columns_and_periods(spark, tmp_path):
         readings = op.prepare_readings(
             raw, ReadingColumns("t", "s", "q"), (2024, 2024), "ok", calendar, names
         )
-        rows = op.period_summary(readings, median, one_pass_bytes=0, names=names).collect()
+        rows = op.period_summary(readings, median, names=names).collect()
         assert {r["mid speed"] for r in rows} == {3.0}
