@@ -279,6 +279,44 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
     )
 
 
+def agreeing_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
+    """Pairs ``u``, ``v`` that share a prefix token under each further order, too.
+
+    Prefixes are a tenth of a set and sent with four bytes a token, so that whole sets are sent
+    for the few pairs left only.
+    """
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = _sets(batch.column("tokens"))
+            columns = [batch.column("id")]
+            for salt in OTHER_ORDERS:
+                firsts = [_first(t, least.prefix(len(t)), salt).astype("<u4").tobytes() for t in held]
+                columns.append(pa.array(firsts, pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "p", "q"])
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = {
+                c: [np.unique(np.frombuffer(x, "<u4")) for x in batch.column(c).to_pylist()]
+                for c in ("p", "q", "r", "s")
+            }
+            kept = [
+                _share(p, r) and _share(q, s)
+                for p, q, r, s in zip(parts["p"], parts["q"], parts["r"], parts["s"])
+            ]
+            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+    short = written(
+        sets.mapInArrow(shorten, "id bigint, p binary, q binary"),
+        scratch_path(pairs.sparkSession, "shingle-short"),
+    )
+    of_u = short.select(F.col("id").alias("u"), "p", "q")
+    of_v = short.select(F.col("id").alias("v"), F.col("p").alias("r"), F.col("q").alias("s"))
+    both = pairs.join(of_u, "u").join(of_v, "v")
+    return both.select("u", "v", "p", "q", "r", "s").mapInArrow(agree, "u bigint, v bigint")
+
+
 def _candidate(a: np.ndarray, b: np.ndarray, least: Threshold) -> bool:
     if not least.sizes_fit(len(a), len(b)):
         return False
@@ -453,6 +491,7 @@ def linked_nodes(
         sets = node_sets(docs, wanted, width).select("id", "tokens").dropDuplicates(["id"])
         sets = written(sets, scratch_path(spark, "shingle-sets"))
         far = pairs.join(placed.where("NOT small").select(F.col("id").alias("u")), "u", "left_semi")
+        far = written(agreeing_pairs(far, sets, least), scratch_path(spark, "shingle-agreed"))
         links = links.union(verified_pairs(far, sets, least))
         links = links.union(large_group_links(large, sets, least))
     joined = connected_components(links).withColumnRenamed("node", "id")
