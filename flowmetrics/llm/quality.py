@@ -221,14 +221,9 @@ def quality_posterior(
     return judged.withColumn("p_good", 1 / (1 + F.exp(odds)))
 
 
-#: The plain rule of the checked query, beside the learned verdict.
-BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
-
-
 def judged_documents(
     docs: DataFrame, text: str = "text", least: float = 0.5, drop_text: bool = False
 ) -> DataFrame:
-    """:func:`quality_posterior` with ``base_failed`` and ``kept``: not failed, ``p_good`` enough."""
+    """:func:`quality_posterior` with ``kept``: whether ``p_good`` is at least ``least``."""
     posterior = quality_posterior(docs, text, drop_text=drop_text)
-    failed = posterior.withColumn("base_failed", F.expr(BASE_FAILED))
-    return failed.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))
+    return posterior.withColumn("kept", F.col("p_good") >= least)

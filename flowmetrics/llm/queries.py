@@ -77,9 +77,15 @@ def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(_table(spark, sf_dir, "documents"))
 
 
+#: Fixed by the query's contract: a plain rule beside the vote, which ``kept`` must pass too.
+BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
+
+
 def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.judged_documents(docs, drop_text=True)
+    judged = judged.withColumn("base_failed", F.expr(BASE_FAILED))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & F.col("kept"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "p_good",

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import corpus_pipeline
 from flowmetrics.llm import quality
 from tests.llm.brute import WORD
 
@@ -54,6 +55,17 @@ def test_bad_documents_go_and_good_ones_stay(session, documents):
     assert max(judged[d]["p_good"] for d, _ in bad) < 0.5
 
 
+def test_good_short_documents_survive_the_first_stage(session, documents):
+    good, bad, _ = _rows()
+    rng = random.Random(7)
+    short = [(500 + i, _prose(rng, rng.randrange(25, 45))) for i in range(20)]
+    docs = documents(good + bad + short)
+    judged = {r["doc_id"]: r for r in quality.judged_documents(docs).collect()}
+    assert all(r["kept"] == (r["p_good"] >= 0.5) for r in judged.values())
+    left = {r["doc_id"] for r in corpus_pipeline.quality_rules(session, docs, "").collect()}
+    assert left == {d for d, _ in good + short}
+
+
 def test_fit_recovers_accuracies():
     rng = random.Random(8)
     truth = [(0.7, 0.02), (0.6, 0.05), (0.8, 0.01), (0.5, 0.03)]
