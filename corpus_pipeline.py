@@ -8,6 +8,7 @@ executor costs tasks of one stage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowmetrics.llm import decontamination, jaccard_join, packing, quality, repeats
 from flowmetrics.llm.shipping import ship_package
@@ -15,8 +16,12 @@ from flowmetrics.sources.scratch import scratch_path, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the learned vote of the quality rules keeps."""
-    return quality.judged_documents(docs).where("kept").select(*docs.columns)
+    """Documents that the learned vote of the quality rules keeps, all columns as they are.
+
+    The whole row stands in one column beside the signals, so none of its names is replaced.
+    """
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return quality.judged_documents(rows, drop_text=True).where("kept").select("row.*")
 
 
 def jaccard_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

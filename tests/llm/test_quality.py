@@ -87,3 +87,12 @@ def test_columns_pass_through_and_empty_table(session, documents):
     assert {"doc_id", "text", "source", "n_chars", "kept", "p_good"} <= set(out.columns)
     assert out.columns.count("n_words") == 1 and out.first()["n_words"] == 3
     assert quality.judged_documents(documents([])).collect() == []
+
+
+def test_first_stage_returns_columns_named_like_signals(session, documents):
+    good, bad, _ = _rows()
+    docs = documents(good + bad).selectExpr("*", "lang AS votes", "doc_id AS n_words", "source AS kept", "1.5D AS p_good")
+    out = corpus_pipeline.quality_rules(session, docs, "")
+    assert out.dtypes == docs.dtypes
+    want = docs.where("doc_id < 100").collect()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want))
