@@ -22,7 +22,7 @@ from flowmetrics.llm.batches import slices, split_words, window_hashes, word_has
 from flowmetrics.llm.bits import filter_bits, passes
 from flowmetrics.sources.scratch import scratch_path, written
 
-#: Tokens of the shortest tile, and of a seed.
+#: Tokens of the shortest tile, and of a seed; an item of fewer is one tile and one seed.
 LEAST_TILE = 5
 COVERAGE = 0.6
 _BASE = 1_000_003
@@ -104,7 +104,9 @@ def _item_seeds(items: DataFrame, least: int) -> DataFrame:
             hashes, ends = plain_words(batch.column("text"))
             start = 0
             for item, end in zip(batch.column("item").to_pylist(), ends.tolist()):
-                seeds, times = np.unique(window_hashes(hashes[start:end], least), return_counts=True)
+                width = min(least, end - start)
+                runs = window_hashes(hashes[start:end], width) if width else hashes[:0]
+                seeds, times = np.unique(runs, return_counts=True)
                 n = len(seeds)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -125,8 +127,8 @@ def contaminated(
     ``item_id``, ``item_tokens``, ``covered_tokens``, ``coverage``, ``n_tiles``, ``longest_tile``.
 
     Words are compared without case and ASCII punctuation. An item of fewer than ``least`` words
-    cannot be found; NULL and empty texts on either side match nothing; repeated rows of documents
-    give repeated rows, repeated items one. An empty table on either side gives no rows; further
+    is found where all of them stand in a row; NULL and empty texts, and texts without a word, on
+    either side match nothing; repeated rows of documents give repeated rows, repeated items one. An empty table on either side gives no rows; further
     columns are not used.
 
     Documents are read once, against a bit filter of the items' seeds whose size is bounded;
@@ -139,18 +141,27 @@ def contaminated(
     items = written(items, scratch_path(spark, "items"))
     seeds = written(_item_seeds(items, least), scratch_path(spark, "item-seeds"))
     filled = filter_bits(seeds.select(F.col("seed").alias("key")))
+    width = F.least(F.lit(least), F.col("n_tokens"))
+    # At most ``least`` rows; a run's hash tells its length.
+    widths = [int(r[0]) for r in seeds.select(width).distinct().collect()]
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text"):
             hashes, ends = plain_words(batch.column("text"))
-            runs = window_hashes(hashes, least)
-            at = np.flatnonzero(passes(runs, filled))
-            doc = np.searchsorted(ends, at, side="right")
-            inside = at + least <= ends[doc] if len(at) else np.zeros(0, bool)
-            at, doc = at[inside], doc[inside]
-            which, first = np.unique(doc, return_index=True)
-            lists = [np.unique(x).view(np.int64) for x in np.split(runs[at], first[1:])]
+            docs_hit, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for n in widths:
+                runs = window_hashes(hashes, n)
+                at = np.flatnonzero(passes(runs, filled))
+                doc = np.searchsorted(ends, at, side="right")
+                inside = at + n <= ends[doc] if len(at) else np.zeros(0, bool)
+                docs_hit.append(doc[inside])
+                found.append(runs[at[inside]])
+            doc = np.concatenate(docs_hit)
+            by_doc = np.argsort(doc, kind="stable")
+            which, first = np.unique(doc[by_doc], return_index=True)
+            hit_seeds = np.concatenate(found)[by_doc]
+            lists = [np.unique(x).view(np.int64) for x in np.split(hit_seeds, first[1:])]
             lists = lists if len(which) else []
             yield pa.RecordBatch.from_arrays(
                 [
@@ -170,7 +181,7 @@ def contaminated(
     pairs = shared.groupBy("row", "item").agg(
         F.sum("times").alias("places"), F.first("n_tokens").alias("n_tokens")
     )
-    pairs = pairs.where(F.col("places") * least >= coverage * F.col("n_tokens"))
+    pairs = pairs.where(F.col("places") * width >= coverage * F.col("n_tokens"))
     texts = hits.select("row", "doc_id", "text")
     item_texts = items.select("item", "item_id", F.col("text").alias("item_text"))
     both = pairs.select("row", "item").join(texts, "row").join(item_texts, "item")
@@ -183,7 +194,7 @@ def contaminated(
                 item, item_ends = plain_words(part.column("item_text"))
                 a = b = 0
                 for a_end, b_end in zip(doc_ends.tolist(), item_ends.tolist()):
-                    tiles = greedy_tiles(doc[a:a_end], item[b:b_end], least)
+                    tiles = greedy_tiles(doc[a:a_end], item[b:b_end], min(least, b_end - b))
                     sizes = [n for _, _, n in tiles]
                     out.append((b_end - b, sum(sizes), len(sizes), max(sizes, default=0)))
                     a, b = a_end, b_end

@@ -71,6 +71,23 @@ def test_reordered_passages_are_caught(session, documents):
     assert sorted(r["doc_id"] for r in clean) == [3, 4, 5, 6]
 
 
+def test_short_items_are_found_whole(session, documents):
+    item = _words(random.Random(5), 6)
+    rows = [
+        (1, "so: Alpha,  BETA gamma delta!"), (2, "alpha beta delta gamma"), (3, "x alpha"), (4, "beta"),
+        (5, "zeta"), (6, "..."), (7, "q zeta " + " ".join(item)), (8, "alpha beta gamma"), (9, "delta"),
+    ]
+    bench = session.createDataFrame(
+        [(1, "zeta"), (2, "alpha beta"), (4, "alpha beta gamma delta"), (0, "?!"), (6, " ".join(item))],
+        "item_id bigint, text string",
+    )
+    found = dc.contaminated(documents(rows, 1), bench).collect()
+    got = sorted((r["doc_id"], r["item_id"], r["covered_tokens"], r["n_tiles"]) for r in found)
+    assert got == [(1, 2, 2, 1), (1, 4, 4, 1), (2, 2, 2, 1), (5, 1, 1, 1), (7, 1, 1, 1), (7, 6, 6, 1), (8, 2, 2, 1)]
+    clean = dc.without_contaminated(documents(rows, 1), bench).collect()
+    assert sorted(r["doc_id"] for r in clean) == [3, 4, 6, 9]
+
+
 def test_empty_tables(session, documents):
     none = session.createDataFrame([], "item_id bigint, text string")
     assert dc.contaminated(documents([(1, "a b c d e f")]), none).collect() == []
