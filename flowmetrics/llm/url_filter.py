@@ -17,7 +17,11 @@ from flowmetrics.llm.components import connected_components
 from flowmetrics.sources.scratch import scratch_path, written
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+# The word may stand anywhere in the list of a rel, which without quotes is one word.
+_LINK = (
+    r"""(?is)<link\b(?=[^>]*(?<![\w-])rel\s*=\s*(?:"(?:[^">]*\s)?canonical[\s"]|'(?:[^'>]*\s)?canonical[\s']"""
+    r"""|canonical[\s/>]))[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+)
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -74,15 +78,19 @@ def matched_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Pairs ``url``, ``target`` of canonical links and refreshes in ``html``.
+    """Pairs ``url``, ``target`` of all canonical links and refreshes in ``html``.
 
     Targets without a scheme are taken from the page's own; NULL pages and addresses give none.
     """
     linked = pages.where(F.col("html").rlike("(?i)canonical|http-equiv"))
     found = linked.select(
         "url",
-        F.explode(F.array(F.regexp_extract("html", _LINK, 1), F.regexp_extract("html", _REFRESH, 1)))
-        .alias("to"),
+        F.explode(
+            F.concat(
+                F.regexp_extract_all("html", F.lit(_LINK), 1),
+                F.regexp_extract_all("html", F.lit(_REFRESH), 1),
+            )
+        ).alias("to"),
     ).where("to <> '' AND url IS NOT NULL")
     scheme = F.regexp_extract("url", "^[^:/?#]*:", 0)
     host = F.concat(scheme, F.lit("//"), host_of(F.col("url")))

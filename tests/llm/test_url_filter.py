@@ -60,6 +60,22 @@ def test_blocks_reach_aliases_and_allows_come_first(session):
     assert got[6][3] == got[8][3] == "allow"
 
 
+def test_all_links_of_a_page_count(session):
+    rows = [
+        (1, "http://two.net/", '<link rel=canonical href="http://a.net/">\n<LINK href=\'http://b.net/\'rel="canonical">', None),
+        (2, "http://a.net/", None, None), (3, "http://b.net/", None, None), (4, "http://b.net/", "", None),
+        (5, "http://e.net/", '<link rel="nofollow  canonical" href="http://q.com/spam"><link rel="me" href="/x">', None),
+        (6, "http://f.net/", "<meta http-equiv=refresh content='0;url=/y'><meta http-equiv=refresh content='0;url=//q.com/spam'>", None),
+        (7, "http://g.net/", '<link rel="canonically" href="http://q.com/spam"><link rel="x" title="canonical" href="http://q.com/spam">', None),
+        (8, "http://h.net/", "<link href=//q.com/spam rel='alternate canonical'/>", None),
+        (9, "http://i.net/", '<link rel="canonical-x" href="http://q.com/spam">', None),
+    ]
+    got = _judge(session, rows, redirects=[("http://b.net/", "http://q.com/spam")])
+    verdicts = {i: v[3] for i, v in got.items()}
+    blocked = {1, 2, 3, 4, 5, 6, 8}
+    assert verdicts == {i: "block" if i in blocked else "allow" for i in range(1, 10)}
+
+
 def test_empty_table_and_no_rules(session):
     assert _judge(session, []) == {}
     assert _judge(session, [_page(1, "http://a.org/")], rules=[])[1] == ("a.org", "/", None, "allow")
