@@ -405,7 +405,7 @@ def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the sketch's median lies within half a percent of the middle rank, per period."""
+    """Whether the sketch's median is off the middle rank by at most the error it states, per period."""
     readings = _orders(spark, sf_dir)
     middle = op.period_summary(readings, "approx", ordered=False).select(NAMES.period, NAMES.median)
     value, median = F.col(NAMES.value), F.col(NAMES.median)
@@ -414,7 +414,7 @@ def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(value < median).alias("below"),
         F.count_if(value <= median).alias("upto"),
     )
-    slack = F.greatest(F.lit(1.0), F.col("n") * 0.005)
+    slack = F.greatest(F.lit(1.0), F.col("n") * 0.001)
     within = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)
     return ranks.select(NAMES.period, "n", within.alias("within"))
 

@@ -124,3 +124,16 @@ def test_more_groups_than_a_broadcast_holds_are_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(str(i), 1.0) for i in range(5)], SCHEMA)
     with pytest.raises(Exception, match="too many groups"):
         mean_and_quantile(df, "g", "v", "mean", "quantile").collect()
+
+
+def test_median_off_by_more_than_the_sketch_states_is_flagged(spark, monkeypatch):
+    import __spark_entry__ as contract
+    from flowmetrics.names import NAMES
+
+    def off(readings, *_, **__):
+        high = F.percentile(NAMES.value, F.lit(0.504)).alias(NAMES.median)
+        return readings.groupBy(NAMES.period).agg(high)
+
+    monkeypatch.setattr(contract.op, "period_summary", off)
+    found = contract.median_approx(spark, "/root/testdata/sf0.01").where("n >= 1000").collect()
+    assert found and not any(r["within"] for r in found)
