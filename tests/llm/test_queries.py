@@ -16,7 +16,7 @@ def test_query_equals_sql(session, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in queries.queries()) == sorted(f"op{i}" for i in range(1, 14))
 
 
 def test_shards_of_the_contract(session):
