@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowmetrics.llm.batches import slices
-from flowmetrics.llm.tokens import WordEncoder, vocabulary_path, with_end
+from flowmetrics.llm.tokens import process_encoder, vocabulary_path, with_end
+from flowmetrics.sources.scratch import scratch_path, written
 
 FILE_OPTIONS = {
     "compression": "zstd",
@@ -29,6 +30,8 @@ FILE_OPTIONS = {
     "parquet.page.row.count.limit": "2000",
     "parquet.dictionary.page.size": str(1 << 20),
 }
+#: Text bytes encoded together in a task.
+ENCODED_BYTES = 2 << 20
 SCHEMA = "doc_id bigint, part int, part_start bigint, n_tokens bigint, ids array<int>"
 
 
@@ -37,6 +40,8 @@ def write_token_files(
 ) -> None:
     """Encode ``text`` of each document, append ``end_id`` and write the rows by rising ``doc_id``.
 
+    A text of any length is encoded whole, by itself if it is long, and is one cell of the file.
+
     Texts are range-partitioned by document id (then by a hash of the text, so rows that share an
     id spread too), which is the one shuffle. A NULL text is empty and gives the end id alone; a
     NULL id sorts first. Repeated rows are all written. An empty table gives a file without rows.
@@ -45,10 +50,10 @@ def write_token_files(
     vocabulary = tokenizer or vocabulary_path()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = process_encoder(vocabulary)
         part = TaskContext.get().partitionId()
         before = 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED_BYTES):
             ids, ends = with_end(*encoder.encode(batch.column("text")), end_id)
             offsets = np.concatenate(([0], ends))
             rows = batch.num_rows
@@ -75,14 +80,16 @@ def write_token_files(
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``.
 
-    The starts come from one row per partition; only columns that are used are read.
+    The starts come from one row per partition of the write, 12 bytes, which stand in a small file:
+    Spark broadcasts it for its size, so ids are read where they lie and not shuffled. Only columns
+    that are used are read.
     """
     files = spark.read.schema(SCHEMA).parquet(path)
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     # One row per partition of the write, in one task.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = files.join(starts, "part")
+    placed = files.join(written(starts, scratch_path(spark, "token-starts")), "part")
     start = (F.col("_before") + F.col("part_start")).alias("start")
     return placed.select("doc_id", start, "n_tokens", "ids")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import pyarrow as pa
 from flowmetrics.llm.batches import split_words
 
 #: Words whose ids are kept in one task.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 # Letters that are lower-cased one by one and never composed, then punctuation.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
 
@@ -97,6 +98,12 @@ class WordEncoder:
         return ids, np.concatenate(([0], ends))[word_ends]
 
 
+@lru_cache(maxsize=1)
+def process_encoder(path: str) -> WordEncoder:
+    """The encoder of this worker process, which later tasks find with its words."""
+    return WordEncoder(path)
+
+
 def with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same, each text's ids followed by ``end_id``."""
     return np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -59,6 +60,46 @@ def test_token_files_are_read_back(session, documents, tokenizer, tmp_path):
     assert {r["n_tokens"] for r in token_files.read_document(session, path, 3).collect()} == {5001, 3}
 
 
+def test_reading_back_shuffles_no_ids(session, documents, tmp_path):
+    path = str(tmp_path / "ids")
+    token_files.write_token_files(documents(ROWS, 4), path, end_id=2)
+    df = token_files.read_token_files(session, path)
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    for line in text.splitlines():
+        assert "Exchange hashpartitioning" not in line
+
+
+def test_row_groups_and_pages_keep_their_bounds(session, documents, tmp_path):
+    """A filter on the document id opens few row groups, and values lie in many small pages."""
+    rows = [(i, f"word{i % 700} and some more of {i} " * 40) for i in range(9000)]
+    path = tmp_path / "ids"
+    session.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setitem(token_files.FILE_OPTIONS, "parquet.block.size", str(256 << 10))
+            token_files.write_token_files(documents(rows, 4), str(path), end_id=2)
+    finally:
+        session.conf.set("spark.sql.shuffle.partitions", "8")
+    files = sorted(path.glob("*.parquet"))
+    groups, hit = [], 0
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            group = meta.row_group(g)
+            ids, doc = group.column(4), group.column(0)
+            groups.append(ids.total_uncompressed_size)
+            assert "RLE_DICTIONARY" in ids.encodings and ids.has_dictionary_page
+            assert ids.has_offset_index and doc.has_column_index
+            hit += doc.statistics.min <= 4321 <= doc.statistics.max
+    assert len(groups) >= 4 and max(groups) <= 1 << 20 and hit == 1
+    found = token_files.read_document(session, str(path), 4321)
+    assert found.count() == 1
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,4321)" in text.split("PushedFilters")[1]
+
+
 def test_empty_token_files(session, documents, tmp_path):
     token_files.write_token_files(documents([]), str(tmp_path / "ids"), 2)
     assert token_files.read_token_files(session, str(tmp_path / "ids")).collect() == []
