@@ -17,8 +17,8 @@ import pyarrow as pa
 
 from flowmetrics.llm.batches import split_words
 
-#: Words whose ids are kept in one task.
-CACHED_WORDS = 100_000
+#: Words whose ids a process keeps before it lets go of those that it did not meet again.
+CACHED_WORDS = 300_000
 # Letters that are lower-cased one by one and never composed, then punctuation.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
 
@@ -41,14 +41,13 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _learn(self, plain: set[str], others: set[str]) -> None:
         """Ids of words by the whole tokenizer, of plain parts by its model alone.
 
         A plain part is one pre-token in normal form already, so the model is all it goes through.
         """
-        if len(self._known) + len(plain) + len(others) > CACHED_WORDS:
-            self._known.clear()
         known, tokenize = self._known, self._tokenizer.model.tokenize
         for word in plain:
             mapped = word if word.isascii() else self._bytes(word)
@@ -66,18 +65,24 @@ class WordEncoder:
 
     def _pieces(self, words: list[str]) -> list[bytes]:
         """The ids of each word, as bytes."""
+        if len(self._known) > CACHED_WORDS:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
         parts = []
         for word in words:
             plain = _PLAIN(word)
             parts.append((plain[1].lower(), plain[2], True) if plain else (word, "", False))
-        for _ in range(2):  # once more for older words if the cache was emptied
-            known = self._known
-            plain = {p for a, b, is_plain in parts if is_plain for p in (a, b) if p not in known}
-            others = {a for a, _, is_plain in parts if not is_plain and a not in known}
-            plain.discard("")
-            if plain or others:
-                self._learn(plain, others)
-        get = self._known.__getitem__
+        plain = {p for a, b, is_plain in parts if is_plain for p in (a, b) if p not in known}
+        others = {a for a, _, is_plain in parts if not is_plain and a not in known}
+        plain.discard("")
+        if older:  # words met again stay for longer
+            for new in (plain, others):
+                again = new & older.keys()
+                known.update((w, older[w]) for w in again)
+                new -= again
+        if plain or others:
+            self._learn(plain, others)
+        get = known.__getitem__
         return [get(a) + get(b) if b else get(a) for a, b, _ in parts]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
