@@ -25,7 +25,8 @@ from flowmetrics import NAMES, PeriodCalendar, ReadingColumns, fixed  # noqa: E4
 from flowmetrics import functions as fx  # noqa: E402
 from flowmetrics import operators as op  # noqa: E402
 from flowmetrics.operators import charts  # noqa: E402
-from flowmetrics.plans import basic_report, first_tier, full_report  # noqa: E402
+from flowmetrics.operators.aggregate import FINE_SKETCH_K, SKETCH_K  # noqa: E402
+from flowmetrics.plans import basic_report, first_tier, full_report, run_report  # noqa: E402
 from flowmetrics.schema import result_schemas  # noqa: E402
 from flowmetrics.sources import (  # noqa: E402
     load_tables,
@@ -130,8 +131,8 @@ def _as_text(df: DataFrame, *columns: str) -> DataFrame:
 # --- scans and sinks ------------------------------------------------------------------------
 
 
-def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as raw readings files, then scanned through a two-level glob."""
+def _raw_files(spark: SparkSession, sf_dir: str) -> str:
+    """Orders written as raw readings files; a two-level glob finds them."""
     raw = _table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"),
         fx.second_text(F.col("o_orderdate")).alias("fecha"),
@@ -145,7 +146,18 @@ def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "scan")
     raw.write.option("header", True).option("sep", fixed.RAW_SEPARATOR).csv(f"{root}/files")
-    return op.prune_columns(read_delimited(spark, f"{root}/*/*.csv"))
+    return f"{root}/*/*.csv"
+
+
+def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw readings files scanned with their declared schema."""
+    return op.prune_columns(read_delimited(spark, _raw_files(spark, sf_dir)))
+
+
+def scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files with the types that Spark infers from their text; times as on the clock."""
+    raw = op.prune_columns(read_delimited(spark, _raw_files(spark, sf_dir), infer=True))
+    return raw.withColumn("fecha", F.col("fecha").cast("timestamp_ntz"))
 
 
 def reload_result_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,6 +243,48 @@ def report_full_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report_rows(spark, _events(spark, sf_dir), EVENT_PERIODS, full=True)
 
 
+# The keys and measures of the figure tables that are not in the report's shapes.
+FIGURE_SHAPES = {
+    "period_bars": (["ordinal", NAMES.period], [NAMES.mean]),
+    "monthly_lines": (["series", NAMES.month], [NAMES.mean]),
+    "hourly_lines": (["series", NAMES.hour], [NAMES.mean]),
+    "daily_series": ([NAMES.day], [NAMES.day_mean]),
+    "annual_labels": ([NAMES.year, "label"], [NAMES.annual_mean, NAMES.annual_change]),
+    "day_type_bars": (["ordinal", NAMES.day_type], [NAMES.mean]),
+    "top_day_bars": ([NAMES.day], [NAMES.day_mean]),
+    "month_year": ([NAMES.month], list(map(str, YEAR_COLUMNS))),
+    "hour_period": ([NAMES.hour], ORDER_PERIODS.labels),
+    "raw_month_year": ([NAMES.month], list(map(str, YEAR_COLUMNS))),
+    "raw_hour_period": ([NAMES.hour], ORDER_PERIODS.labels),
+    "raw_distribution": ([NAMES.period, "n"], ["q1", "median", "q3", "whisker_lo", "whisker_hi"]),
+    "raw_day_type_bars": (["ordinal", NAMES.day_type], [NAMES.mean]),
+    "raw_top_day_bars": ([NAMES.day], [NAMES.day_mean]),
+    "raw_annual_line": ([NAMES.year, "label"], [NAMES.annual_mean]),
+}
+TABLE_SHAPES = {
+    fixed.SUMMARY_TABLE: REPORT_SHAPES[fixed.REPORT_SUMMARY],
+    fixed.MONTHLY_TABLE: REPORT_SHAPES[fixed.REPORT_MONTHLY],
+    fixed.HOURLY_TABLE: REPORT_SHAPES[fixed.REPORT_HOURLY],
+    fixed.DAILY_TABLE: REPORT_SHAPES[fixed.REPORT_DAILY],
+}
+
+
+def run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from raw readings files: clean readings staged, first tier, report and figure
+    tables written; all 28 tables read back in long form."""
+    raw = op.prune_columns(read_delimited(spark, _raw_files(spark, sf_dir)))
+    job = run_report(
+        raw, scratch_path(spark, "job-results"), years=ORDER_YEARS, valid_flag="O", calendar=ORDER_PERIODS
+    )
+    shapes = {"tables": TABLE_SHAPES, "report": REPORT_SHAPES, "figures": FIGURE_SHAPES}
+    parts = [
+        _long(f"{group}/{name}", spark.read.parquet(path), *shapes[group][name])
+        for group, paths in job.items()
+        for name, path in paths.items()
+    ]
+    return _rounded(reduce(DataFrame.unionByName, parts), 4, "result")
+
+
 # Which rows of the text readings are spoilt: by order key, what stands for time, value and flag.
 SPOILT = {11: "not a date", 13: "abc", 17: "NaN", 19: "", 23: ""}
 
@@ -406,19 +460,29 @@ def median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def median_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the sketch's median is off the middle rank by at most the error it states, per period."""
+    return _rank_check(spark, sf_dir, SKETCH_K, 0.001)
+
+
+def _rank_check(spark: SparkSession, sf_dir: str, k: int, error: float) -> DataFrame:
     readings = _orders(spark, sf_dir)
-    middle = op.period_summary(readings, "approx", ordered=False).select(NAMES.period, NAMES.median)
+    middle = op.period_summary(readings, "approx", k, ordered=False)
+    middle = middle.select(NAMES.period, NAMES.median)
     value, median = F.col(NAMES.value), F.col(NAMES.median)
     ranks = readings.join(F.broadcast(middle), NAMES.period).groupBy(NAMES.period).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(value < median).alias("below"),
         F.count_if(value <= median).alias("upto"),
     )
-    slack = F.greatest(F.lit(1.0), F.col("n") * 0.001)
+    slack = F.greatest(F.lit(1.0), F.col("n") * error)
     within = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)
     return ranks.select(NAMES.period, "n", within.alias("within"))
 
 
+def median_approx_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketch as large as the reference's error asks for: off by at most n/10000 ranks."""
+    return _rank_check(spark, sf_dir, FINE_SKETCH_K, 0.0001)
+
+
 def monthly_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(op.monthly_mean(_orders(spark, sf_dir)), 4, NAMES.mean)
 
@@ -474,6 +538,49 @@ def distribution_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stats, 4, "q1", "median", "q3", "whisker_lo", "whisker_hi")
 
 
+def distribution_of_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-plot statistics of the readings themselves, quartiles by counting."""
+    stats = op.distribution_of_readings(_events(spark, sf_dir), EVENT_PERIODS)
+    return _rounded(stats, 4, "q1", "median", "q3", "whisker_lo", "whisker_hi")
+
+
+def event_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's change against the one before it by id: previous rows across tasks."""
+    events = _table(spark, sf_dir, "events").select("event_id", "value")
+    return op.change_vs_previous(events, "event_id", "value", "change_pct")
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """With the row's place in the result, which lies in one partition."""
+    return df.withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def ordered_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(op.monthly_mean(_orders(spark, sf_dir))).drop(NAMES.mean)
+
+
+def ordered_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(op.hourly_curve(_events(spark, sf_dir))).drop(NAMES.mean)
+
+
+def ordered_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _day_as_text(_placed(op.daily_mean(_orders(spark, sf_dir)))).drop(NAMES.day_mean)
+
+
+def ordered_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(op.period_summary(_events(spark, sf_dir), "exact")).drop(NAMES.mean)
+
+
+def ordered_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = _rounded(_monthly(spark, sf_dir), 2, NAMES.mean)
+    return _placed(op.pivot_month_year(monthly, YEAR_COLUMNS)).select("place", NAMES.month)
+
+
+def ordered_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    means = _period_means(spark, sf_dir)
+    return _placed(op.logical_order(means, PARTIAL_PERIODS, [NAMES.period])).select("place", NAMES.period)
+
+
 def pivot_month_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = _rounded(_monthly(spark, sf_dir), 2, NAMES.mean)
     return op.pivot_month_year(monthly, YEAR_COLUMNS)
@@ -723,13 +830,17 @@ def _matrix_sql(
     return f"SELECT {row}, {cells} FROM ({source}) GROUP BY {row}"
 
 
-def _distribution_sql(periods: PeriodCalendar = ORDER_PERIODS) -> str:
+_DAILY_VALUES = f"""
+    SELECT {_case_period("fecha_dia", ORDER_ENDS)} AS periodo_covid, intensidad_media_dia AS v
+    FROM ({_DAILY})"""
+
+
+def _distribution_sql(periods: PeriodCalendar = ORDER_PERIODS, values: str = _DAILY_VALUES) -> str:
     labels = ", ".join(f"('{n}')" for n in periods.labels)
     lo = "min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) THEN v END)"
     hi = "max(CASE WHEN v <= q3 + 1.5 * (q3 - q1) THEN v END)"
     return f"""
-        WITH d AS (SELECT {_case_period("fecha_dia", ORDER_ENDS)} AS periodo_covid,
-                          intensidad_media_dia AS v FROM ({_DAILY})),
+        WITH d AS ({values}),
              b AS (SELECT periodo_covid, quantile_cont(v, 0.25) AS q1,
                           quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3,
                           count(*) AS n FROM d GROUP BY periodo_covid),
@@ -743,6 +854,62 @@ def _distribution_sql(periods: PeriodCalendar = ORDER_PERIODS) -> str:
         FROM (VALUES {labels}) AS p(periodo_covid) LEFT JOIN w USING (periodo_covid)"""
 
 
+def _job_sql() -> str:
+    """All 28 tables of the job in long form."""
+
+    def rows(name: str, source: str, key: str, *measures: tuple[str, str]) -> list[str]:
+        return _long_sql(name, source, key, [(m, _r(x, 4)) for m, x in measures])
+
+    mean, median = (NAMES.mean, NAMES.mean), (NAMES.median, NAMES.median)
+    mean2 = (NAMES.mean, _r(NAMES.mean, 2))
+    day_mean = (NAMES.day_mean, NAMES.day_mean)
+    year_month, period_hour = "concat_ws('|', year, month)", "concat_ws('|', periodo_covid, hour)"
+    day, day2 = "strftime(fecha_dia, '%Y-%m-%d')", "fecha_dia"
+    ordinal = _case_ordinal(ORDER_PERIODS.labels)
+    kind = f"concat_ws('|', {_case_ordinal(fixed.DAY_TYPES, 'tipo_dia')}, tipo_dia)"
+    hourly = _means(_ORDERS, "periodo_covid, hour")
+    years = [(str(y), f'"{y}"') for y in YEAR_COLUMNS]
+    periods = [(p, f'"{p}"') for p in ORDER_PERIODS.labels]
+    box = [(c, c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")]
+    signed = f"""concat_ws('|', year, format('{{:+.1f}}%', {NAMES.annual_change}))"""
+    whole = f"""concat_ws('|', year, format('{{:.0f}}', {NAMES.annual_mean}))"""
+    annual_raw = f"""
+        SELECT year, avg(intensidad_media) AS {NAMES.annual_mean} FROM ({_MONTHLY}) GROUP BY year"""
+    parts = [
+        *rows(f"tables/{fixed.SUMMARY_TABLE}", _SUMMARY, "periodo_covid", mean, median),
+        *rows(f"tables/{fixed.MONTHLY_TABLE}", _MONTHLY, year_month, mean),
+        *rows(f"tables/{fixed.HOURLY_TABLE}", hourly, period_hour, mean),
+        *rows(f"tables/{fixed.DAILY_TABLE}", _DAILY, day, day_mean),
+        *rows("figures/period_bars", _SUMMARY, f"concat_ws('|', {ordinal}, periodo_covid)", mean2),
+        *rows("figures/monthly_lines", _MONTHLY, year_month, mean2),
+        *rows("figures/hourly_lines", hourly, period_hour, mean2),
+        *rows("figures/daily_series", _DAILY_2, day, day_mean),
+        *rows("figures/annual_labels", _ANNUAL_CHANGE, signed,
+              *[(c, c) for c in (NAMES.annual_mean, NAMES.annual_change)]),
+        *rows("figures/day_type_bars", _DAY_TYPE_MEAN, kind, mean),
+        *rows("figures/top_day_bars", _TOP, day2, day_mean),
+        *rows("figures/month_year", _matrix_sql(_MONTHLY, "month", "year", YEAR_COLUMNS),
+              "CAST(month AS VARCHAR)", *years),
+        *rows("figures/hour_period", _matrix_sql(hourly, "hour", "periodo_covid", ORDER_PERIODS.labels),
+              "CAST(hour AS VARCHAR)", *periods),
+        *rows("figures/raw_month_year", _matrix_sql(_MONTHLY, "month", "year", YEAR_COLUMNS, 4),
+              "CAST(month AS VARCHAR)", *years),
+        *rows("figures/raw_hour_period",
+              _matrix_sql(hourly, "hour", "periodo_covid", ORDER_PERIODS.labels, 4),
+              "CAST(hour AS VARCHAR)", *periods),
+        *rows("figures/raw_distribution", _distribution_sql(), "concat_ws('|', periodo_covid, n)", *box),
+        *rows("figures/raw_day_type_bars", _day_type_sql(_DAILY, 4), kind, mean),
+        *rows("figures/raw_top_day_bars", _ranked_sql(_DAILY, "DESC"), day2, day_mean),
+        *rows("figures/raw_annual_line", annual_raw, whole, (NAMES.annual_mean, NAMES.annual_mean)),
+    ]
+    report = f"SELECT 'report/' || table_name AS table_name, key, measure, result FROM ({_report_sql(True)})"
+    return " UNION ALL ".join([*parts, report])
+
+
+def _place_sql(source: str, order: str, *columns: str) -> str:
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS place, {', '.join(columns)} FROM ({source})"
+
+
 def _queries_sql() -> dict[str, str]:
     order_day = "CAST(o_orderdate AS DATE)"
     mean4 = f"{_r('intensidad_media', 4)} AS intensidad_media"
@@ -820,6 +987,34 @@ def _queries_sql() -> dict[str, str]:
         "median_approx": f"""
             SELECT periodo_covid, count(*) AS n, true AS within
             FROM ({_ORDERS}) GROUP BY periodo_covid""",
+        "median_approx_fine": f"""
+            SELECT periodo_covid, count(*) AS n, true AS within
+            FROM ({_ORDERS}) GROUP BY periodo_covid""",
+        "scan_inferred": """
+            SELECT CAST(o_custkey AS INTEGER) AS id, date_trunc('second', o_orderdate) AS fecha,
+                   o_orderpriority AS tipo_elem, o_totalprice AS intensidad,
+                   CAST(o_orderkey % 100 AS INTEGER) AS ocupacion,
+                   CAST(o_custkey % 100 AS INTEGER) AS carga, o_totalprice / 8 AS vmed,
+                   o_orderstatus AS error, CAST(15 AS INTEGER) AS periodo_integracion
+            FROM orders""",
+        "run_job": _job_sql(),
+        "distribution_of_readings": _distribution_sql(
+            EVENT_PERIODS, f"SELECT periodo_covid, value AS v FROM ({_EVENTS})"
+        ),
+        "event_change": f"""
+            SELECT event_id, value,
+                   {_r("(value - previous) / nullif(previous, 0) * 100", 2)} AS change_pct
+            FROM (SELECT event_id, value, lag(value) OVER (ORDER BY event_id) AS previous FROM events)""",
+        "ordered_summary": _place_sql(
+            _summary_sql(_EVENTS), "periodo_covid", "periodo_covid", "intensidad_mediana"
+        ),
+        "ordered_monthly": _place_sql(_MONTHLY, "year, month", "year", "month"),
+        "ordered_hourly": _place_sql(_HOURLY, "periodo_covid, hour", "periodo_covid", "hour"),
+        "ordered_daily": _place_sql(_DAILY, "fecha_dia", _DAY_TEXT),
+        "ordered_matrix": _place_sql(f"SELECT DISTINCT month FROM ({_MONTHLY})", "month", "month"),
+        "ordered_periods": _place_sql(
+            _PERIOD_MEANS, f"{partial} NULLS LAST, periodo_covid", "periodo_covid"
+        ),
         "monthly_mean": f"SELECT year, month, {mean4} FROM ({_MONTHLY})",
         "hourly_curve": f"SELECT periodo_covid, hour, {mean4} FROM ({_HOURLY})",
         "daily_mean": f"""
@@ -937,6 +1132,17 @@ def own_queries() -> dict[str, Query]:
         "period_summary": period_summary,
         "median_exact": median_exact,
         "median_approx": median_approx,
+        "median_approx_fine": median_approx_fine,
+        "scan_inferred": scan_inferred,
+        "run_job": run_job,
+        "distribution_of_readings": distribution_of_readings,
+        "event_change": event_change,
+        "ordered_summary": ordered_summary,
+        "ordered_monthly": ordered_monthly,
+        "ordered_hourly": ordered_hourly,
+        "ordered_daily": ordered_daily,
+        "ordered_matrix": ordered_matrix,
+        "ordered_periods": ordered_periods,
         "monthly_mean": monthly_mean,
         "hourly_curve": hourly_curve,
         "daily_mean": daily_mean,

@@ -29,7 +29,7 @@ from flowmetrics.operators.compare import (
     baseline_comparison,
     change_vs_previous,
 )
-from flowmetrics.operators.distribution import distribution_by_period
+from flowmetrics.operators.distribution import distribution_by_period, distribution_of_readings
 from flowmetrics.operators.rank import bottom_days, top_days
 from flowmetrics.operators.reshape import (
     logical_order,
@@ -52,6 +52,7 @@ __all__ = [
     "day_type_mean",
     "distinct_periods",
     "distribution_by_period",
+    "distribution_of_readings",
     "filter_years",
     "four_grains",
     "hourly_curve",

@@ -1,16 +1,44 @@
-"""Box-plot statistics of the daily means of each period."""
+"""Box-plot statistics per period, of daily means and of readings."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
 from flowmetrics.operators.clean import label_period
+from flowmetrics.operators.median import interpolated_quantiles
+from flowmetrics.operators.order import sorted_small
 
 WHISKER_REACH = 1.5
+QUARTILES = (0.25, 0.5, 0.75)
+COLUMNS = ["q1", "median", "q3", "whisker_lo", "whisker_hi", "n"]
+
+
+def _whiskers(value: Column) -> list[Column]:
+    """The furthest values within reach of the box; its own ends where there are none."""
+    reach = (F.col("q3") - F.col("q1")) * WHISKER_REACH
+    lowest = F.min(F.when(value >= F.col("q1") - reach, value))
+    highest = F.max(F.when(value <= F.col("q3") + reach, value))
+    return [
+        F.least(lowest, F.col("q1")).alias("whisker_lo"),
+        F.greatest(highest, F.col("q3")).alias("whisker_hi"),
+    ]
+
+
+def _every_period(
+    df: DataFrame, calendar: PeriodCalendar, names: Names, *columns: Column
+) -> DataFrame:
+    """One row per period of the calendar with these columns beside the label."""
+    return calendar.frame(df.sparkSession, names.period).select(names.period, *columns)
+
+
+def _in_order(boxes: DataFrame, calendar: PeriodCalendar, names: Names) -> DataFrame:
+    return sorted_small(
+        boxes.select(names.period, *COLUMNS), calendar.ordinal(F.col(names.period))
+    )
 
 
 def distribution_by_period(
@@ -20,37 +48,63 @@ def distribution_by_period(
 
     A whisker ends at the furthest day within 1.5 interquartile ranges of the box, and at the
     box when there is none. A period without days has n = 0 and NULL statistics. The input
-    holds one row per day, so a group is never larger than the days of its period.
+    holds one row per day, so a group is never larger than the days of its period; values are
+    found by their place in order, and rows that do not fit memory spill. See
+    :func:`distribution_of_readings` for tables of any size.
     """
     v = F.col(names.day_mean)
-    days = label_period(daily.select(names.day, names.day_mean), calendar, names).where(
-        v.isNotNull()
+    days = label_period(daily.select(names.day, names.day_mean), calendar, names).where(v.isNotNull())
+    # A row without a value stands for each period, so that none is missing.
+    none = _every_period(daily, calendar, names, F.lit(None).cast("double").alias(names.day_mean))
+    rows = days.select(names.period, names.day_mean).union(none)
+    own = W.partitionBy(names.period)
+    placed = rows.select(
+        "*",
+        (F.row_number().over(own.orderBy(v.asc_nulls_last())) - 1).alias("at"),
+        F.count(v).over(own).alias("n"),
     )
-    own_period = W.partitionBy(names.period)
-    quartiles = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(own_period)
-    reach = f"(q[2] - q[0]) * {WHISKER_REACH} AS reach"
-    boxed = days.withColumn("q", quartiles).selectExpr(
-        "*", "q[0] AS q1", "q[1] AS median", "q[2] AS q3", reach
+
+    def value_at(place: Column) -> Column:
+        return F.max(F.when(F.col("at") == place, v)).over(own)
+
+    def quantile(p: float) -> Column:
+        place = (F.col("n") - 1) * F.lit(p)
+        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
+        return low + (place - F.floor(place)) * (high - low)
+
+    names_of = ["q1", "median", "q3"]
+    boxed = placed.select(
+        names.period, names.day_mean, "n", *[quantile(p).alias(q) for p, q in zip(QUARTILES, names_of)]
     )
-    lowest = F.min(F.when(v >= F.expr("q1 - reach"), v))
-    highest = F.max(F.when(v <= F.expr("q3 + reach"), v))
-    boxes = boxed.groupBy(names.period, "q1", "median", "q3").agg(
-        F.least(lowest, F.col("q1")).alias("whisker_lo"),
-        F.greatest(highest, F.col("q3")).alias("whisker_hi"),
-        F.count(F.lit(1)).alias("n"),
+    boxes = boxed.groupBy(names.period, "n", *names_of).agg(*_whiskers(v))
+    return _in_order(boxes, calendar, names)
+
+
+def distribution_of_readings(
+    readings: DataFrame, calendar: PeriodCalendar = DEFAULT_CALENDAR, names: Names = NAMES
+) -> DataFrame:
+    """The statistics of :func:`distribution_by_period` over the labelled readings themselves.
+
+    Quartiles are found by counting (see :func:`~flowmetrics.operators.median.order_statistics`), all
+    of them in the same rounds; whiskers are minima and maxima of one more scan, which meets one
+    row per period. No task holds a period. Readings of labels that are not in the calendar are
+    left out; NULL values are skipped.
+    """
+    known = readings.where(calendar.ordinal(F.col(names.period)).isNotNull())
+    known = known.select(names.period, names.value)
+    found = interpolated_quantiles(known, names.period, names.value, QUARTILES)
+    boxes = found.where("rows > 0").select(
+        F.col("g").alias("box"), F.col("rows").alias("n"),
+        *[F.col("q")[i].alias(q) for i, q in enumerate(["q1", "median", "q3"])],
     )
-    # Both sides hold one row per period of the calendar.
-    periods = calendar.frame(daily.sparkSession, names.period).select("ordinal", names.period)
-    return (
-        periods.join(F.broadcast(boxes), names.period, "left")
-        .orderBy("ordinal")
-        .select(
-            names.period,
-            "q1",
-            "median",
-            "q3",
-            "whisker_lo",
-            "whisker_hi",
-            F.coalesce("n", F.lit(0)).alias("n"),
-        )
+    v = F.col(names.value)
+    # One row per period of the calendar.
+    met = known.join(F.broadcast(boxes), F.col(names.period) == F.col("box"))
+    spread = met.groupBy(names.period, "n", "q1", "median", "q3").agg(*_whiskers(v))
+    none = _every_period(
+        readings, calendar, names, F.lit(0).cast("bigint").alias("n"),
+        *[F.lit(None).cast("double").alias(c) for c in COLUMNS[:-1]],
     )
+    both = spread.unionByName(none)
+    whole = both.groupBy(names.period).agg(*[F.max(c).alias(c) for c in COLUMNS])
+    return _in_order(whole, calendar, names)

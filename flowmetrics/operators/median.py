@@ -1,58 +1,162 @@
-"""Exact medians without gathering a group in one task."""
+"""Exact order statistics per group without gathering a group in one task.
+
+A double is mapped to a 64-bit integer of the same order, the one its bits spell. Rounds count rows
+by ranges of these integers and keep, per group, the ranges that ranks sought fall in, until each
+holds one value or few rows. Two scans of the input, whatever the number of rounds.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# Slots per e-fold in the first cut, and per group in each further one; further cuts.
-LOG_SLOTS = 1024
-LINEAR_SLOTS = 1 << 16
-LINEAR_CUTS = 3
-# Groups whose ranges are broadcast, at most; a group is a period of a calendar.
-MOST_GROUPS = 10_000
-
-# Number of a value's slot, rising with the value: about 0.1 % wide at every magnitude, zero by
-# itself. The offset puts the least positive double above 0. NaN sorts last, as everywhere in Spark.
-_OFFSET = 1_000_000
-_LOG_SLOT = f"""
-    CASE WHEN isnan(v) THEN {4 * _OFFSET}
-         WHEN v = 0 THEN 0
-         WHEN abs(v) = double('Infinity') THEN CAST(sign(v) AS bigint) * {3 * _OFFSET}
-         ELSE CAST(sign(v) AS bigint) * (floor(ln(abs(v)) * {LOG_SLOTS}) + {_OFFSET}) END"""
-_WIDTH = f"((hi - lo) / {LINEAR_SLOTS})"
-_LINEAR_SLOT = (
-    f"CASE WHEN {_WIDTH} > 0 THEN least({LINEAR_SLOTS - 1}, floor((v - lo) / {_WIDTH})) ELSE 0 END"
-)
-
-
-def _crossing(df: DataFrame, order: str, keep: list[str | Column]) -> DataFrame:
-    """The one row per group in which the running count reaches the rank sought.
-
-    A group without values has one row, of rank 0, and keeps it. ``rank`` in the result counts from the start of that row.
+from flowmetrics.sources.scratch import scratch_path, written
+
+#: Low bits of a value's integer that the first count leaves out: 1,024 slots to a power of two.
+FIRST_SHIFT = 42
+#: Slots of a range in each further count, as a power of two.
+SLOT_BITS = 16
+#: Rows of a range that are ordered by value instead of being counted by slots once more.
+FEW_ROWS = 1 << 16
+
+# The exponent of a positive double, from a logarithm that may be off by one at powers of two;
+# all doubles below the normal ones share the least exponent.
+_POWER = "pow(2D, greatest(-1022, least(1023, floor(log2(a)))))"
+_EXPONENT = f"""CAST(greatest(-1022, least(1023, greatest(-1022, least(1023, floor(log2(a))))
+    - CASE WHEN a < {_POWER} THEN 1 WHEN a >= 2 * {_POWER} THEN -1 ELSE 0 END)) AS bigint)"""
+_ONE = 1 << 52
+_INFINITE = 2047 << 52
+
+
+def ordered_bits(value: str) -> Column:
+    """A bigint that rises with the double, and differs wherever the double does.
+
+    The bits of the number without its sign, negative where the number is; both zeros are 0, and
+    NaN comes after infinity, as everywhere in Spark. NULL stays NULL.
     """
-    upto = F.sum("n").over(
-        W.partitionBy("g").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    a = f"abs({value})"
+    exponent = _EXPONENT.replace("(a)", f"({a})").replace("N a ", f"N {a} ")
+    bits = f"""({exponent} + 1023) * {_ONE}
+        + CAST(({a} / pow(2D, {exponent}) - 1) * {_ONE} AS bigint)"""
+    return F.expr(f"""
+        CASE WHEN isnan({value}) THEN {_INFINITE + 1}
+             WHEN {value} = 0 THEN 0L
+             WHEN {a} = double('Infinity') THEN CAST(sign({value}) AS bigint) * {_INFINITE}
+             ELSE CAST(sign({value}) AS bigint) * ({bits}) END""")
+
+
+def first_slot(value: str) -> Column:
+    """The slot of the first count that a value falls in: about 0.1 % wide at every magnitude."""
+    return F.shiftright(ordered_bits(value), FIRST_SHIFT)
+
+
+def first_cut(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Counts by (group, slot): ``g``, ``slot``, ``n``, ``total``, ``lo``, ``hi``."""
+    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v"))
+    return readings.groupBy("g", first_slot("v").alias("slot")).agg(
+        F.count("v").alias("n"), F.sum("v").alias("total"),
+        F.min("v").alias("lo"), F.max("v").alias("hi"),
     )
-    return (
-        df.select("*", upto.alias("upto"))
-        .where("upto >= rank AND upto - n < rank OR rank = 0")
-        .select(*keep, F.expr("rank - upto + n").alias("rank"))
+
+
+_SOUGHT = """
+transform(filter(seek, s -> s.rank > upto - n AND s.rank <= upto),
+          s -> named_struct('j', s.j, 'rank', s.rank - (upto - n)))
+"""
+
+
+def _crossed(slots: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The slots that ranks in ``seek`` fall in, with the ranks counted from the slot's start."""
+    upto = F.sum("n").over(
+        W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
+    return slots.withColumn("upto", upto).withColumn("seek", F.expr(_SOUGHT)).drop("upto")
+
 
+def _by_group(column: str) -> Column:
+    return F.expr(f"g <=> {column}")
 
-def _inside(df: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Rows whose value lies in the range still open for their group, with that range."""
-    return df.join(F.broadcast(bounds), F.expr("g <=> bound_g AND v >= lo AND v <= hi"))
 
+def _inside(df: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows of open ranges. Spark broadcasts the ranges, a small file, where its size allows."""
+    open_ = ranges.where("lo < hi").select(F.col("g").alias("range_g"), "lo", "hi", "seek")
+    return df.join(open_, F.expr("g <=> range_g AND v >= lo AND v <= hi")).drop("range_g")
 
-def _few(bounds: DataFrame) -> DataFrame:
-    """The ranges, one row per group; more groups than a broadcast may hold are an error."""
-    groups = F.count(F.lit(1)).over(W.partitionBy(F.lit(0)))
-    counted = bounds.withColumn("groups", groups)
-    few = F.assert_true(F.col("groups") <= MOST_GROUPS, F.lit("too many groups"))
-    return counted.where(few.isNull()).drop("groups")
+
+def _state(ranges: DataFrame) -> int:
+    """Rows of the fullest range that holds several values, 0 if none does."""
+    return ranges.agg(F.max(F.when(F.expr("lo < hi"), F.col("n")))).first()[0] or 0
+
+
+def order_statistics(
+    df: DataFrame, group: str, value: str, ranks: Column, cut: DataFrame | None = None
+) -> DataFrame:
+    """Per group ``g``: ``rows`` (values), ``mean`` and ``found``, the values of the ranks sought.
+
+    ``ranks`` is an array of 1-based ranks (bigint) as an expression of ``rows``; ``found`` has their
+    values in the same order. NULL values are skipped; a group without others keeps its row, with 0
+    rows, a NULL mean and no values. NULL is a group; NaN is the largest value.
+
+    1. Count rows by (group, slot), a slot being the first bits of the value's integer (``cut`` takes
+       :func:`first_cut` made before), and keep the slots that ranks fall in.
+    2. End if every range kept holds one value. Else scan again: rows in open ranges, counted by
+       value. As long as a range has more than ``FEW_ROWS``, these counts are written and cut by
+       further bits, at most three times, since then a slot is one value.
+
+    Counts combine before their shuffles and spread a group over all tasks; windows see slots, or
+    the values of one small range. The ranges of all groups stand in a small file between rounds,
+    and the driver sees one number a round. Returns after the first rounds have run.
+    """
+    spark = df.sparkSession
+    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v"))
+    whole = W.partitionBy("g")
+    slots = (first_cut(df, group, value) if cut is None else cut).select(
+        "*", F.sum("n").over(whole).alias("rows"),
+        F.try_divide(F.sum("total").over(whole), F.sum("n").over(whole)).alias("mean"),
+    )
+    seek = F.transform(ranks, lambda r, j: F.struct(j.alias("j"), r.cast("bigint").alias("rank")))
+    sought = slots.withColumn("seek", F.when(F.col("rows") > 0, seek).otherwise(F.slice(seek, 1, 0)))
+    kept = _crossed(sought, ["g"], "slot").where("rows = 0 OR size(seek) > 0")
+    first = written(kept.drop("slot", "total"), scratch_path(spark, "ranges"))
+    groups = first.select("g", "rows", "mean").distinct()
+    ranges, most = first, _state(first)
+    keys = ["g", "lo", "hi", "seek"]
+    n = F.sum("n").alias("n")
+    counts = None
+    if most:
+        counts = _inside(readings, ranges).groupBy(*keys, "v").agg(F.count("v").alias("n"))
+    closed = []
+    while most > FEW_ROWS:
+        closed.append(ranges.where("lo = hi"))
+        if len(closed) == 1:
+            counts = written(counts, scratch_path(spark, "range-values"))
+        bits, low = ordered_bits("v"), ordered_bits("lo")
+        shift = F.greatest(F.lit(0), F.length(F.bin(ordered_bits("hi") - low)) - SLOT_BITS)
+        slot = F.expr("shiftright(distance, shift)").alias("slot")
+        placed = counts.withColumn("shift", shift.cast("int")).withColumn("distance", bits - low)
+        cut = placed.groupBy(*keys, slot).agg(n, F.min("v").alias("least"), F.max("v").alias("most"))
+        next_ = _crossed(cut, ["g", "lo"], "slot").where("size(seek) > 0")
+        ranges = written(
+            next_.select("g", F.col("least").alias("lo"), F.col("most").alias("hi"), "n", "seek"),
+            scratch_path(spark, "ranges"),
+        )
+        most = _state(ranges)
+        counts = _inside(counts.select("g", "v", "n"), ranges)
+    closed.append(ranges.where("lo = hi"))
+    answers = [r.select("g", "seek", F.col("lo").alias("v")) for r in closed]
+    if most:
+        answers.append(_crossed(counts, ["g", "lo"], "v").select("g", "seek", "v"))
+    every = answers[0]
+    for more in answers[1:]:
+        every = every.unionByName(more)
+    values = every.select("g", "v", F.explode("seek").alias("s")).groupBy(F.col("g").alias("found_g")).agg(
+        F.array_sort(F.collect_list(F.struct("s.j", "v"))).alias("pairs")
+    )
+    joined = groups.join(values, _by_group("found_g"), "left")
+    return joined.select("g", "rows", "mean", F.col("pairs.v").alias("found"))
 
 
 def mean_and_quantile(
@@ -62,56 +166,34 @@ def mean_and_quantile(
     mean_alias: str,
     quantile_alias: str,
     q: float = 0.5,
+    cut: DataFrame | None = None,
 ) -> DataFrame:
     """Mean and discrete quantile per group: the least value with ``q`` of the rows up to it.
 
-    1. Count rows per (group, logarithmic slot) and keep the slot the rank falls in. Outliers
-       do not widen these slots.
-    2. Count equal values inside that slot only, then cut it in slots of equal width and keep
-       one, a fixed number of times. Values crowded in a narrow range are told apart here: the
-       cuts together are finer than the doubles of one logarithmic slot.
-    3. Order the few values left.
-
-    Both counts combine before their shuffles and spread one group over all tasks, and the
-    shuffles are small whatever the number of distinct values. The windows see slots or the
-    values of one slot, never a group. The ranges broadcast are one row per group, and more than
-    ``MOST_GROUPS`` groups are an error. NULL values are skipped; a group that has no others keeps
-    its row, with NULL for mean and quantile. Two scans of ``df``, however many cuts.
+    See :func:`order_statistics` for how, and for NULLs.
     """
-    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v"))
-    n, lo, hi = F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    bound = [F.col("g").alias("bound_g"), "lo", "hi"]
-    whole = W.partitionBy("g")
-    rows = F.sum("n").over(whole)
-
-    slots = (
-        readings.groupBy("g", F.expr(_LOG_SLOT).alias("slot"))
-        .agg(n, F.sum("v").alias("total"), lo, hi)
-        .select(
-            "g",
-            "slot",
-            "n",
-            "lo",
-            "hi",
-            # 0 for a group without values, which no running count reaches from below.
-            F.when(rows > 0, F.greatest(F.lit(1), F.ceil(rows * F.lit(q))))
-            .otherwise(0).alias("rank"),
-            F.try_divide(F.sum("total").over(whole), rows).alias("mean"),
-        )
+    rank = F.array(F.greatest(F.lit(1), F.ceil(F.col("rows") * F.lit(q))))
+    found = order_statistics(df, group, value, rank, cut)
+    return found.select(
+        F.col("g").alias(group), F.col("mean").alias(mean_alias),
+        F.get("found", F.lit(0)).alias(quantile_alias),
     )
-    groups = _few(_crossing(slots, "slot", ["g", "lo", "hi", "mean"]))
-    # The mean goes along: the same columns everywhere let Spark make these ranges once.
-    bounds = groups.select(F.col("g").alias("bound_g"), "lo", "hi", "mean", "rank")
-
-    counts = _inside(readings, bounds).groupBy("g", "lo", "hi", "mean", "rank", "v").agg(n)
-    left = counts
-    for _ in range(LINEAR_CUTS):
-        slots = left.groupBy("g", "rank", F.expr(_LINEAR_SLOT).alias("slot")).agg(
-            F.sum("n").alias("n"), lo, hi
-        )
-        left = _inside(counts.select("g", "v", "n"), _crossing(slots, "slot", bound))
-    found = _crossing(left, "v", [F.col("g").alias("found_g"), "v"])
-    middle = F.when(F.col("lo") <= F.col("hi"), F.col("v")).alias(quantile_alias)
-    return groups.join(F.broadcast(found), F.expr("g <=> found_g"), "left").select(
-        F.col("g").alias(group), F.col("mean").alias(mean_alias), middle
+
+
+def interpolated_quantiles(
+    df: DataFrame, group: str, value: str, probabilities: Sequence[float], cut: DataFrame | None = None
+) -> DataFrame:
+    """Per group ``g``: ``rows``, ``mean`` and ``q``, quantiles by linear interpolation.
+
+    A quantile p lies at the place (rows - 1) * p, counted from 0, between two neighbours in order.
+    NULL for a group without values.
+    """
+    place = "(rows - 1) * {p}D"
+    ranks = ", ".join(f"floor({place.format(p=p)}) + 1, ceil({place.format(p=p)}) + 1" for p in probabilities)
+    found = order_statistics(df, group, value, F.expr(f"array({ranks})"), cut)
+    between = ", ".join(
+        f"found[{2 * i}] + ({place.format(p=p)} - floor({place.format(p=p)}))"
+        f" * (found[{2 * i + 1}] - found[{2 * i}])"
+        for i, p in enumerate(probabilities)
     )
+    return found.select("g", "rows", "mean", F.expr(f"CASE WHEN rows > 0 THEN array({between}) END").alias("q"))

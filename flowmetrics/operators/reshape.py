@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
+from flowmetrics.operators.order import sorted_small
+from flowmetrics.sources.scratch import scratch_path, written
 
 
 def _single_cell(value: str) -> Column:
@@ -29,7 +30,7 @@ def matrix(
     """
     groups = df.groupBy(rows)
     pivot = groups.pivot(columns) if values is None else groups.pivot(columns, list(values))
-    return pivot.agg(_single_cell(value)).orderBy(rows)
+    return sorted_small(pivot.agg(_single_cell(value)), rows)
 
 
 def pivot_month_year(
@@ -57,7 +58,7 @@ def logical_order(
 ) -> DataFrame:
     """Add the period's ordinal and sort by it; labels not in the calendar come last."""
     ordinal = calendar.ordinal(F.col(names.period))
-    return df.withColumn("ordinal", ordinal).orderBy(F.asc_nulls_last("ordinal"), *then)
+    return sorted_small(df.withColumn("ordinal", ordinal), F.asc_nulls_last("ordinal"), *then)
 
 
 def present_periods(
@@ -66,13 +67,11 @@ def present_periods(
     """Rows of the calendar's periods in time order.
 
     When not one label is in the calendar, all rows in order of their text. Takes a table with
-    one row per period: whether any label is known is a window over all of it.
+    one row per period, which is written first: whether any of its labels is known is a scalar of
+    the written rows.
     """
-    known = F.count("ordinal").over(W.partitionBy())
-    return (
-        df.withColumn("ordinal", calendar.ordinal(F.col(names.period)))
-        .withColumn("known", known)
-        .where("ordinal IS NOT NULL OR known = 0")
-        .drop("known")
-        .orderBy(F.asc_nulls_last("ordinal"), names.period)
-    )
+    rows = df.withColumn("ordinal", calendar.ordinal(F.col(names.period)))
+    rows = written(rows, scratch_path(df.sparkSession, "periods"))
+    known = rows.agg(F.count("ordinal")).scalar()
+    kept = rows.where(F.col("ordinal").isNotNull() | (known == 0))
+    return sorted_small(kept, F.asc_nulls_last("ordinal"), names.period)

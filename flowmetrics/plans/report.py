@@ -11,10 +11,10 @@ from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, READING_COLUMNS, Names, ReadingColumns
 from flowmetrics.operators import charts
 from flowmetrics.operators.aggregate import (
-    day_hour_rollup,
     day_type_mean,
     means_from_rollup,
     period_summary,
+    rollup_and_cut,
     sketched_rollup,
     summary_from_sketches,
     with_rollup_keys,
@@ -22,6 +22,7 @@ from flowmetrics.operators.aggregate import (
 from flowmetrics.operators.clean import clean_readings, label_readings
 from flowmetrics.operators.compare import annual_change, baseline_comparison
 from flowmetrics.operators.distribution import distribution_by_period
+from flowmetrics.operators.order import sorted_small
 from flowmetrics.operators.rank import bottom_days, top_days
 from flowmetrics.operators.reshape import pivot_hour_period, pivot_month_year
 from flowmetrics.sources.scratch import scratch_folder, scratch_path, written
@@ -39,18 +40,18 @@ def first_tier(
 
     One scan of the readings makes a day-hour rollup, written below ``work_dir`` (by default a
     new scratch path), that the three tables of means share. With ``median="approx"`` the rollup
-    holds sketches and the summary comes from it, too; the exact summary takes two more scans.
-    Nothing as large as the readings is kept.
+    holds sketches and the summary comes from it, too; for the exact summary the same scan counts
+    by value slots, and one more scan looks into them. Nothing as large as the readings is kept.
     """
     work_dir = work_dir or scratch_path(readings.sparkSession, "first-tier")
     if median == "approx":
         made = sketched_rollup(readings, [], names=names)
         rollup = written(made, f"{work_dir}/rollup")
         summary = summary_from_sketches(with_rollup_keys(rollup, calendar, names), names)
-        summary = summary.orderBy(names.period)
+        summary = sorted_small(summary, names.period)
     else:
-        rollup = written(day_hour_rollup(readings, names), f"{work_dir}/rollup")
-        summary = period_summary(readings, median, names=names)
+        rollup, cut = rollup_and_cut(readings, f"{work_dir}/rollup", names)
+        summary = period_summary(readings, median, names=names, cut=cut)
     return {fixed.SUMMARY_TABLE: summary, **means_from_rollup(rollup, calendar, names)}
 
 
@@ -136,8 +137,9 @@ def run_report(
     """Write first-tier tables, the full report and the figure tables below ``root``.
 
     ``stage`` first writes the clean readings, two columns, to the shared scratch folder as
-    Parquet, so that the raw input is parsed once: the exact job scans them three times (rollup,
-    then twice for the median), the approximate one once. Without it, for raw Parquet that is
+    Parquet, so that the raw input is parsed once: the exact job scans them twice (rollup and
+    first count, then the median's second), the approximate one once. Files are of even size,
+    however many small or large ones the input has. Without it, for raw Parquet that is
     cheap to read, the raw input is scanned as often. The files
     outlive a lost executor, which a cache of the same frame does not; they are deleted once
     the first tier is written. The derived tables read the first-tier tables back from there,
@@ -147,7 +149,7 @@ def run_report(
     clean = clean_readings(raw, columns, years, valid_flag, names=names)
     with scratch_folder(raw.sparkSession, "job") as work_dir:
         if stage:
-            clean = written(clean, f"{work_dir}/readings")
+            clean = written(clean.hint("rebalance"), f"{work_dir}/readings")
         readings = label_readings(clean, calendar, names)
         first = first_tier(readings, calendar, median, work_dir, names)
         tables = write_tables(first, root, fmt)

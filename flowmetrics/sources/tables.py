@@ -119,11 +119,11 @@ def write_clean_readings(
     """Clean readings as Parquet, one directory per year.
 
     Later jobs then scan two typed columns and, through ``filter_years``, only the years they
-    need. Rows stay in the
-    task that read them: no shuffle, and a year with most of the rows is no bottleneck.
+    need. Rows are dealt to files of even size, however small or large the files they come from:
+    Spark splits a year with most of the rows and joins small ones.
     """
     if partition_by_year:
-        readings = readings.withColumn(names.year, F.year(names.time))
+        readings = readings.withColumn(names.year, F.year(names.time)).hint("rebalance", names.year)
         readings.write.mode("overwrite").partitionBy(names.year).parquet(path)
     else:
-        readings.write.mode("overwrite").parquet(path)
+        readings.hint("rebalance").write.mode("overwrite").parquet(path)

@@ -213,8 +213,8 @@ def test_calendar_without_closed_periods(spark):
         assert label(df, only).first().periodo_covid == "all"
 
 
-def test_a_calendar_of_many_periods_is_joined(spark):
-    """Weekly periods over three years: too many for a CASE, same labels either way."""
+def test_a_calendar_of_many_periods_needs_no_join(spark):
+    """Weekly periods over three years: a nested choice moves no row, and says what the join says."""
     ends = [date(2019, 6, 1) + timedelta(weeks=w) for w in range(150)]
     weekly = PeriodCalendar.of([(f"w{i}", e) for i, e in enumerate(ends)], "later")
     raw = spark.range(0, 1400).selectExpr(
@@ -223,7 +223,10 @@ def test_a_calendar_of_many_periods_is_joined(spark):
         "'N' AS error",
     )
     readings = op.prepare_readings(raw, calendar=weekly)
-    assert "BroadcastHashJoin" in readings._jdf.queryExecution().executedPlan().toString()
+    text = readings._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text
+    days = readings.select("fecha_dia")
+    assert op.label_period_by_join(days, weekly).exceptAll(op.label_period(days, weekly)).isEmpty()
     got = {r.fecha_dia: r.periodo_covid for r in readings.collect()}
     assert len(got) == 1400
     for day, label in got.items():

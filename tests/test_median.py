@@ -1,12 +1,16 @@
 """The exact median that gathers no group, against sorting in Python."""
 
 import math
+import random
+import struct
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from flowmetrics import operators as op
+from flowmetrics.operators import median
+from flowmetrics.operators.aggregate import FINE_SKETCH_K
 from flowmetrics.operators.median import mean_and_quantile
 from pyspark.sql import functions as F
 
@@ -106,24 +110,84 @@ def test_a_period_without_values_keeps_its_row(spark, kind):
     assert [tuple(r) for r in op.period_summary(df, kind).collect()] == [("a", 1.0, 1.0), ("b", None, None)]
 
 
-def test_crowded_values_leave_a_handful_to_order(spark):
-    from flowmetrics.operators import median
-
+def test_crowded_values_leave_a_handful_to_order(spark, monkeypatch):
+    """However crowded, what is ordered by value at last is a bounded number of rows."""
+    states = []
+    state = median._state
+    monkeypatch.setattr(median, "FEW_ROWS", 100)
+    monkeypatch.setattr(median, "_state", lambda r: states.append(state(r)) or states[-1])
     rows = [("a", 1000 + x * 1e-9) for x in range(20_000)] + [("a", 1000.3)]
     df = spark.createDataFrame(rows, SCHEMA)
     out = mean_and_quantile(df, "g", "v", "mean", "quantile")
     assert out.first()["quantile"] == 1000 + 10_000 * 1e-9
-    # The cuts divide the doubles of one logarithmic slot further than there are any.
-    assert median.LINEAR_SLOTS**median.LINEAR_CUTS > 2**43
+    assert states[0] > 100 >= states[-1] and len(states) <= 4
+    # The rounds together tell all doubles of a first slot apart.
+    assert median.SLOT_BITS * 3 >= median.FIRST_SHIFT
+
 
+@pytest.mark.parametrize("few", [0, 3])
+@pytest.mark.parametrize("case", sorted(CASES))
+def test_cases_in_all_rounds(spark, monkeypatch, case, few):
+    monkeypatch.setattr(median, "FEW_ROWS", few)
+    monkeypatch.setattr(median, "SLOT_BITS", 15)
+    got = quantiles(spark, CASES[case], 0.3)
+    assert {g: r.quantile for g, r in got.items()} == expected(CASES[case], 0.3)
 
-def test_more_groups_than_a_broadcast_holds_are_an_error(spark, monkeypatch):
-    from flowmetrics.operators import median
 
-    monkeypatch.setattr(median, "MOST_GROUPS", 3)
-    df = spark.createDataFrame([(str(i), 1.0) for i in range(5)], SCHEMA)
-    with pytest.raises(Exception, match="too many groups"):
-        mean_and_quantile(df, "g", "v", "mean", "quantile").collect()
+def test_a_single_value_ends_after_the_first_count(spark, monkeypatch):
+    monkeypatch.setattr(median, "_inside", lambda *_: pytest.fail("scanned again"))
+    rows = [("a", 7.0)] * 5 + [("b", -1.5), ("b", 2.0), ("b", 1e9), ("c", None)]
+    got = quantiles(spark, rows)
+    assert {g: r.quantile for g, r in got.items()} == {"a": 7.0, "b": 2.0, "c": None}
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_many_groups(spark, threshold):
+    """More groups than a broadcast should hold go through a shuffle."""
+    df = spark.range(60_000).selectExpr("cast(id % 20000 AS string) AS g", "cast(id AS double) AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        out = mean_and_quantile(df, "g", "v", "mean", "quantile")
+        assert out.count() == 20_000
+        assert out.where("quantile <> cast(g AS bigint) + 20000 OR quantile <> mean").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bits_keep_the_order_of_doubles(spark):
+    rng = random.Random(1)
+    drawn = [struct.unpack("<d", struct.pack("<q", rng.getrandbits(64) - (1 << 63)))[0] for _ in range(3000)]
+    powers = [s * 2.0**e for e in range(-1074, 1024) for s in (1, -1)]
+    beside = [math.nextafter(abs(p), d) for p in powers for d in (0, math.inf)]
+    values = [v for v in drawn + powers + beside if not math.isnan(v)] + [0.0, -0.0, math.inf, -math.inf]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", median.ordered_bits("v").alias("b"))
+    for r in rows.collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.b == (bits if r.v > 0 else -bits)
+    odd = spark.createDataFrame([(math.nan,), (None,)], "v double").select(median.ordered_bits("v").alias("b"))
+    assert [r.b for r in odd.collect()] == [(2047 << 52) + 1, None]
+
+
+def test_several_ranks_are_sought_at_once(spark, monkeypatch):
+    rows = [("a", float(x * x % 1009)) for x in range(4000)] + [("b", 2.0), ("b", 4.0), (None, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    ps = [0.0, 0.25, 0.5, 0.9, 1.0]
+    want = df.where("v IS NOT NULL").groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, ps))).alias("q"))
+    want = {r.g: r.q for r in want.collect()} | {None: None}
+    for few in (median.FEW_ROWS, 5):
+        monkeypatch.setattr(median, "FEW_ROWS", few)
+        got = {r.g: r.q for r in median.interpolated_quantiles(df, "g", "v", ps).collect()}
+        assert got == {g: q if q is None else pytest.approx(q) for g, q in want.items()}
+
+
+def test_approximate_median_as_close_as_asked(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr(
+        "'p' AS periodo_covid", f"cast(id * 7919 % {n} AS double) AS value",
+        "date_add(DATE'2020-01-01', cast(id % 40 AS int)) AS fecha_dia", "cast(id % 24 AS int) AS hour",
+    )
+    found = op.period_summary(df, "approx", FINE_SKETCH_K).first().intensidad_mediana
+    assert abs(found - n / 2) <= n / 10_000
 
 
 def test_median_off_by_more_than_the_sketch_states_is_flagged(spark, monkeypatch):

@@ -4,11 +4,14 @@ import pytest
 
 import __spark_entry__ as contract
 from flowmetrics import operators as op
+from flowmetrics.operators import aggregate, compare, median, reshape
+from flowmetrics.plans import report
+from flowmetrics.sources import scratch, write_clean_readings
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"
 WRITING = {
     "scan_delimited", "reload_result_table", "union_parts", "report_basic", "report_full",
-    "report_full_events", "clean_readings_text", "filter_year_partitions",
+    "report_full_events", "clean_readings_text", "filter_year_partitions", "scan_inferred", "run_job",
 }
 
 
@@ -67,13 +70,84 @@ def test_long_calendars_probe_one_hash_table(spark):
     assert "BroadcastHashJoin" in text
 
 
-def test_exact_median_gathers_no_group(orders):
-    df = op.period_summary(orders, "exact")
-    text = plan(df, executed=True)
-    assert "percentile" not in text
+@pytest.fixture
+def written_plans(monkeypatch):
+    """The plans of the tables that operators write on the way."""
+    plans = []
+
+    def recorded(df, path):
+        plans.append(plan(df))
+        return scratch.written(df, path)
+
+    for module in (aggregate, compare, median, reshape, report):
+        monkeypatch.setattr(module, "written", recorded)
+    return plans
+
+
+def scans(text):
+    """Scans of the tables given, not of tables written on the way."""
+    return sum("FileScan" in line and "testdata" in line for line in text.splitlines())
+
+
+@pytest.fixture
+def wide_slots(monkeypatch):
+    """A first count so coarse that a second scan is needed on small tables, too."""
+    monkeypatch.setattr(median, "FIRST_SHIFT", 50)
+
+
+def test_exact_median_gathers_no_group(orders, written_plans, wide_slots):
+    text = plan(op.period_summary(orders, "exact"), executed=True)
+    first = written_plans[0]
+    assert "percentile" not in text + first
     # Readings are only ever shuffled by (period, slot) or (period, value).
-    assert text.count("FileScan") == 2
-    assert "ReusedExchange" in text
+    assert scans(first) == 1 and scans(text) == 1
+    assert "hashpartitioning(g#" in first and ", slot#" in first
+    # The ranges of one period each are broadcast for their size, not by a hint.
+    assert "BroadcastHashJoin" in text and "hint" not in text.lower()
+
+
+def test_job_scans_the_readings_twice(orders, written_plans, wide_slots):
+    tables = report.first_tier(orders, contract.ORDER_PERIODS, "exact")
+    texts = [*written_plans, *[plan(t) for t in tables.values()]]
+    assert sum(map(scans, texts)) == 2
+    for t in tables.values():
+        assert "rangepartitioning" not in plan(t)
+
+
+@pytest.mark.parametrize("kind", ["approx", "exact"])
+def test_first_tier_tables_are_sorted_without_sampling(orders, kind):
+    tables = [
+        op.period_summary(orders, kind), op.monthly_mean(orders), op.hourly_curve(orders),
+        op.daily_mean(orders), *report.first_tier(orders, contract.ORDER_PERIODS, kind).values(),
+    ]
+    for df in tables:
+        assert "rangepartitioning" not in plan(df)
+        keys = [c for c in df.columns if not c.startswith("intensidad")]
+        rows = [tuple(r) for r in df.select(*keys).collect()]
+        assert rows == sorted(rows) and len(rows) > 1
+
+
+@pytest.mark.parametrize("name", ["present_periods", "present_periods_fallback", "baseline_comparison", "event_change"])
+def test_no_window_over_everything(spark, name):
+    for line in plan(contract.queries()[name](spark, SF_DIR)).splitlines():
+        assert "Window" not in line or "_range" in line
+
+
+def test_staged_readings_have_files_of_even_size(spark, tmp_path):
+    """Two hundred tiny inputs: few files, no reading lost."""
+    rows = spark.range(20_000).selectExpr(
+        "TIMESTAMP_NTZ'2019-06-01 00:00:00' + make_interval(0, 0, 0, 0, id % 9000) AS fecha",
+        "cast(id AS double) AS intensidad", "'N' AS error",
+    )
+    rows.repartition(200).write.parquet(str(tmp_path / "raw"))
+    clean = op.clean_readings(spark.read.parquet(str(tmp_path / "raw")), years=None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    try:
+        write_clean_readings(clean, str(tmp_path / "staged"), partition_by_year=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(list((tmp_path / "staged").glob("*.parquet"))) <= 8
+    assert spark.read.parquet(str(tmp_path / "staged")).count() == 20_000
 
 
 def test_approximate_median_merges_sketches_of_hours(orders):
@@ -105,14 +179,18 @@ def test_many_parts_make_a_shallow_union(spark):
     assert union_parts(parts).count() == 64
 
 
-# The exact median scans twice; whether the sketch's is near the middle takes another look.
-SCANS = {"median_exact": 2, "median_approx": 2, "period_summary": 2, "baseline_comparison": 2, "baseline_missing": 2}
+# The exact median scans twice, whiskers of readings take another look, and so does the check
+# whether the sketch's median is near the middle.
+SCANS = {
+    "median_exact": 2, "median_approx": 2, "median_approx_fine": 2, "period_summary": 2,
+    "baseline_comparison": 2, "baseline_missing": 2, "distribution_of_readings": 3, "ordered_summary": 2,
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.own_queries()) - WRITING))
-def test_tables_are_scanned_once(spark, name):
+def test_tables_are_scanned_once(spark, written_plans, wide_slots, name):
     text = plan(contract.queries()[name](spark, SF_DIR), executed=True)
-    assert text.count("FileScan") == SCANS.get(name, 1)
+    assert sum(map(scans, [text, *written_plans])) == SCANS.get(name, 1)
 
 
 def test_annual_table_is_aggregated_before_the_single_partition(orders):
