@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmetrics.sources.scratch import scratch_path, written
+from flowmetrics.sources.scratch import discard, scratch_path, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     ordered = edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
-    now = written(ordered.distinct(), scratch_path(spark, "components"))
+    path = scratch_path(spark, "components")
+    now = written(ordered.distinct(), path, tidy=True)
     before = None
     for _ in range(most_rounds):
         # The sum tells two edge lists apart; a list that did not change is a forest of stars.
@@ -51,7 +52,9 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if not state[0] or tuple(state) == before:
             break
         before = tuple(state)
-        now = written(_small_star(_large_star(now)), scratch_path(spark, "components"))
+        last, path = path, scratch_path(spark, "components")
+        now = written(_small_star(_large_star(now)), path, tidy=True)
+        discard(spark, last)
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

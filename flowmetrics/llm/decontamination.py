@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from flowmetrics.llm.batches import slices, split_words, window_hashes, word_hashes
 from flowmetrics.llm.bits import filter_bits, passes
+from flowmetrics.llm.columns import apart, together
 from flowmetrics.sources.scratch import scratch_path, written
 
 #: Tokens of the shortest tile, and of a seed; an item of fewer is one tile and one seed.
@@ -218,8 +219,9 @@ def contaminated(
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, least: int = LEAST_TILE
 ) -> DataFrame:
-    """The documents that no item is found in, all columns as they are."""
-    found = contaminated(docs, benchmark, coverage, least)
+    """The documents that no item is found in, all columns as they are, whatever their names."""
+    named = apart(docs, "doc_id", "text")
+    found = contaminated(named, benchmark, coverage, least)
     keys = found.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key"))
-    return docs.join(keys, same, "left_anti")
+    return together(named.join(keys, same, "left_anti"), docs)

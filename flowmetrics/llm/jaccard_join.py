@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from flowmetrics.llm.batches import mixed, slices, split_words, window_hashes, word_hashes
 from flowmetrics.llm.bits import filter_bits, passes
+from flowmetrics.llm.columns import apart, together
 from flowmetrics.llm.components import connected_components
 from flowmetrics.sources.scratch import scratch_path, written
 
@@ -531,16 +532,17 @@ def one_per_component(
     """The document with the least id of each component, all columns as they are.
 
     Documents without shingles are in no component and stay. Of rows equal in id and shingles one
-    stays; NULL ids stay only where a component has no other.
+    stays; NULL ids stay only where a component has no other. Columns may have any names.
     """
     spark = docs.sparkSession
     rows, by_node = linked_nodes(docs, num, den, width)
     by_node = written(by_node, scratch_path(spark, "shingle-components"))
+    named = apart(docs, "doc_id", "text")
     order = F.struct(F.col("stands").isNull(), "stands", "node")
     chosen = by_node.groupBy("component").agg(F.min(order).alias("c"))
     kept = chosen.groupBy(F.col("c.stands").alias("_stands")).agg(F.collect_set("c.node").alias("_nodes"))
-    found = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_stands")), "left").drop("_stands")
-    names = docs.columns
+    found = named.join(kept, F.col("doc_id").eqNullSafe(F.col("_stands")), "left").drop("_stands")
+    names = named.columns
 
     def stay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -551,10 +553,11 @@ def one_per_component(
             out = batch.select(names).append_column("_node", pa.array(nodes, pa.int64()))
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType())])
+    schema = T.StructType([*named.schema.fields, T.StructField("_node", T.LongType())])
     stayed = found.mapInArrow(stay, schema)
     # Rows equal in id and shingles are rare; only where there are any is one picked.
     if rows.where("node IS NOT NULL").groupBy("doc_id", "node").count().where("count > 1").isEmpty():
-        return stayed.drop("_node")
+        return together(stayed.drop("_node"), docs)
     empty = stayed.where("_node IS NULL")
-    return empty.union(stayed.where("_node IS NOT NULL").dropDuplicates(["doc_id", "_node"])).drop("_node")
+    single = stayed.where("_node IS NOT NULL").dropDuplicates(["doc_id", "_node"])
+    return together(empty.union(single).drop("_node"), docs)

@@ -24,12 +24,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmetrics.llm.batches import mixed, slices, texts
+from flowmetrics.llm.columns import apart, together
 from flowmetrics.llm.windows import Buffer
 from flowmetrics.sources.scratch import scratch_path, written
 
 LENGTH = 100
 #: Texts hashed together in a task.
 HASHED_BYTES = 2 << 20
+#: Windows of a long text that are looked at together.
+LONG_BYTES = 4 << 20
 #: Windows of one entry of the second comparison.
 _STEP = 8
 
@@ -66,24 +69,50 @@ def _signed(hashes: np.ndarray) -> pa.Array:
     return pa.array(hashes.view(np.int64))
 
 
-def run_entries(docs: DataFrame, length: int) -> DataFrame:
-    """One entry per run of windows of every text."""
+def _in_bounds(
+    batch: pa.RecordBatch, length: int, longest: int
+) -> Iterator[tuple[pa.RecordBatch, int, Buffer]]:
+    """The rows in buffers of bounded size, each with the byte place at which its texts begin.
+
+    A text of more than ``longest`` windows is cut into buffers that overlap, so that every window
+    is in one of them.
+    """
+    sizes = pc.binary_length(texts(batch.column("text"))).to_numpy(zero_copy_only=False)
+    long = sizes >= longest + length
+    if not long.any():
+        yield batch, 0, _buffer(batch.column("text"))
+        return
+    short = batch.filter(pa.array(~long))
+    if short.num_rows:
+        yield short, 0, _buffer(short.column("text"))
+    for i in np.flatnonzero(long).tolist():
+        data = np.frombuffer(batch.column("text")[i].as_buffer(), np.uint8)
+        for at in range(0, len(data) - length + 1, longest):
+            piece = data[at : at + longest + length - 1]
+            yield batch.slice(i, 1), at, Buffer(piece, np.array([0, len(piece)], np.int64))
+
+
+def run_entries(docs: DataFrame, length: int, longest: int = LONG_BYTES) -> DataFrame:
+    """One entry per run of windows of every text; long texts cut runs at bounded distances."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", HASHED_BYTES):
-            buffer = _buffer(batch.column("text"))
-            runs = buffer.runs(length)
-            row = np.searchsorted(buffer.starts, runs.first, side="right") - 1
-            at = pa.array(row)
-            first = pa.array(runs.first - buffer.starts[row])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    _signed(runs.gram), _signed(runs.whole),
-                    batch.column("doc").take(at), batch.column("tie").take(at), first,
-                    pa.array((runs.last - runs.first + 1).astype(np.int32)), first,
-                ],
-                names=_NAMES,
-            )
+        for whole in slices(batches, "text", HASHED_BYTES):
+            for batch, before, buffer in _in_bounds(whole, length, longest):
+                yield _run_rows(batch, before, buffer)
+
+    def _run_rows(batch: pa.RecordBatch, before: int, buffer: Buffer) -> pa.RecordBatch:
+        runs = buffer.runs(length)
+        row = np.searchsorted(buffer.starts, runs.first, side="right") - 1
+        at = pa.array(row)
+        first = pa.array(runs.first - buffer.starts[row] + before)
+        return pa.RecordBatch.from_arrays(
+            [
+                _signed(runs.gram), _signed(runs.whole),
+                batch.column("doc").take(at), batch.column("tie").take(at), first,
+                pa.array((runs.last - runs.first + 1).astype(np.int32)), first,
+            ],
+            names=_NAMES,
+        )
 
     return _keyed(docs).mapInArrow(entries, _ENTRY)
 
@@ -249,10 +278,12 @@ def _single_windows(buffer: Buffer, columns: dict, length: int) -> tuple:
     return row, gram, whole, first, np.ones(len(row), np.int64)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, longest: int = LONG_BYTES
+) -> DataFrame:
     """``doc``, ``tie`` and ``spans``: what to remove, as (from, to) byte places, unordered."""
     spark = docs.sparkSession
-    repeats, differing = compare_entries(run_entries(docs, length))
+    repeats, differing = compare_entries(run_entries(docs, length, longest))
     bytes_ = written(run_bytes(docs, differing, length), scratch_path(spark, "run-bytes"))
     repeats_2, differing_2 = compare_entries(_from_bytes(bytes_, length, _small_runs))
     wanted = differing_2.select(
@@ -284,7 +315,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def marked_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def marked_documents(
+    docs: DataFrame, length: int = LENGTH, longest: int = LONG_BYTES
+) -> DataFrame:
     """All rows and columns of ``docs`` with ``spans``, byte runs to remove, and ``twin``.
 
     A byte goes if some ``length`` bytes that cover it also start earlier: in a row of a smaller
@@ -292,9 +325,10 @@ def marked_documents(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     has no repeats, like any text of fewer bytes. A NULL id is the smallest. Rows that share an id
     are ordered by a hash of their text; rows equal in both are numbered by ``twin``, from 1, and
     all but one are whole repeats. An empty table gives no rows. Input columns named ``spans``,
-    ``twin``, ``doc`` or ``tie`` are dropped.
+    ``twin``, ``doc`` or ``tie`` are dropped. A text of any length is looked at whole, in buffers of
+    ``longest`` windows.
     """
-    spans = repeated_spans(docs, length)
+    spans = repeated_spans(docs, length, longest)
     kept = [c for c in docs.columns if c not in ("spans", "twin", "doc", "tie")]
     keyed = docs.select(*[F.col(f"`{c}`") for c in kept], _doc(), _tie())
     same = ["doc", "tie", F.xxhash64("text")]
@@ -322,7 +356,9 @@ def _kept(data: bytes, gone: list[tuple[int, int]]) -> bytes:
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeat_digests(
+    docs: DataFrame, length: int = LENGTH, longest: int = LONG_BYTES
+) -> DataFrame:
     """Per row ``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +372,7 @@ def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
-    marked = marked_documents(docs.select("doc_id", "text"), length)
+    marked = marked_documents(docs.select("doc_id", "text"), length, longest)
     return marked.mapInArrow(
         digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
@@ -346,10 +382,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeats cut from ``text`` (characters that lie in them whole), all columns.
 
     ``n_chars``, if there is such a column, is counted anew where text was cut. Documents of which
-    nothing but white space is left by that are dropped; others, empty ones too, stay.
+    nothing but white space is left by that are dropped; others, empty ones too, stay. Other
+    columns, whatever their names, stay as they are.
     """
-    schema = docs.schema
-    names = docs.columns
+    named = apart(docs, "doc_id", "text", "n_chars")
+    schema = named.schema
+    names = named.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", HASHED_BYTES):
@@ -368,7 +406,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             out = pa.RecordBatch.from_arrays(list(columns.values()), names=names)
             yield out.filter(pa.array(stay, pa.bool_()))
 
-    return marked_documents(docs, length).mapInArrow(cut, schema)
+    return together(marked_documents(named, length).mapInArrow(cut, schema), docs)
 
 
 def _whole_characters(data: bytes, a: int, b: int) -> tuple[int, int]:

@@ -1,9 +1,11 @@
 """Shards that all hold the sources in the corpus's proportions.
 
 Each source's rows are shuffled by a seeded hash and ranked; a row's fractional rank in its
-source, ``(rank - 1/2) / size``, is its place in the interleaved order. That order is cut into
-shards of equal row counts, so every stretch of it, and every shard, holds each source in
-proportion, to within about one row per source.
+source, ``(rank + phase) / size``, is its place in the interleaved order. The phase, of 0 up to 1, is
+the source's own: sources in order of size and name take the multiples of the golden section, so
+those of one size, and of one row, are spread evenly. The order is cut into shards of equal row
+counts, so every stretch of it, and every shard, holds each source in proportion, to within about
+one row per source, and all small sources together as well.
 """
 
 from __future__ import annotations
@@ -11,11 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmetrics.llm.ordering import ranked_in_buckets
+from flowmetrics.llm.ordering import range_ranked, ranked_in_buckets
 from flowmetrics.sources.scratch import scratch_path, written
 
 #: Expected rows of one ranking task.
 ROWS_PER_BUCKET = 20_000
+_PHASE_BITS = 20
+_GOLDEN = "0.6180339887498949D"
 
 
 def stratified_shards(
@@ -58,15 +62,27 @@ def stratified_shards(
     top = F.shiftrightunsigned("_shard_hash", 64 - bits) if bits else F.lit(0).cast("long")
     # Buckets are by unsigned hash, so rows are, too: negative ones last.
     ties = [F.col("_shard_hash") < 0, F.col("_shard_hash"), F.col(key), *[F.col(c) for c in rest]]
+    keyed = hashed.withColumn("_shard_bucket", top)
     ranked = ranked_in_buckets(
-        hashed.withColumn("_shard_bucket", top),
-        ["_shard_source"], "_shard_bucket", ties, "_shard_rank", "_shard_size",
+        keyed, ["_shard_source"], "_shard_bucket", ties, "_shard_rank", "_shard_size",
     )
-    odd = 2 * F.col("_shard_rank") + 1
-    place = ranked.withColumn(
-        "_shard_stripe", F.expr(f"(2 * _shard_rank + 1) * {buckets} div (2 * _shard_size)")
-    ).withColumn("_shard_fraction", odd / (2 * F.col("_shard_size")))
-    place = written(place.drop("_shard_bucket"), scratch_path(spark, "shard-places"))
+    sources = keyed.groupBy("_shard_source").agg(F.count(F.lit(1)).alias("_shard_rows"))
+    by_size = [F.col("_shard_rows"), F.col("_shard_source")]
+    named = range_ranked(sources, by_size, "_shard_nth", "shard-sources")
+    section = F.expr(f"(_shard_nth + 1) * {_GOLDEN} - floor((_shard_nth + 1) * {_GOLDEN})")
+    phase = F.floor(section * (1 << _PHASE_BITS)).cast("bigint").alias("_shard_phase")
+    buckets_of = keyed.select("_shard_source", "_shard_bucket").distinct()
+    phases = buckets_of.join(named.select("_shard_source", phase), "_shard_source")
+    # On the bucket, too, as the rows lie after ranking: no source is one task's.
+    ranked = ranked.join(phases, ["_shard_source", "_shard_bucket"])
+    # In units of a 2**_PHASE_BITS-th row: exact, and less than the size in the same units.
+    part = F.col("_shard_rank") * (1 << _PHASE_BITS) + F.col("_shard_phase")
+    whole = F.col("_shard_size") * (1 << _PHASE_BITS)
+    stripe = F.floor(part.cast("double") / whole * buckets).cast("bigint")
+    place = ranked.withColumn("_shard_fraction", part.cast("double") / whole).withColumn(
+        "_shard_stripe", F.least(stripe, F.lit(buckets - 1).cast("bigint"))
+    )
+    place = written(place.drop("_shard_bucket", "_shard_phase"), scratch_path(spark, "shard-places"))
     order = [F.col("_shard_fraction"), F.col("_shard_source"), F.col("_shard_rank")]
     placed = ranked_in_buckets(place, [], "_shard_stripe", order, "_shard_at", "_shard_total")
     shard = F.expr(f"_shard_at * {shards} div _shard_total")

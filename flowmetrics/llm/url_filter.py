@@ -141,10 +141,21 @@ def judged_pages(
     )
     new = ["host", "path", "rule", "verdict"]
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in new]
+    # The row stands in one column, so none of its names meets one of those beside it.
     placed = pages.select(
-        *kept, host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("_address")
+        F.struct(*kept).alias("row"), host_of(url).alias("host"), path_of(url).alias("path"),
+        address_of(url).alias("_address"),
+    )
+    # No rule and no alias has an empty address; pages without one are spread by numbers that none has.
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(1024)) + 1
+    placed = placed.withColumn("spread", F.when(F.col("host") == "", spread).otherwise(0))
+    ruled = placed.join(
+        matched_rules(placed, rules).withColumn("spread", F.lit(0).cast("bigint")),
+        ["host", "path", "spread"], "left",
+    )
+    nowhere = F.when(F.col("_address").isNull(), spread).otherwise(0)
+    decided = ruled.withColumn("spread", nowhere).join(
+        by_alias.withColumn("spread", F.lit(0).cast("bigint")), ["_address", "spread"], "left"
     )
-    ruled = placed.join(matched_rules(placed, rules), ["host", "path"], "left")
-    decided = ruled.join(by_alias, "_address", "left")
     verdict = F.coalesce("rule_verdict", "_alias_verdict", F.lit(default))
-    return decided.select(*kept, "host", "path", "rule", verdict.alias("verdict"))
+    return decided.select("row.*", "host", "path", "rule", verdict.alias("verdict"))

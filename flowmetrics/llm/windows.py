@@ -36,7 +36,7 @@ class Buffer:
 
     def __init__(self, data: np.ndarray, starts: np.ndarray) -> None:
         if len(data) >= 1 << _PLACE_BITS:
-            raise ValueError("a text has 256 MB or more")
+            raise ValueError("a buffer has 256 MB or more: cut it into overlapping ones")
         self.data, self.starts = data, starts
         powers = np.full(len(data) + 1, _BASE, np.uint64)
         powers[0] = 1

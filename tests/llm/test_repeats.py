@@ -69,3 +69,11 @@ def test_empty_table(session, documents):
 
 def test_spans_that_touch_are_one():
     assert repeats.merged([(5, 9), (0, 3), (3, 5), (12, 13)]) == [(0, 9), (12, 13)]
+
+
+@pytest.mark.parametrize("longest", [1, 7, 64])
+def test_long_texts_are_cut_into_buffers(session, documents, longest):
+    """As with texts of hundreds of MB, only that a buffer holds a few windows here."""
+    rows = _rows(4)[:25] + [(90, "é" * 400 + _rows(4)[3][1] * 3)]
+    got = repeats.repeat_digests(documents(rows, 3), 100, longest).collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == _want(rows, 100)
