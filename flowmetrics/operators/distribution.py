@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
@@ -57,27 +56,20 @@ def distribution_by_period(
     # A row without a value stands for each period, so that none is missing.
     none = _every_period(daily, calendar, names, F.lit(None).cast("double").alias(names.day_mean))
     rows = days.select(names.period, names.day_mean).union(none)
-    own = W.partitionBy(names.period)
-    placed = rows.select(
-        "*",
-        (F.row_number().over(own.orderBy(v.asc_nulls_last())) - 1).alias("at"),
-        F.count(v).over(own).alias("n"),
+    rows = rows.toDF("p", "v")
+    own = "OVER (PARTITION BY p)"
+    placed = rows.selectExpr(
+        "*", "row_number() OVER (PARTITION BY p ORDER BY v NULLS LAST) - 1 AS at", f"count(v) {own} AS n"
     )
-
-    def value_at(place: Column) -> Column:
-        return F.max(F.when(F.col("at") == place, v)).over(own)
-
-    def quantile(p: float) -> Column:
-        place = (F.col("n") - 1) * F.lit(p)
-        low, high = value_at(F.floor(place)), value_at(F.ceil(place))
-        return low + (place - F.floor(place)) * (high - low)
-
-    names_of = ["q1", "median", "q3"]
-    boxed = placed.select(
-        names.period, names.day_mean, "n", *[quantile(p).alias(q) for p, q in zip(QUARTILES, names_of)]
+    quartiles = []
+    for p, name in zip(QUARTILES, COLUMNS):
+        place = f"(n - 1) * {p}D"
+        low, high = (f"max(CASE WHEN at = {f}({place}) THEN v END) {own}" for f in ("floor", "ceil"))
+        quartiles.append(f"{low} + ({place} - floor({place})) * ({high} - {low}) AS {name}")
+    boxes = placed.selectExpr("p", "v", "n", *quartiles).groupBy("p", "n", *COLUMNS[:3]).agg(
+        *_whiskers(F.col("v"))
     )
-    boxes = boxed.groupBy(names.period, "n", *names_of).agg(*_whiskers(v))
-    return _in_order(boxes, calendar, names)
+    return _in_order(boxes.withColumnRenamed("p", names.period), calendar, names)
 
 
 def distribution_of_readings(

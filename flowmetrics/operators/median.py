@@ -1,22 +1,23 @@
 """Exact order statistics per group without gathering a group in one task.
 
-A double is mapped to a 64-bit integer of the same order, the one its bits spell. Rounds count rows
-by ranges of these integers and keep, per group, the ranges that ranks sought fall in, until each
-holds one value or few rows. Two scans of the input, whatever the number of rounds.
+A first count of rows by logarithmic slots keeps, per group, the slots that ranks sought fall in.
+Inside these a double is mapped to a 64-bit integer of the same order, the one its bits spell, and
+further rounds count by ranges of these integers, until each range kept holds one value or few rows.
+Two scans of the input at most, whatever the number of rounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from flowmetrics.sources.scratch import scratch_path, written
 
-#: Low bits of a value's integer that the first count leaves out: 1,024 slots to a power of two.
-FIRST_SHIFT = 42
+#: Slots per e-fold in the first count: about 0.1 % wide at every magnitude.
+LOG_SLOTS = 1024
 #: Slots of a range in each further count, as a power of two.
 SLOT_BITS = 16
 #: Rows of a range that are ordered by value instead of being counted by slots once more.
@@ -49,8 +50,17 @@ def ordered_bits(value: str) -> Column:
 
 
 def first_slot(value: str) -> Column:
-    """The slot of the first count that a value falls in: about 0.1 % wide at every magnitude."""
-    return F.shiftright(ordered_bits(value), FIRST_SHIFT)
+    """The slot of the first count that a value falls in, rising with the value; 0 by itself.
+
+    One logarithm a row, which never falls as its argument rises; outliers do not widen the slots.
+    The offset puts the least positive double above 0.
+    """
+    far = 1000 * LOG_SLOTS
+    return F.expr(f"""
+        CASE WHEN isnan({value}) THEN {4 * far}
+             WHEN {value} = 0 THEN 0L
+             WHEN abs({value}) = double('Infinity') THEN CAST(sign({value}) AS bigint) * {3 * far}
+             ELSE CAST(sign({value}) AS bigint) * (floor(ln(abs({value})) * {LOG_SLOTS}) + {far}) END""")
 
 
 def first_cut(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -76,19 +86,18 @@ def _crossed(slots: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return slots.withColumn("upto", upto).withColumn("seek", F.expr(_SOUGHT)).drop("upto")
 
 
-def _by_group(column: str) -> Column:
-    return F.expr(f"g <=> {column}")
-
-
 def _inside(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """Rows of open ranges. Spark broadcasts the ranges, a small file, where its size allows."""
     open_ = ranges.where("lo < hi").select(F.col("g").alias("range_g"), "lo", "hi", "seek")
     return df.join(open_, F.expr("g <=> range_g AND v >= lo AND v <= hi")).drop("range_g")
 
 
-def _state(ranges: DataFrame) -> int:
-    """Rows of the fullest range that holds several values, 0 if none does."""
-    return ranges.agg(F.max(F.when(F.expr("lo < hi"), F.col("n")))).first()[0] or 0
+def _kept(ranges: DataFrame) -> tuple[DataFrame, int]:
+    """The ranges as written, and the rows of the fullest one that holds several values, or 0."""
+    seen = Observation()
+    most = F.max(F.when(F.expr("lo < hi"), F.col("n"))).alias("most")
+    ranges = written(ranges.observe(seen, most), scratch_path(ranges.sparkSession, "ranges"))
+    return ranges, seen.get["most"] or 0
 
 
 def order_statistics(
@@ -100,11 +109,12 @@ def order_statistics(
     values in the same order. NULL values are skipped; a group without others keeps its row, with 0
     rows, a NULL mean and no values. NULL is a group; NaN is the largest value.
 
-    1. Count rows by (group, slot), a slot being the first bits of the value's integer (``cut`` takes
-       :func:`first_cut` made before), and keep the slots that ranks fall in.
-    2. End if every range kept holds one value. Else scan again: rows in open ranges, counted by
-       value. As long as a range has more than ``FEW_ROWS``, these counts are written and cut by
-       further bits, at most three times, since then a slot is one value.
+    1. Count rows by (group, slot) (``cut`` takes :func:`first_cut` made before), and keep the slots
+       that ranks fall in.
+    2. End if every range kept holds one value. Else scan again, for rows in open ranges. If one has
+       more than ``FEW_ROWS``, they are counted by value and written, and these counts cut by
+       bits of the values' integers: the span of a range falls by ``SLOT_BITS`` a round, so four
+       rounds leave one value to a slot.
 
     Counts combine before their shuffles and spread a group over all tasks; windows see slots, or
     the values of one small range. The ranges of all groups stand in a small file between rounds,
@@ -120,18 +130,16 @@ def order_statistics(
     seek = F.transform(ranks, lambda r, j: F.struct(j.alias("j"), r.cast("bigint").alias("rank")))
     sought = slots.withColumn("seek", F.when(F.col("rows") > 0, seek).otherwise(F.slice(seek, 1, 0)))
     kept = _crossed(sought, ["g"], "slot").where("rows = 0 OR size(seek) > 0")
-    first = written(kept.drop("slot", "total"), scratch_path(spark, "ranges"))
-    groups = first.select("g", "rows", "mean").distinct()
-    ranges, most = first, _state(first)
+    first, most = _kept(kept.drop("slot", "total"))
+    ranges = first
     keys = ["g", "lo", "hi", "seek"]
     n = F.sum("n").alias("n")
-    counts = None
-    if most:
-        counts = _inside(readings, ranges).groupBy(*keys, "v").agg(F.count("v").alias("n"))
+    counts = _inside(readings, ranges).withColumn("n", F.lit(1).cast("bigint")) if most else None
     closed = []
     while most > FEW_ROWS:
         closed.append(ranges.where("lo = hi"))
         if len(closed) == 1:
+            counts = counts.groupBy(*keys, "v").agg(n)
             counts = written(counts, scratch_path(spark, "range-values"))
         bits, low = ordered_bits("v"), ordered_bits("lo")
         shift = F.greatest(F.lit(0), F.length(F.bin(ordered_bits("hi") - low)) - SLOT_BITS)
@@ -139,24 +147,24 @@ def order_statistics(
         placed = counts.withColumn("shift", shift.cast("int")).withColumn("distance", bits - low)
         cut = placed.groupBy(*keys, slot).agg(n, F.min("v").alias("least"), F.max("v").alias("most"))
         next_ = _crossed(cut, ["g", "lo"], "slot").where("size(seek) > 0")
-        ranges = written(
-            next_.select("g", F.col("least").alias("lo"), F.col("most").alias("hi"), "n", "seek"),
-            scratch_path(spark, "ranges"),
+        ranges, most = _kept(
+            next_.select("g", F.col("least").alias("lo"), F.col("most").alias("hi"), "n", "seek")
         )
-        most = _state(ranges)
         counts = _inside(counts.select("g", "v", "n"), ranges)
     closed.append(ranges.where("lo = hi"))
     answers = [r.select("g", "seek", F.col("lo").alias("v")) for r in closed]
     if most:
         answers.append(_crossed(counts, ["g", "lo"], "v").select("g", "seek", "v"))
-    every = answers[0]
-    for more in answers[1:]:
-        every = every.unionByName(more)
-    values = every.select("g", "v", F.explode("seek").alias("s")).groupBy(F.col("g").alias("found_g")).agg(
-        F.array_sort(F.collect_list(F.struct("s.j", "v"))).alias("pairs")
-    )
-    joined = groups.join(values, _by_group("found_g"), "left")
-    return joined.select("g", "rows", "mean", F.col("pairs.v").alias("found"))
+    # Beside the answers a row per group, or per range of it, with the group's numbers.
+    every = first.select("g", "rows", "mean", F.expr("array()").cast(first.schema["seek"].dataType).alias("seek"),
+                         F.lit(None).cast("double").alias("v"))
+    for more in answers:
+        every = every.unionByName(more, allowMissingColumns=True)
+    pairs = F.array_sort(F.flatten(F.collect_list(
+        F.expr("transform(seek, s -> named_struct('j', s.j, 'v', v))")
+    )))
+    whole = every.groupBy("g").agg(F.max("rows").alias("rows"), F.max("mean").alias("mean"), pairs.alias("pairs"))
+    return whole.select("g", "rows", "mean", F.col("pairs.v").alias("found"))
 
 
 def mean_and_quantile(

@@ -9,6 +9,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
@@ -43,12 +46,29 @@ def scratch_folder(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
-        context = spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        discard(spark, path)
+
 
+def written(df: DataFrame, path: str, tidy: bool = False) -> DataFrame:
+    """Write a table as Parquet and read it back: its lineage ends at the files.
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """Write a table as Parquet and read it back: its lineage ends at the files."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    ``tidy`` asks Spark to remove the write's shuffle files when it is done, which otherwise stay
+    until the driver's garbage collector finds their plan.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP, "false")
+    if tidy:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing will read again."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

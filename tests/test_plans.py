@@ -92,7 +92,7 @@ def scans(text):
 @pytest.fixture
 def wide_slots(monkeypatch):
     """A first count so coarse that a second scan is needed on small tables, too."""
-    monkeypatch.setattr(median, "FIRST_SHIFT", 50)
+    monkeypatch.setattr(median, "LOG_SLOTS", 4)
 
 
 def test_exact_median_gathers_no_group(orders, written_plans, wide_slots):
