@@ -32,6 +32,13 @@ def round_stable(c: Column, decimals: int) -> Column:
     return F.when(F.abs(v) < _ROUNDABLE, snapped).otherwise(v)
 
 
+def round_stable_text(name: str, decimals: int) -> str:
+    """:func:`round_stable` of a column as an expression: one call where a table has many."""
+    v = f"CAST(`{name}` AS double)"
+    snapped = f"CAST(round(try_cast({v} AS decimal(24,8)), {int(decimals)}) AS double)"
+    return f"CASE WHEN abs({v}) < {_ROUNDABLE} THEN {snapped} ELSE {v} END"
+
+
 def pct_change(new: Column, old: Column) -> Column:
     """Percent by which ``new`` differs from ``old``; NULL when ``old`` is 0 or NULL."""
     return F.try_divide(new - old, old) * 100

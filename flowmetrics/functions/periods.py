@@ -19,6 +19,10 @@ def _text(label: str) -> str:
     return f"'{escaped}'"
 
 
+def _day(day: date | None) -> str:
+    return "CAST(NULL AS date)" if day is None else f"DATE'{day}'"
+
+
 @dataclass(frozen=True)
 class PeriodCalendar:
     """Closed periods as (label, last day inclusive) in time order, then one open-ended label.
@@ -81,21 +85,20 @@ class PeriodCalendar:
         """1-based place of a label in time order, NULL for a label not in the calendar."""
         return ordinal_in(label, self.labels)
 
+    def ordinal_of(self, name: str) -> Column:
+        """:meth:`ordinal` of the column of this name."""
+        whens = " ".join(f"WHEN {_text(x)} THEN {i}" for i, x in enumerate(self.labels, start=1))
+        return F.expr(f"CASE `{name}` {whens} END")
+
     def frame(self, spark: SparkSession, label: str = "label") -> DataFrame:
         """One row per period: ordinal, label, first day, last day (NULL = unbounded)."""
-        rows = []
-        first = None
-        for i, (name, last) in enumerate([*self.closed, (self.open_label, None)], start=1):
-            rows.append(
-                F.struct(
-                    F.lit(i).alias("ordinal"),
-                    F.lit(name).alias(label),
-                    F.lit(first).cast("date").alias("first_day"),
-                    F.lit(last).cast("date").alias("last_day"),
-                )
-            )
-            first = last + timedelta(days=1) if last else None
-        return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+        ends = [last for _, last in self.closed]
+        starts = [None, *[last + timedelta(days=1) for last in ends]]
+        rows = ", ".join(
+            f"({i}, {_text(name)}, {_day(first)}, {_day(last)})"
+            for i, (name, first, last) in enumerate(zip(self.labels, starts, [*ends, None]), start=1)
+        )
+        return spark.sql(f"VALUES {rows}").toDF("ordinal", label, "first_day", "last_day")
 
     def day_frame(self, spark: SparkSession, day: str, label: str) -> DataFrame:
         """One row per day of every period bounded on both sides."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowmetrics import fixed
-from flowmetrics.functions.numbers import round_stable, to_number
+from flowmetrics.functions.numbers import round_stable_text, to_number
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.functions.timeparts import as_timestamp, day_of, in_years
 from flowmetrics.names import NAMES, READING_COLUMNS, Names, ReadingColumns
@@ -149,5 +149,6 @@ def round_columns(
     df: DataFrame, columns: Sequence[str], decimals: int = fixed.DECIMALS
 ) -> DataFrame:
     """Round the named columns that are present; the others are ignored."""
-    present = {c: round_stable(F.col(c), decimals) for c in columns if c in df.columns}
+    names = df.columns
+    present = {c: F.expr(round_stable_text(c, decimals)) for c in columns if c in names}
     return df.withColumns(present) if present else df

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from flowmetrics.functions.periods import DEFAULT_CALENDAR, PeriodCalendar
 from flowmetrics.names import NAMES, Names
-from flowmetrics.operators.clean import label_period
 from flowmetrics.operators.median import interpolated_quantiles
 from flowmetrics.operators.order import sorted_small
 
@@ -16,14 +15,14 @@ QUARTILES = (0.25, 0.5, 0.75)
 COLUMNS = ["q1", "median", "q3", "whisker_lo", "whisker_hi", "n"]
 
 
-def _whiskers(value: Column) -> list[Column]:
+def _whiskers(value: str) -> list[Column]:
     """The furthest values within reach of the box; its own ends where there are none."""
-    reach = (F.col("q3") - F.col("q1")) * WHISKER_REACH
-    lowest = F.min(F.when(value >= F.col("q1") - reach, value))
-    highest = F.max(F.when(value <= F.col("q3") + reach, value))
+    reach = f"(q3 - q1) * {WHISKER_REACH}D"
+    lowest = f"min(CASE WHEN {value} >= q1 - {reach} THEN {value} END)"
+    highest = f"max(CASE WHEN {value} <= q3 + {reach} THEN {value} END)"
     return [
-        F.least(lowest, F.col("q1")).alias("whisker_lo"),
-        F.greatest(highest, F.col("q3")).alias("whisker_hi"),
+        F.expr(f"least({lowest}, q1) AS whisker_lo"),
+        F.expr(f"greatest({highest}, q3) AS whisker_hi"),
     ]
 
 
@@ -35,9 +34,7 @@ def _every_period(
 
 
 def _in_order(boxes: DataFrame, calendar: PeriodCalendar, names: Names) -> DataFrame:
-    return sorted_small(
-        boxes.select(names.period, *COLUMNS), calendar.ordinal(F.col(names.period))
-    )
+    return sorted_small(boxes.select(names.period, *COLUMNS), calendar.ordinal_of(names.period))
 
 
 def distribution_by_period(
@@ -51,12 +48,10 @@ def distribution_by_period(
     found by their place in order, and rows that do not fit memory spill. See
     :func:`distribution_of_readings` for tables of any size.
     """
-    v = F.col(names.day_mean)
-    days = label_period(daily.select(names.day, names.day_mean), calendar, names).where(v.isNotNull())
-    # A row without a value stands for each period, so that none is missing.
-    none = _every_period(daily, calendar, names, F.lit(None).cast("double").alias(names.day_mean))
-    rows = days.select(names.period, names.day_mean).union(none)
-    rows = rows.toDF("p", "v")
+    # Rows without a value are not counted; one stands for each period, so that none is missing.
+    days = daily.select(calendar.label(f"`{names.day}`").alias("p"), F.col(names.day_mean).alias("v"))
+    none = _every_period(daily, calendar, names, F.expr("CAST(NULL AS double)"))
+    rows = days.union(none)
     own = "OVER (PARTITION BY p)"
     placed = rows.selectExpr(
         "*", "row_number() OVER (PARTITION BY p ORDER BY v NULLS LAST) - 1 AS at", f"count(v) {own} AS n"
@@ -67,7 +62,7 @@ def distribution_by_period(
         low, high = (f"max(CASE WHEN at = {f}({place}) THEN v END) {own}" for f in ("floor", "ceil"))
         quartiles.append(f"{low} + ({place} - floor({place})) * ({high} - {low}) AS {name}")
     boxes = placed.selectExpr("p", "v", "n", *quartiles).groupBy("p", "n", *COLUMNS[:3]).agg(
-        *_whiskers(F.col("v"))
+        *_whiskers("v")
     )
     return _in_order(boxes.withColumnRenamed("p", names.period), calendar, names)
 
@@ -82,17 +77,16 @@ def distribution_of_readings(
     row per period. No task holds a period. Readings of labels that are not in the calendar are
     left out; NULL values are skipped.
     """
-    known = readings.where(calendar.ordinal(F.col(names.period)).isNotNull())
+    known = readings.where(calendar.ordinal_of(names.period).isNotNull())
     known = known.select(names.period, names.value)
     found = interpolated_quantiles(known, names.period, names.value, QUARTILES)
     boxes = found.where("rows > 0").select(
         F.col("g").alias("box"), F.col("rows").alias("n"),
         *[F.col("q")[i].alias(q) for i, q in enumerate(["q1", "median", "q3"])],
     )
-    v = F.col(names.value)
     # One row per period of the calendar.
     met = known.join(F.broadcast(boxes), F.col(names.period) == F.col("box"))
-    spread = met.groupBy(names.period, "n", "q1", "median", "q3").agg(*_whiskers(v))
+    spread = met.groupBy(names.period, "n", "q1", "median", "q3").agg(*_whiskers(f"`{names.value}`"))
     none = _every_period(
         readings, calendar, names, F.lit(0).cast("bigint").alias("n"),
         *[F.lit(None).cast("double").alias(c) for c in COLUMNS[:-1]],

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from flowmetrics.sources.scratch import scratch_path, written
 
@@ -72,42 +71,44 @@ def first_cut(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-_SOUGHT = """
-transform(filter(seek, s -> s.rank > upto - n AND s.rank <= upto),
-          s -> named_struct('j', s.j, 'rank', s.rank - (upto - n)))
-"""
+#: Of the ranks sought, counted from the first row of a group or range, those in a slot that ends at
+#: ``upto`` and holds ``n`` rows, counted from the slot's first row.
+_SEEK = """
+filter(transform({ranks}, s -> named_struct('j', s.j, 'rank', s.rank - (upto - n))),
+       s -> s.rank > 0 AND s.rank <= n) AS seek"""
+_UPTO = "sum(n) OVER (PARTITION BY {keys} ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS upto"
+_KEYS = ["g", "lo", "hi", "seek"]
 
 
-def _crossed(slots: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The slots that ranks in ``seek`` fall in, with the ranks counted from the slot's start."""
-    upto = F.sum("n").over(
-        W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    return slots.withColumn("upto", upto).withColumn("seek", F.expr(_SOUGHT)).drop("upto")
+def _crossed(slots: DataFrame, order: str, *keep: str) -> DataFrame:
+    """The slots of each range that ranks in ``seek`` fall in, with the ranks from the slot's start."""
+    placed = slots.selectExpr("*", _UPTO.format(keys="g, lo", order=order))
+    return placed.selectExpr("g", *keep, _SEEK.format(ranks="seek")).where("size(seek) > 0")
 
 
-def _inside(df: DataFrame, ranges: DataFrame) -> DataFrame:
+def _inside(df: DataFrame, ranges: DataFrame, count: str) -> DataFrame:
     """Rows of open ranges. Spark broadcasts the ranges, a small file, where its size allows."""
-    open_ = ranges.where("lo < hi").select(F.col("g").alias("range_g"), "lo", "hi", "seek")
-    return df.join(open_, F.expr("g <=> range_g AND v >= lo AND v <= hi")).drop("range_g")
+    open_ = ranges.where("lo < hi").selectExpr("g AS range_g", "lo", "hi", "seek")
+    met = df.join(open_, F.expr("g <=> range_g AND v >= lo AND v <= hi"))
+    return met.selectExpr(*_KEYS, "v", count)
 
 
 def _kept(ranges: DataFrame) -> tuple[DataFrame, int]:
     """The ranges as written, and the rows of the fullest one that holds several values, or 0."""
     seen = Observation()
-    most = F.max(F.when(F.expr("lo < hi"), F.col("n"))).alias("most")
+    most = F.expr("max(CASE WHEN lo < hi THEN n END) AS most")
     ranges = written(ranges.observe(seen, most), scratch_path(ranges.sparkSession, "ranges"))
     return ranges, seen.get["most"] or 0
 
 
 def order_statistics(
-    df: DataFrame, group: str, value: str, ranks: Column, cut: DataFrame | None = None
+    df: DataFrame, group: str, value: str, ranks: str, cut: DataFrame | None = None
 ) -> DataFrame:
     """Per group ``g``: ``rows`` (values), ``mean`` and ``found``, the values of the ranks sought.
 
-    ``ranks`` is an array of 1-based ranks (bigint) as an expression of ``rows``; ``found`` has their
-    values in the same order. NULL values are skipped; a group without others keeps its row, with 0
-    rows, a NULL mean and no values. NULL is a group; NaN is the largest value.
+    ``ranks`` is an array of 1-based ranks as an expression of ``rows``; ``found`` has their values in
+    the same order. NULL values are skipped; a group without others keeps its row, with 0 rows, a
+    NULL mean and no values. NULL is a group; NaN is the largest value.
 
     1. Count rows by (group, slot) (``cut`` takes :func:`first_cut` made before), and keep the slots
        that ranks fall in.
@@ -121,50 +122,44 @@ def order_statistics(
     and the driver sees one number a round. Returns after the first rounds have run.
     """
     spark = df.sparkSession
-    readings = df.select(F.col(group).alias("g"), F.col(value).alias("v"))
-    whole = W.partitionBy("g")
-    slots = (first_cut(df, group, value) if cut is None else cut).select(
-        "*", F.sum("n").over(whole).alias("rows"),
-        F.try_divide(F.sum("total").over(whole), F.sum("n").over(whole)).alias("mean"),
+    sought = f"transform({ranks}, (r, j) -> named_struct('j', j, 'rank', CAST(r AS bigint)))"
+    slots = (first_cut(df, group, value) if cut is None else cut).selectExpr(
+        "g", "n", "lo", "hi", "sum(n) OVER (PARTITION BY g) AS rows",
+        "try_divide(sum(total) OVER (PARTITION BY g), sum(n) OVER (PARTITION BY g)) AS mean",
+        _UPTO.format(keys="g", order="slot"),
     )
-    seek = F.transform(ranks, lambda r, j: F.struct(j.alias("j"), r.cast("bigint").alias("rank")))
-    sought = slots.withColumn("seek", F.when(F.col("rows") > 0, seek).otherwise(F.slice(seek, 1, 0)))
-    kept = _crossed(sought, ["g"], "slot").where("rows = 0 OR size(seek) > 0")
-    first, most = _kept(kept.drop("slot", "total"))
-    ranges = first
-    keys = ["g", "lo", "hi", "seek"]
-    n = F.sum("n").alias("n")
-    counts = _inside(readings, ranges).withColumn("n", F.lit(1).cast("bigint")) if most else None
-    closed = []
+    kept = slots.selectExpr("g", "n", "lo", "hi", "rows", "mean", _SEEK.format(ranks=sought))
+    first, most = _kept(kept.where("rows = 0 OR size(seek) > 0"))
+    ranges, closed, counts = first, [], None
+    if most:
+        readings = df.select(F.col(group).alias("g"), F.col(value).alias("v"))
+        counts = _inside(readings, ranges, "1L AS n")
     while most > FEW_ROWS:
         closed.append(ranges.where("lo = hi"))
         if len(closed) == 1:
-            counts = counts.groupBy(*keys, "v").agg(n)
+            counts = counts.groupBy(*_KEYS, "v").agg(F.sum("n").alias("n"))
             counts = written(counts, scratch_path(spark, "range-values"))
-        bits, low = ordered_bits("v"), ordered_bits("lo")
-        shift = F.greatest(F.lit(0), F.length(F.bin(ordered_bits("hi") - low)) - SLOT_BITS)
-        slot = F.expr("shiftright(distance, shift)").alias("slot")
-        placed = counts.withColumn("shift", shift.cast("int")).withColumn("distance", bits - low)
-        cut = placed.groupBy(*keys, slot).agg(n, F.min("v").alias("least"), F.max("v").alias("most"))
-        next_ = _crossed(cut, ["g", "lo"], "slot").where("size(seek) > 0")
-        ranges, most = _kept(
-            next_.select("g", F.col("least").alias("lo"), F.col("most").alias("hi"), "n", "seek")
+        placed = counts.select(
+            "*", (ordered_bits("v") - ordered_bits("lo")).alias("distance"),
+            F.length(F.bin(ordered_bits("hi") - ordered_bits("lo"))).alias("bits"),
+        ).selectExpr(*_KEYS, "v", "n", f"shiftright(distance, greatest(0, bits - {SLOT_BITS})) AS slot")
+        cuts = placed.groupBy(*_KEYS, "slot").agg(
+            F.sum("n").alias("n"), F.min("v").alias("least"), F.max("v").alias("most")
         )
-        counts = _inside(counts.select("g", "v", "n"), ranges)
+        ranges, most = _kept(_crossed(cuts, "slot", "least AS lo", "most AS hi", "n"))
+        counts = _inside(counts.select("g", "v", "n"), ranges, "n")
     closed.append(ranges.where("lo = hi"))
-    answers = [r.select("g", "seek", F.col("lo").alias("v")) for r in closed]
-    if most:
-        answers.append(_crossed(counts, ["g", "lo"], "v").select("g", "seek", "v"))
     # Beside the answers a row per group, or per range of it, with the group's numbers.
-    every = first.select("g", "rows", "mean", F.expr("array()").cast(first.schema["seek"].dataType).alias("seek"),
-                         F.lit(None).cast("double").alias("v"))
-    for more in answers:
-        every = every.unionByName(more, allowMissingColumns=True)
-    pairs = F.array_sort(F.flatten(F.collect_list(
-        F.expr("transform(seek, s -> named_struct('j', s.j, 'v', v))")
-    )))
-    whole = every.groupBy("g").agg(F.max("rows").alias("rows"), F.max("mean").alias("mean"), pairs.alias("pairs"))
-    return whole.select("g", "rows", "mean", F.col("pairs.v").alias("found"))
+    kind = first.schema["seek"].dataType.simpleString()
+    every = first.selectExpr("g", "rows", "mean", f"CAST(array() AS {kind}) AS seek", "CAST(NULL AS double) AS v")
+    nothing = ["g", "CAST(NULL AS bigint) AS rows", "CAST(NULL AS double) AS mean", "seek"]
+    for r in closed:
+        every = every.union(r.selectExpr(*nothing, "lo AS v"))
+    if most:
+        every = every.union(_crossed(counts, "v", "v").selectExpr(*nothing, "v"))
+    pairs = "flatten(collect_list(transform(seek, s -> named_struct('j', s.j, 'v', v)))) AS pairs"
+    whole = every.groupBy("g").agg(F.expr("max(rows) AS rows"), F.expr("max(mean) AS mean"), F.expr(pairs))
+    return whole.selectExpr("g", "rows", "mean", "array_sort(pairs).v AS found")
 
 
 def mean_and_quantile(
@@ -180,12 +175,9 @@ def mean_and_quantile(
 
     See :func:`order_statistics` for how, and for NULLs.
     """
-    rank = F.array(F.greatest(F.lit(1), F.ceil(F.col("rows") * F.lit(q))))
+    rank = f"array(greatest(1, ceil(rows * {float(q)}D)))"
     found = order_statistics(df, group, value, rank, cut)
-    return found.select(
-        F.col("g").alias(group), F.col("mean").alias(mean_alias),
-        F.get("found", F.lit(0)).alias(quantile_alias),
-    )
+    return found.selectExpr("g", "mean", "get(found, 0)").toDF(group, mean_alias, quantile_alias)
 
 
 def interpolated_quantiles(
@@ -196,12 +188,11 @@ def interpolated_quantiles(
     A quantile p lies at the place (rows - 1) * p, counted from 0, between two neighbours in order.
     NULL for a group without values.
     """
-    place = "(rows - 1) * {p}D"
-    ranks = ", ".join(f"floor({place.format(p=p)}) + 1, ceil({place.format(p=p)}) + 1" for p in probabilities)
-    found = order_statistics(df, group, value, F.expr(f"array({ranks})"), cut)
+    places = [f"(rows - 1) * {float(p)}D" for p in probabilities]
+    ranks = ", ".join(f"floor({p}) + 1, ceil({p}) + 1" for p in places)
+    found = order_statistics(df, group, value, f"array({ranks})", cut)
     between = ", ".join(
-        f"found[{2 * i}] + ({place.format(p=p)} - floor({place.format(p=p)}))"
-        f" * (found[{2 * i + 1}] - found[{2 * i}])"
-        for i, p in enumerate(probabilities)
+        f"found[{2 * i}] + ({p} - floor({p})) * (found[{2 * i + 1}] - found[{2 * i}])"
+        for i, p in enumerate(places)
     )
-    return found.select("g", "rows", "mean", F.expr(f"CASE WHEN rows > 0 THEN array({between}) END").alias("q"))
+    return found.selectExpr("g", "rows", "mean", f"CASE WHEN rows > 0 THEN array({between}) END AS q")

@@ -57,7 +57,7 @@ def logical_order(
     names: Names = NAMES,
 ) -> DataFrame:
     """Add the period's ordinal and sort by it; labels not in the calendar come last."""
-    ordinal = calendar.ordinal(F.col(names.period))
+    ordinal = calendar.ordinal_of(names.period)
     return sorted_small(df.withColumn("ordinal", ordinal), F.asc_nulls_last("ordinal"), *then)
 
 
@@ -70,7 +70,7 @@ def present_periods(
     one row per period, which is written first: whether any of its labels is known is a scalar of
     the written rows.
     """
-    rows = df.withColumn("ordinal", calendar.ordinal(F.col(names.period)))
+    rows = df.withColumn("ordinal", calendar.ordinal_of(names.period))
     rows = written(rows, scratch_path(df.sparkSession, "periods"))
     known = rows.agg(F.count("ordinal")).scalar()
     kept = rows.where(F.col("ordinal").isNotNull() | (known == 0))
