@@ -3,8 +3,9 @@
 Two sets as similar as the threshold share a token among the first few of each under any order of
 all tokens. Under each order here, tokens seen to repeat come last and the rest by a hash of its
 own. Documents that share a token of the first prefix are candidates if they also share one of the
-second; before the sets of a pair are compared, they must share one under a third. All these
-filters are necessary conditions, so their intersection loses no link.
+second, and if their parity bits differ in no more places than their sets may; before the sets of a
+pair are compared, they must share one under a third. All these filters are necessary conditions,
+so their intersection loses no link.
 
 Equal sets count as one node. Candidates of small token groups are pairs of rows; a large group is
 split into blocks by hash, and one task compares two blocks, skips what is connected already and
@@ -26,7 +27,7 @@ from flowmetrics.llm.batches import mixed, slices, split_words, window_hashes, w
 from flowmetrics.llm.bits import filter_bits, passes
 from flowmetrics.llm.columns import apart, together
 from flowmetrics.llm.components import connected_components
-from flowmetrics.sources.scratch import scratch_path, written
+from flowmetrics.sources.scratch import discard, scratch_path, written
 
 #: Repeating tokens whose counts order them last; the most frequent ones, 16 bytes each.
 ORDERED_TOKENS = 1 << 18
@@ -38,6 +39,8 @@ BLOCK_TOKENS = 400_000
 CLUSTER_BLOCKS = 16
 #: Salts of the orders that candidates must also agree under.
 OTHER_ORDERS = (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D)
+#: 64-bit integers of parity bits that stand beside a set.
+PARITY_WORDS = 8
 
 
 def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -122,26 +125,20 @@ def repeating_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
     return tokens[order], top.column("n").to_numpy()[order]
 
 
-def fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``n`` (set size) and ``node``, which stands for the set; NULL for an empty one."""
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """``PARITY_WORDS`` integers whose bits tell of how many of the set's tokens fall on each, odd or
+    even. Where two sets' bits differ, a token is in one of them only, so the bits that differ are no
+    more than the tokens that do."""
+    odd = np.bincount((tokens >> np.uint64(17)) % np.uint64(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column("text"), width)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
-                ],
-                names=["doc_id", "n", "node"],
-            )
 
-    return docs.select("doc_id", "text").mapInArrow(number, "doc_id bigint, n bigint, node bigint")
+PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
 
 
-def prefixes(docs: DataFrame, width: int, least: Threshold) -> DataFrame:
-    """Per set that is not empty: ``doc_id``, ``n``, ``node`` and its prefix under two orders."""
+def set_rows(docs: DataFrame, width: int, least: Threshold) -> DataFrame:
+    """Per row ``doc_id``, ``n`` (set size), ``node``, which stands for the set and is NULL for an
+    empty one, the set's prefixes under two orders and its parity bits, from one read of the texts."""
     often, times = repeating_tokens(docs, width)
 
     def first_tokens(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,24 +154,28 @@ def prefixes(docs: DataFrame, width: int, least: Threshold) -> DataFrame:
         second = np.argpartition(other, count - 1)[:count] if count < len(other) else slice(None)
         return tokens[:count], tokens[second]
 
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.uint64)
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column("text"), width)
-            real = [i for i, s in enumerate(sets) if len(s)]
-            firsts = [first_tokens(sets[i]) for i in real]
+            firsts = [first_tokens(s) if len(s) else (none, none) for s in sets]
+            bits = np.array([parity(s) for s in sets], np.int64).reshape(len(sets), PARITY_WORDS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(pa.array(real, pa.int64())),
-                    pa.array([len(sets[i]) for i in real], pa.int64()),
-                    pa.array([fingerprint(sets[i]) for i in real], pa.int64()),
+                    batch.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
                     _lists([a for a, _ in firsts]),
                     _lists([b for _, b in firsts]),
+                    *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(PARITY_WORDS)],
                 ],
-                names=["doc_id", "n", "node", "prefix", "second"],
+                names=["doc_id", "n", "node", "prefix", "second", *PARITY],
             )
 
     schema = "doc_id bigint, n bigint, node bigint, prefix array<bigint>, second array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(prefix, schema)
+    return docs.select("doc_id", "text").mapInArrow(
+        describe, ", ".join([schema, *[f"{p} bigint" for p in PARITY]])
+    )
 
 
 def _lists(arrays: Sequence[np.ndarray]) -> pa.ListArray:
@@ -191,12 +192,16 @@ def token_groups(nodes: DataFrame, prefix: str) -> DataFrame:
     return tokens.join(groups.where("g > 1"), "token").select("token", "id", "n", "g", "total")
 
 
-def small_group_pairs(shared: DataFrame, least: Threshold) -> DataFrame:
-    """Distinct pairs ``u < v`` that share a small group and whose sizes allow a link."""
-    small = shared.where(F.col("g") <= SMALL_GROUP)
-    other = small.select("token", F.col("id").alias("v"), F.col("n").alias("m"))
-    fits = (F.col("u") < F.col("v")) & least.sizes_fit(F.col("n"), F.col("m"))
-    mine = small.select("token", F.col("id").alias("u"), "n")
+def small_group_pairs(shared: DataFrame, parities: DataFrame, least: Threshold) -> DataFrame:
+    """Distinct pairs ``u < v`` that share a small group and whose sizes and parity bits allow a
+    link. Most pairs that only share a passage are out before they leave the task that meets them."""
+    small = shared.where(F.col("g") <= SMALL_GROUP).select("token", "id", "n").join(parities, "id")
+    renamed = {"id": "v", "n": "m"} | {p: f"other_{p}" for p in PARITY}
+    other = small.withColumnsRenamed(renamed)
+    unlike = " + ".join(f"bit_count({p} ^ other_{p})" for p in PARITY)
+    few = f"({unlike}) * {least.den + least.num}L <= {least.den - least.num}L * (n + m)"
+    fits = (F.col("u") < F.col("v")) & least.sizes_fit(F.col("n"), F.col("m")) & F.expr(few)
+    mine = small.withColumnRenamed("id", "u")
     return mine.join(other, "token").where(fits).select("u", "v").distinct()
 
 
@@ -311,6 +316,7 @@ def agreeing_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
     short = written(
         sets.mapInArrow(shorten, "id bigint, p binary, q binary"),
         scratch_path(pairs.sparkSession, "shingle-short"),
+        tidy=True,
     )
     of_u = short.select(F.col("id").alias("u"), "p", "q")
     of_v = short.select(F.col("id").alias("v"), F.col("p").alias("r"), F.col("q").alias("s"))
@@ -396,7 +402,7 @@ def large_group_links(rows: DataFrame, sets: DataFrame, least: Threshold) -> Dat
     sized = clusters.join(listed.select("id", "n"), "id").groupBy("component").agg(
         F.sum("n").alias("cluster_total")
     )
-    known = written(clusters.join(sized, "component"), scratch_path(spark, "shingle-crowds"))
+    known = written(clusters.join(sized, "component"), scratch_path(spark, "shingle-crowds"), tidy=True)
     together = F.col("cluster_total") <= CLUSTER_BLOCKS * BLOCK_TOKENS
     by_cluster = known.where(together).select(
         F.lit(None).cast("bigint").alias("token"), F.col("component").alias("cluster"), "id",
@@ -447,55 +453,61 @@ def linked_nodes(
     least id of the node's rows)."""
     spark = docs.sparkSession
     least = Threshold(num, den)
-    rows = written(fingerprints(docs, width), scratch_path(spark, "shingle-rows"))
-    nodes = prefixes(docs, width, least).groupBy("node").agg(
-        F.min("doc_id").alias("stands"), F.first("n").alias("n"),
-        F.first("prefix").alias("prefix"), F.first("second").alias("second"),
+    used: list[str] = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """The table as written; the write's shuffle files go, and so does the table at the end."""
+        used.append(scratch_path(spark, f"shingle-{name}"))
+        return written(df, used[-1], tidy=True)
+
+    described = kept(set_rows(docs, width, least), "rows")
+    nodes = described.where("node IS NOT NULL").groupBy("node").agg(
+        F.min("doc_id").alias("stands"), *[F.first(c).alias(c) for c in ("n", "prefix", "second", *PARITY)]
     )
     # Numbered as they are written, so that later tables hold short ids.
-    nodes = nodes.withColumn("id", F.monotonically_increasing_id())
-    nodes = written(nodes, scratch_path(spark, "shingle-nodes"))
-    first = written(token_groups(nodes, "prefix"), scratch_path(spark, "shingle-groups"))
-    second = written(token_groups(nodes, "second"), scratch_path(spark, "shingle-groups"))
+    nodes = kept(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    rows, members = described.select("doc_id", "n", "node"), nodes.select("id", "node", "stands", "n")
+    lasting = used.copy()
+    parities = nodes.select("id", *PARITY)
+    first = kept(token_groups(nodes, "prefix"), "groups")
+    second = kept(token_groups(nodes, "second"), "groups")
     # Candidates under the first order that are candidates under the second, too: in a small group,
     # or perhaps in a large one, if both are in some.
-    pairs = written(small_group_pairs(first, least), scratch_path(spark, "shingle-pairs"))
-    agreed = pairs.join(small_group_pairs(second, least), ["u", "v"], "left_semi")
+    pairs = kept(small_group_pairs(first, parities, least), "pairs")
+    agreed = pairs.join(small_group_pairs(second, parities, least), ["u", "v"], "left_semi")
     crowd = second.where(F.col("g") > SMALL_GROUP).select("id").distinct()
     crowded = pairs.join(crowd.select(F.col("id").alias("u")), "u", "left_semi").join(
         crowd.select(F.col("id").alias("v")), "v", "left_semi"
     )
-    pairs = written(
-        agreed.unionByName(crowded).distinct(), scratch_path(spark, "shingle-candidates")
-    )
+    pairs = kept(agreed.unionByName(crowded).distinct(), "candidates")
     large = first.where(F.col("g") > SMALL_GROUP).select("token", "id", "n", "total")
     # Candidates hang together in clusters. A small one is compared in one task, to which each set
     # is sent once; pairs of a large one and large token groups take their sets pair by pair.
     clusters = connected_components(pairs)
-    members = nodes.select("id", "node", "stands", "n")
     placed = members.join(
         clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id"
     )
     sizes = placed.groupBy("cluster").agg((F.sum("n") <= BLOCK_TOKENS).alias("small"))
-    placed = written(placed.join(sizes, "cluster"), scratch_path(spark, "shingle-clusters"))
-    home = placed.where("small").select(F.col("id").alias("u"), "cluster")
-    near = pairs.join(home, "u").select("cluster", "u", "v")
-    near_sets = node_sets(
-        docs, placed.where("small").select("id", "node", "stands", F.col("cluster").alias("of_cluster")), width
-    ).select("of_cluster", "id", "tokens")
-    links = cluster_links(near, near_sets, least)
+    placed = kept(placed.join(sizes, "cluster").select("id", "cluster", "small"), "clusters")
     far_ids = placed.where("NOT small").select("id").union(large.select("id")).distinct()
-    wanted = written(
-        members.join(far_ids, "id").select("id", "node", "stands"), scratch_path(spark, "shingle-far")
-    )
-    if not wanted.isEmpty():
-        sets = node_sets(docs, wanted, width).select("id", "tokens").dropDuplicates(["id"])
-        sets = written(sets, scratch_path(spark, "shingle-sets"))
+    homes = placed.where("small").select("id", F.col("cluster").alias("of_cluster"))
+    wanted = homes.join(far_ids.withColumn("far", F.lit(True)), "id", "full")
+    wanted = kept(members.drop("n").join(wanted, "id"), "wanted")
+    # The texts are read a second and last time for the sets that are still wanted.
+    sets = kept(node_sets(docs, wanted, width).select("of_cluster", "far", "id", "tokens"), "sets")
+    near = pairs.join(homes.select(F.col("id").alias("u"), F.col("of_cluster").alias("cluster")), "u")
+    held = sets.where("of_cluster IS NOT NULL").select("of_cluster", "id", "tokens")
+    links = kept(cluster_links(near.select("cluster", "u", "v"), held, least), "links")
+    if not wanted.where("far").isEmpty():
+        far_sets = kept(sets.where("far").select("id", "tokens").dropDuplicates(["id"]), "far-sets")
         far = pairs.join(placed.where("NOT small").select(F.col("id").alias("u")), "u", "left_semi")
-        far = written(agreeing_pairs(far, sets, least), scratch_path(spark, "shingle-agreed"))
-        links = links.union(verified_pairs(far, sets, least))
-        links = links.union(large_group_links(large, sets, least))
+        far = kept(agreeing_pairs(far, far_sets, least), "agreed")
+        links = links.union(kept(verified_pairs(far, far_sets, least), "links"))
+        links = links.union(kept(large_group_links(large, far_sets, least), "links"))
     joined = connected_components(links).withColumnRenamed("node", "id")
+    for path in used:
+        if path not in lasting:
+            discard(spark, path)
     component = F.coalesce("component", "id").alias("component")
     by_node = nodes.select("id", "node", "stands").join(joined, "id", "left").select(
         "node", component, "stands"
