@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmetrics.llm.columns import apart, together
 from flowmetrics.llm.components import connected_components
 from flowmetrics.sources.scratch import scratch_path, written
 
@@ -140,11 +141,10 @@ def judged_pages(
         F.col("node").alias("_address"), passed_on.alias("_alias_verdict")
     )
     new = ["host", "path", "rule", "verdict"]
-    kept = [F.col(f"`{c}`") for c in pages.columns if c not in new]
-    # The row stands in one column, so none of its names meets one of those beside it.
-    placed = pages.select(
-        F.struct(*kept).alias("row"), host_of(url).alias("host"), path_of(url).alias("path"),
-        address_of(url).alias("_address"),
+    given = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new])
+    named = apart(given, "url", "html")
+    placed = named.select(
+        "*", host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("_address")
     )
     # No rule and no alias has an empty address; pages without one are spread by numbers that none has.
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(1024)) + 1
@@ -158,4 +158,5 @@ def judged_pages(
         by_alias.withColumn("spread", F.lit(0).cast("bigint")), ["_address", "spread"], "left"
     )
     verdict = F.coalesce("rule_verdict", "_alias_verdict", F.lit(default))
-    return decided.select("row.*", "host", "path", "rule", verdict.alias("verdict"))
+    columns = [*[f"`{c}`" for c in named.columns], "host", "path", "rule"]
+    return together(decided.select(*columns, verdict.alias("verdict")), given)
