@@ -130,7 +130,8 @@ def contaminated(
     Words are compared without case and ASCII punctuation. An item of fewer than ``least`` words
     is found where all of them stand in a row; NULL and empty texts, and texts without a word, on
     either side match nothing; repeated rows of documents give repeated rows, repeated items one. An empty table on either side gives no rows; further
-    columns are not used.
+    columns are not used. A text of any length is hashed whole, by itself if it is long, in memory
+    that grows with its words; a pair of a long text and an item goes to one task.
 
     Documents are read once, against a bit filter of the items' seeds whose size is bounded;
     those that pass it are written, and seeds are joined, so neither side is held whole anywhere.

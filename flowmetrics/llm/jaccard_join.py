@@ -524,8 +524,9 @@ def jaccard_components(
     ``den * intersection >= num * union``; ``component_id`` is the least ``doc_id`` that links
     lead to. Equal sets link, whatever their number; an empty or NULL text has no shingle and is
     linked with nothing. NULL ids are compared like others and are a component's id only if it has
-    no other. An empty table gives no rows; further columns are not used. Tokens and sets are held
-    as 64-bit hashes.
+    no other. An empty table gives no rows; further columns are not used. A text of any length is
+    one set, made by itself if it is long, in memory that grows with its words. Tokens and sets are
+    held as 64-bit hashes.
     """
     rows, by_node = linked_nodes(docs, num, den, width)
     least_ids = by_node.groupBy("component").agg(F.min("stands").alias("component_id"))

@@ -166,7 +166,8 @@ def pack_documents(
     (unsigned, of the piece's ids as little-endian 32-bit integers), ``doc_tokens`` (with the end
     id), ``sequence_id`` (from 0) and ``offset`` in it. Sequences hold at most ``capacity`` ids and
     are gapless. A NULL or empty text is its end id alone; NULL ids and repeated rows are packed
-    as any; an empty table gives no rows. Columns besides ``doc_id`` and ``text`` are not used.
+    as any; an empty table gives no rows. A text of any length is encoded whole, by itself if it is
+    long, and cut into as many pieces as it needs. Columns besides ``doc_id`` and ``text`` are not used.
 
     Texts are read once, into a narrow table of pieces in the shared folder. The driver sees one
     count per length. Ranks within a length are a task's own plus those of the tasks before it, so
