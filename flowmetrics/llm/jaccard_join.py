@@ -39,6 +39,8 @@ BLOCK_TOKENS = 400_000
 CLUSTER_BLOCKS = 16
 #: Salts of the orders that candidates must also agree under.
 OTHER_ORDERS = (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D)
+#: Rounds in which nodes are compared with one partner each before all pairs left are.
+PICKING_ROUNDS = 4
 #: 64-bit integers of parity bits that stand beside a set.
 PARITY_WORDS = 8
 
@@ -285,11 +287,27 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
     )
 
 
+def scaled_parity(tokens: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, about as many as it has tokens, as bytes; see :func:`parity`."""
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount(((tokens >> np.uint64(17)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def unlike_bits(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many places the scaled bits of two sets differ, the longer ones folded."""
+    if len(a) > len(b):
+        a, b = b, a
+    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.unpackbits(a ^ folded).sum())
+
+
 def agreeing_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
-    """Pairs ``u``, ``v`` that share a prefix token under each further order, too.
+    """Pairs ``u``, ``v`` that share a prefix token under each further order, too, and whose parity
+    bits, as many as the sets have tokens, allow a link.
 
-    Prefixes are a tenth of a set and sent with four bytes a token, so that whole sets are sent
-    for the few pairs left only.
+    Prefixes are a tenth of a set and sent with four bytes a token, bits an eighth of a byte, so that
+    whole sets are sent for the few pairs left only.
     """
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +317,9 @@ def agreeing_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
             for salt in OTHER_ORDERS:
                 firsts = [_first(t, least.prefix(len(t)), salt).astype("<u4").tobytes() for t in held]
                 columns.append(pa.array(firsts, pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "p", "q"])
+            columns.append(pa.array([scaled_parity(t).tobytes() for t in held], pa.binary()))
+            columns.append(pa.array([len(t) for t in held], pa.int64()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "p", "q", "b", "n"])
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,21 +327,54 @@ def agreeing_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
                 c: [np.unique(np.frombuffer(x, "<u4")) for x in batch.column(c).to_pylist()]
                 for c in ("p", "q", "r", "s")
             }
+            bits = [
+                [np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()] for c in ("b", "c")
+            ]
+            sizes = [a + b for a, b in zip(*(batch.column(c).to_pylist() for c in ("n", "m")))]
             kept = [
-                _share(p, r) and _share(q, s)
-                for p, q, r, s in zip(parts["p"], parts["q"], parts["r"], parts["s"])
+                unlike_bits(b, c) * (least.den + least.num) <= (least.den - least.num) * size
+                and _share(p, r) and _share(q, s)
+                for b, c, size, p, q, r, s in zip(*bits, sizes, *(parts[x] for x in "pqrs"))
             ]
             yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
 
     short = written(
-        sets.mapInArrow(shorten, "id bigint, p binary, q binary"),
+        sets.mapInArrow(shorten, "id bigint, p binary, q binary, b binary, n bigint"),
         scratch_path(pairs.sparkSession, "shingle-short"),
         tidy=True,
     )
-    of_u = short.select(F.col("id").alias("u"), "p", "q")
-    of_v = short.select(F.col("id").alias("v"), F.col("p").alias("r"), F.col("q").alias("s"))
+    of_u = short.withColumnRenamed("id", "u")
+    of_v = short.toDF("v", "r", "s", "c", "m")
     both = pairs.join(of_u, "u").join(of_v, "v")
-    return both.select("u", "v", "p", "q", "r", "s").mapInArrow(agree, "u bigint, v bigint")
+    return both.mapInArrow(agree, "u bigint, v bigint")
+
+
+def connecting_links(pairs: DataFrame, sets: DataFrame, least: Threshold) -> list[str]:
+    """Linked pairs that connect all that the linked ones among ``pairs`` (written) connect, as paths
+    of tables ``u``, ``v``.
+
+    Each round compares every node with the least of its partners left, so that a set is sent about
+    twice; pairs that links connect already are not compared. After ``PICKING_ROUNDS`` all others are.
+    """
+    spark = pairs.sparkSession
+    found: list[str] = []
+    schema = "u bigint, v bigint"
+    for nth in range(PICKING_ROUNDS + 1):
+        tried = pairs
+        if nth < PICKING_ROUNDS:
+            tried = pairs.groupBy("v").agg(F.min("u").alias("u")).select("u", "v")
+        found.append(scratch_path(spark, "shingle-links"))
+        written(verified_pairs(tried, sets, least), found[-1], tidy=True)
+        if nth == PICKING_ROUNDS:
+            break
+        known = connected_components(spark.read.schema(schema).parquet(*found))
+        of_u, of_v = known.toDF("u", "of_u"), known.toDF("v", "of_v")
+        open_ = pairs.join(tried, ["u", "v"], "left_anti").join(of_u, "u", "left").join(of_v, "v", "left")
+        apart_ = open_.where("NOT coalesce(of_u = of_v, false)").select("u", "v")
+        pairs = written(apart_, scratch_path(spark, "shingle-open"), tidy=True)
+        if pairs.isEmpty():
+            break
+    return found
 
 
 def _candidate(a: np.ndarray, b: np.ndarray, least: Threshold) -> bool:
@@ -502,7 +555,9 @@ def linked_nodes(
         far_sets = kept(sets.where("far").select("id", "tokens").dropDuplicates(["id"]), "far-sets")
         far = pairs.join(placed.where("NOT small").select(F.col("id").alias("u")), "u", "left_semi")
         far = kept(agreeing_pairs(far, far_sets, least), "agreed")
-        links = links.union(kept(verified_pairs(far, far_sets, least), "links"))
+        found = connecting_links(far, far_sets, least)
+        used += found
+        links = links.union(spark.read.schema(links.schema).parquet(*found))
         links = links.union(kept(large_group_links(large, far_sets, least), "links"))
     joined = connected_components(links).withColumnRenamed("node", "id")
     for path in used:

@@ -93,3 +93,17 @@ def test_components_of_chains_and_stars(session):
 
 def test_components_without_edges(session):
     assert connected_components(session.createDataFrame([], "u string, v string")).collect() == []
+
+
+def test_parity_bits_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(3)
+    for n, m, common in [(50, 60, 40), (1000, 900, 880), (3, 2, 0), (5000, 64, 64), (1, 1, 1), (700, 700, 0)]:
+        every = np.unique(rng.integers(0, 1 << 63, 20_000, dtype=np.uint64))
+        rng.shuffle(every)
+        a, b = every[:n], every[n - common : n - common + m]
+        differ = n + m - 2 * len(np.intersect1d(a, b))
+        near = jaccard_join.unlike_bits(jaccard_join.scaled_parity(a), jaccard_join.scaled_parity(b))
+        bits = jaccard_join.parity(a) ^ jaccard_join.parity(b)
+        assert near <= differ and sum(int(x).bit_count() for x in bits.view(np.uint64)) <= differ
+        if not common and n > 100:
+            assert near > 0.8 * min(n, m) / 2
