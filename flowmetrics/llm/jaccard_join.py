@@ -9,7 +9,8 @@ so their intersection loses no link.
 
 Equal sets count as one node. Candidates of small token groups are pairs of rows; a large group is
 split into blocks by hash, and one task compares two blocks, skips what is connected already and
-returns connecting links only.
+returns connecting links only. Parity bits, as many as a set has tokens, say beforehand which nodes
+of a large group have a partner there at all; the sets of the others are not read again.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ SMALL_GROUP = 24
 BLOCK_TOKENS = 400_000
 #: Blocks of a cluster of large groups that is compared as one.
 CLUSTER_BLOCKS = 16
+#: Nodes in a block of a large group whose parity bits are compared, and its tokens, in blocks of sets.
+ALIKE_BLOCK = 2048
+ALIKE_TOKENS = 64
 #: Salts of the orders that candidates must also agree under.
 OTHER_ORDERS = (0x5851F42D4C957F2D, 0x2545F4914F6CDD1D)
 #: Rounds in which nodes are compared with one partner each before all pairs left are.
@@ -138,9 +142,25 @@ def parity(tokens: np.ndarray) -> np.ndarray:
 PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
 
 
+def scaled_parity(tokens: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, about as many as it has tokens, as bytes; see :func:`parity`."""
+    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount(((tokens >> np.uint64(17)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def unlike_bits(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many places the scaled bits of two sets differ, the longer ones folded."""
+    if len(a) > len(b):
+        a, b = b, a
+    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return int(np.unpackbits(a ^ folded).sum())
+
+
 def set_rows(docs: DataFrame, width: int, least: Threshold) -> DataFrame:
     """Per row ``doc_id``, ``n`` (set size), ``node``, which stands for the set and is NULL for an
-    empty one, the set's prefixes under two orders and its parity bits, from one read of the texts."""
+    empty one, the set's prefixes under two orders and its parity bits, from one read of the texts: few in columns,
+    and ``bits``, as many as the set has tokens."""
     often, times = repeating_tokens(docs, width)
 
     def first_tokens(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,12 +189,13 @@ def set_rows(docs: DataFrame, width: int, least: Threshold) -> DataFrame:
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()),
                     _lists([a for a, _ in firsts]),
                     _lists([b for _, b in firsts]),
+                    pa.array([scaled_parity(s).tobytes() for s in sets], pa.binary()),
                     *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(PARITY_WORDS)],
                 ],
-                names=["doc_id", "n", "node", "prefix", "second", *PARITY],
+                names=["doc_id", "n", "node", "prefix", "second", "bits", *PARITY],
             )
 
-    schema = "doc_id bigint, n bigint, node bigint, prefix array<bigint>, second array<bigint>"
+    schema = "doc_id bigint, n bigint, node bigint, prefix array<bigint>, second array<bigint>, bits binary"
     return docs.select("doc_id", "text").mapInArrow(
         describe, ", ".join([schema, *[f"{p} bigint" for p in PARITY]])
     )
@@ -287,66 +308,92 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataF
     )
 
 
-def scaled_parity(tokens: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, about as many as it has tokens, as bytes; see :func:`parity`."""
-    bits = max(64, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else 64
-    odd = np.bincount(((tokens >> np.uint64(17)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(np.uint8))
+def alike_pairs(pairs: DataFrame, nodes: DataFrame, least: Threshold) -> DataFrame:
+    """Pairs ``u``, ``v`` whose parity bits, as many as the sets have tokens, allow a link.
 
+    Bits are an eighth of a byte a token, so that whole sets are sent for the few pairs left only.
+    """
 
-def unlike_bits(a: np.ndarray, b: np.ndarray) -> int:
-    """In how many places the scaled bits of two sets differ, the longer ones folded."""
-    if len(a) > len(b):
-        a, b = b, a
-    folded = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
-    return int(np.unpackbits(a ^ folded).sum())
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = ([np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()] for c in ("a", "b"))
+            unlike = np.array([unlike_bits(x, y) for x, y in zip(a, b)], np.int64)
+            sizes = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            kept = unlike * (least.den + least.num) <= (least.den - least.num) * sizes
+            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
 
+    of_u = nodes.select(F.col("id").alias("u"), "n", F.col("bits").alias("a"))
+    of_v = nodes.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("bits").alias("b"))
+    return pairs.join(of_u, "u").join(of_v, "v").mapInArrow(agree, "u bigint, v bigint")
 
-def agreeing_pairs(pairs: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
-    """Pairs ``u``, ``v`` that share a prefix token under each further order, too, and whose parity
-    bits, as many as the sets have tokens, allow a link.
 
-    Prefixes are a tenth of a set and sent with four bytes a token, bits an eighth of a byte, so that
-    whole sets are sent for the few pairs left only.
+def alike_forest(
+    sizes: np.ndarray, sides: np.ndarray, bits: Sequence[bytes], within: bool, least: Threshold
+) -> list[tuple[int, int]]:
+    """Places of pairs that connect all whose sizes and parity bits allow a link.
+
+    By rising size, a set is held against those that are larger by no more than a link allows; the
+    bits of these are as many or more, and are folded. ``within``: all pairs count; else only those
+    across ``sides``.
     """
+    by_size = np.argsort(sizes, kind="stable")
+    sizes, sides = sizes[by_size], sides[by_size]
+    widths = np.array([len(b) for b in bits])[by_size]
+    last = np.searchsorted(sizes, least.den * sizes // least.num, side="right")
+    label = np.arange(len(sizes))
+    edges = []
+    for width in np.unique(widths).tolist():
+        a, b = np.searchsorted(widths, [width, width + 1]).tolist()
+        rows = [np.frombuffer(bits[k], "<u8").reshape(-1, width // 8) for k in by_size[a : last[b - 1]]]
+        folded = np.stack([r[0] if len(r) == 1 else np.bitwise_xor.reduce(r, axis=0) for r in rows])
+        for i in range(a, b):
+            open_ = label[i + 1 : last[i]] != label[i]
+            if not within:
+                open_ &= sides[i + 1 : last[i]] != sides[i]
+            at = i + 1 + np.flatnonzero(open_)
+            if not len(at):
+                continue
+            unlike = np.bitwise_count(folded[at - a] ^ folded[i - a]).sum(axis=1, dtype=np.int64)
+            alike = unlike * (least.den + least.num) <= (least.den - least.num) * (sizes[i] + sizes[at])
+            joined, first = np.unique(label[at[alike]], return_index=True)
+            edges += [(int(by_size[i]), int(by_size[j])) for j in at[alike][first]]
+            if len(joined):
+                label[np.isin(label, joined)] = label[i]
+    return edges
 
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = _sets(batch.column("tokens"))
-            columns = [batch.column("id")]
-            for salt in OTHER_ORDERS:
-                firsts = [_first(t, least.prefix(len(t)), salt).astype("<u4").tobytes() for t in held]
-                columns.append(pa.array(firsts, pa.binary()))
-            columns.append(pa.array([scaled_parity(t).tobytes() for t in held], pa.binary()))
-            columns.append(pa.array([len(t) for t in held], pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "p", "q", "b", "n"])
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = {
-                c: [np.unique(np.frombuffer(x, "<u4")) for x in batch.column(c).to_pylist()]
-                for c in ("p", "q", "r", "s")
-            }
-            bits = [
-                [np.frombuffer(x, np.uint8) for x in batch.column(c).to_pylist()] for c in ("b", "c")
-            ]
-            sizes = [a + b for a, b in zip(*(batch.column(c).to_pylist() for c in ("n", "m")))]
-            kept = [
-                unlike_bits(b, c) * (least.den + least.num) <= (least.den - least.num) * size
-                and _share(p, r) and _share(q, s)
-                for b, c, size, p, q, r, s in zip(*bits, sizes, *(parts[x] for x in "pqrs"))
-            ]
-            yield batch.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+def alike_clusters(rows: DataFrame, nodes: DataFrame, least: Threshold) -> DataFrame:
+    """``id`` and ``component`` of the nodes that have a partner in a large token group whose parity
+    bits allow a link; all linked pairs of these groups are within a component.
 
-    short = written(
-        sets.mapInArrow(shorten, "id bigint, p binary, q binary, b binary, n bigint"),
-        scratch_path(pairs.sparkSession, "shingle-short"),
-        tidy=True,
+    ``rows``: token, id, n, group size ``g`` and tokens in the group (``total``). Bits alone are sent
+    to the blocks of each group, and each pair of blocks returns the edges of a forest.
+    """
+    spark = rows.sparkSession
+    blocks = F.ceil(F.greatest(F.col("g") / ALIKE_BLOCK, F.col("total") / (ALIKE_TOKENS * BLOCK_TOKENS)))
+    dealt = rows.select("token", "id", "n", blocks.cast("int").alias("blocks")).withColumn(
+        "block", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int")
+    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = dealt.select(
+        "token", "id", "n", "block",
+        F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
     )
-    of_u = short.withColumnRenamed("id", "u")
-    of_v = short.toDF("v", "r", "s", "c", "m")
-    both = pairs.join(of_u, "u").join(of_v, "v")
-    return both.mapInArrow(agree, "u bigint, v bigint")
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_pylist()
+        found = alike_forest(
+            table.column("n").to_numpy(),
+            table.column("block").to_numpy(),
+            table.column("bits").to_pylist(),
+            table.column("first")[0].as_py() == table.column("second")[0].as_py(),
+            least,
+        )
+        u, v = [ids[i] for i, _ in found], [ids[j] for _, j in found]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    full = tasks.join(nodes.select("id", "bits"), "id")
+    edges = full.groupBy("token", "first", "second").applyInArrow(compare, "u bigint, v bigint")
+    return connected_components(edges).withColumnRenamed("node", "id")
 
 
 def connecting_links(pairs: DataFrame, sets: DataFrame, least: Threshold) -> list[str]:
@@ -440,18 +487,17 @@ def block_links(
     return links
 
 
-def large_group_links(rows: DataFrame, sets: DataFrame, least: Threshold) -> DataFrame:
-    """Links within large token groups; ``rows``: token, id, n, tokens in the group (``total``).
+def large_group_links(
+    rows: DataFrame, clusters: DataFrame, sets: DataFrame, least: Threshold
+) -> DataFrame:
+    """Links within large token groups; ``rows``: token, id, n; ``clusters``: id, component.
 
-    Groups that hang together are compared as one cluster, so that a set is sent once per block
-    and not once per token, unless the cluster has more than ``CLUSTER_BLOCKS`` blocks; then each
-    token's group is compared by itself.
+    Nodes of one component (:func:`alike_clusters`) are compared as one cluster, so that a set is
+    sent once per block and not once per token, unless the cluster has more than ``CLUSTER_BLOCKS``
+    blocks; then what it holds of each token's group is compared by itself.
     """
     spark = rows.sparkSession
     listed = rows.groupBy("id").agg(F.collect_list("token").alias("groups"), F.first("n").alias("n"))
-    leads = rows.groupBy("token").agg(F.min("id").alias("u"))
-    star = rows.join(leads, "token").select("u", F.col("id").alias("v")).distinct()
-    clusters = connected_components(star).withColumnRenamed("node", "id")
     sized = clusters.join(listed.select("id", "n"), "id").groupBy("component").agg(
         F.sum("n").alias("cluster_total")
     )
@@ -461,10 +507,9 @@ def large_group_links(rows: DataFrame, sets: DataFrame, least: Threshold) -> Dat
         F.lit(None).cast("bigint").alias("token"), F.col("component").alias("cluster"), "id",
         F.col("cluster_total").alias("total"),
     )
-    alone = known.where(~together).select("id")
-    by_token = rows.join(alone, "id", "left_semi").select(
-        "token", F.lit(None).cast("bigint").alias("cluster"), "id", "total"
-    )
+    alone = rows.join(known.where(~together).select("id", F.col("component").alias("cluster")), "id")
+    totals = alone.groupBy("token", "cluster").agg(F.sum("n").alias("total"))
+    by_token = alone.join(totals, ["token", "cluster"]).select("token", "cluster", "id", "total")
     keyed = by_cluster.unionByName(by_token)
     blocks = F.ceil(F.col("total") / BLOCK_TOKENS).cast("int")
     # Salted by group, so that groups do not split alike.
@@ -506,24 +551,33 @@ def linked_nodes(
     least id of the node's rows)."""
     spark = docs.sparkSession
     least = Threshold(num, den)
-    used: list[str] = []
+    used: dict[str, str] = {}
 
     def kept(df: DataFrame, name: str) -> DataFrame:
-        """The table as written; the write's shuffle files go, and so does the table at the end."""
-        used.append(scratch_path(spark, f"shingle-{name}"))
-        return written(df, used[-1], tidy=True)
+        """The table as written; the write's shuffle files go."""
+        used[name] = scratch_path(spark, f"shingle-{name}")
+        return written(df, used[name], tidy=True)
+
+    def gone(*names: str) -> None:
+        """These tables, which nothing reads any more, go."""
+        for name in names:
+            discard(spark, used.pop(name))
 
     described = kept(set_rows(docs, width, least), "rows")
+    heavy = ("n", "prefix", "second", "bits", *PARITY)
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("stands"), *[F.first(c).alias(c) for c in ("n", "prefix", "second", *PARITY)]
+        F.min("doc_id").alias("stands"), *[F.first(c).alias(c) for c in heavy]
     )
     # Numbered as they are written, so that later tables hold short ids.
     nodes = kept(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    rows, members = described.select("doc_id", "n", "node"), nodes.select("id", "node", "stands", "n")
-    lasting = used.copy()
+    rows = kept(described.select("doc_id", "n", "node"), "ids")
+    gone("rows")
+    members = kept(nodes.select("id", "node", "stands", "n"), "members")
+    first = kept(token_groups(nodes, "prefix"), "first")
+    second = kept(token_groups(nodes, "second"), "second")
+    nodes = kept(nodes.select("id", "n", "bits", *PARITY), "parities")
+    gone("nodes")
     parities = nodes.select("id", *PARITY)
-    first = kept(token_groups(nodes, "prefix"), "groups")
-    second = kept(token_groups(nodes, "second"), "groups")
     # Candidates under the first order that are candidates under the second, too: in a small group,
     # or perhaps in a large one, if both are in some.
     pairs = kept(small_group_pairs(first, parities, least), "pairs")
@@ -532,8 +586,12 @@ def linked_nodes(
     crowded = pairs.join(crowd.select(F.col("id").alias("u")), "u", "left_semi").join(
         crowd.select(F.col("id").alias("v")), "v", "left_semi"
     )
-    pairs = kept(agreed.unionByName(crowded).distinct(), "candidates")
-    large = first.where(F.col("g") > SMALL_GROUP).select("token", "id", "n", "total")
+    pairs = kept(alike_pairs(agreed.unionByName(crowded).distinct(), nodes, least), "candidates")
+    gone("second", "pairs")
+    large = first.where(F.col("g") > SMALL_GROUP)
+    crowds = kept(alike_clusters(large, nodes, least), "crowds")
+    large = kept(large.join(crowds, "id", "left_semi").select("token", "id", "n"), "large")
+    gone("first", "parities")
     # Candidates hang together in clusters. A small one is compared in one task, to which each set
     # is sent once; pairs of a large one and large token groups take their sets pair by pair.
     clusters = connected_components(pairs)
@@ -542,31 +600,27 @@ def linked_nodes(
     )
     sizes = placed.groupBy("cluster").agg((F.sum("n") <= BLOCK_TOKENS).alias("small"))
     placed = kept(placed.join(sizes, "cluster").select("id", "cluster", "small"), "clusters")
-    far_ids = placed.where("NOT small").select("id").union(large.select("id")).distinct()
+    far_ids = placed.where("NOT small").select("id").union(crowds.select("id")).distinct()
     homes = placed.where("small").select("id", F.col("cluster").alias("of_cluster"))
     wanted = homes.join(far_ids.withColumn("far", F.lit(True)), "id", "full")
     wanted = kept(members.drop("n").join(wanted, "id"), "wanted")
-    # The texts are read a second and last time for the sets that are still wanted.
+    # The texts are read a third and last time for the sets that are still wanted.
     sets = kept(node_sets(docs, wanted, width).select("of_cluster", "far", "id", "tokens"), "sets")
     near = pairs.join(homes.select(F.col("id").alias("u"), F.col("of_cluster").alias("cluster")), "u")
     held = sets.where("of_cluster IS NOT NULL").select("of_cluster", "id", "tokens")
     links = kept(cluster_links(near.select("cluster", "u", "v"), held, least), "links")
     if not wanted.where("far").isEmpty():
         far_sets = kept(sets.where("far").select("id", "tokens").dropDuplicates(["id"]), "far-sets")
+        gone("sets")
         far = pairs.join(placed.where("NOT small").select(F.col("id").alias("u")), "u", "left_semi")
-        far = kept(agreeing_pairs(far, far_sets, least), "agreed")
-        found = connecting_links(far, far_sets, least)
-        used += found
+        found = connecting_links(kept(far, "far"), far_sets, least)
         links = links.union(spark.read.schema(links.schema).parquet(*found))
-        links = links.union(kept(large_group_links(large, far_sets, least), "links"))
+        links = links.union(kept(large_group_links(large, crowds, far_sets, least), "large-links"))
+        used.update((path, path) for path in found)
     joined = connected_components(links).withColumnRenamed("node", "id")
-    for path in used:
-        if path not in lasting:
-            discard(spark, path)
+    gone(*(name for name in list(used) if name not in ("ids", "members")))
     component = F.coalesce("component", "id").alias("component")
-    by_node = nodes.select("id", "node", "stands").join(joined, "id", "left").select(
-        "node", component, "stands"
-    )
+    by_node = members.join(joined, "id", "left").select("node", component, "stands")
     return rows, by_node
 
 

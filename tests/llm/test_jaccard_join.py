@@ -107,3 +107,54 @@ def test_parity_bits_differ_in_no_more_places_than_sets():
         assert near <= differ and sum(int(x).bit_count() for x in bits.view(np.uint64)) <= differ
         if not common and n > 100:
             assert near > 0.8 * min(n, m) / 2
+
+
+@pytest.mark.parametrize("within", [True, False])
+def test_alike_forest_connects_all_that_link(within):
+    least = jaccard_join.Threshold(90, 100)
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in [1, 2, 9, 30, 60, 63, 64, 66, 127, 129, 500, 1020, 1030, 2000] * 3:
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for cut in (0, n // 25, n // 12):
+            sets.append(np.unique(np.append(base[cut:], rng.integers(0, 1 << 63, cut // 2, dtype=np.uint64))))
+    rng.shuffle(order := np.arange(len(sets)))
+    sets = [sets[i] for i in order]
+    sides = rng.integers(0, 2, len(sets))
+    bits = [jaccard_join.scaled_parity(s).tobytes() for s in sets]
+    edges = jaccard_join.alike_forest(np.array([len(s) for s in sets]), sides, bits, within, least)
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in edges:
+        assert (within or sides[i] != sides[j]) and find(i) != find(j)  # a forest
+        root[find(i)] = find(j)
+    linked = [(i, j) for i in range(len(sets)) for j in range(i)
+              if (within or sides[i] != sides[j]) and least.linked(sets[i], sets[j])]
+    assert len(linked) > 30 and all(find(i) == find(j) for i, j in linked)
+    assert len({find(i) for i in range(len(sets))}) > 14  # sets unlike each other stay apart
+
+
+@pytest.mark.parametrize("block", [2048, 2])
+def test_sets_without_an_alike_partner_are_not_read_again(session, documents, monkeypatch, block):
+    """Texts that share a passage are in large groups; only two of them are alike."""
+    monkeypatch.setattr(jaccard_join, "ALIKE_BLOCK", block)
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))) for i in range(9)]
+    rows.append((9, rows[4][1].rsplit(" ", 1)[0] + " other"))
+    wanted, read = [], jaccard_join.node_sets
+
+    def counted(docs, nodes, width):
+        wanted.append(nodes.count())
+        return read(docs, nodes, width)
+
+    monkeypatch.setattr(jaccard_join, "node_sets", counted)
+    monkeypatch.setattr(jaccard_join, "SMALL_GROUP", 3)
+    got = jaccard_join.jaccard_components(documents(rows)).collect()
+    assert sorted(map(tuple, got)) == sorted(components(rows, 90, 100, 3))
+    assert wanted == [2]
