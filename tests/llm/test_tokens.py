@@ -140,6 +140,33 @@ def test_empty_packing(session, documents):
     assert packing.pack_documents(documents([])).collect() == []
 
 
+def test_tasks_of_a_worker_share_its_encoder(monkeypatch):
+    """Memory that loading the tokenizer takes is not all given back, so it is loaded once."""
+    made, cuts = [], []
+    load = tokens.WordEncoder.__init__
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, cut, _):
+            cuts.append(cut)
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(tokens.WordEncoder, "__init__", lambda self, path: made.append(load(self, path)))
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    tokens.process_encoder.cache_clear()
+    packing.token_pieces(Docs(), 1)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+    first, second = (list(cuts[0](iter([batch]))) for _ in range(2))
+    tokens.process_encoder.cache_clear()
+    assert first == second and first[0].num_rows == 2
+    assert len(made) == 1
+
+
 def test_closest_fill_equals_brute_force():
     rng = random.Random(3)
     for _ in range(200):
